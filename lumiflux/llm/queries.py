@@ -4,12 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lumiflux.llm import decontaminate, mixing, simhash
+from lumiflux.llm import decontaminate, mixing, simhash, tokens, toxicity
 from lumiflux.llm.common import table
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.report(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -23,7 +32,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op7_simhash_near_dedup, op9_mix_sources, op10_decontaminate)}
+    return {f.__name__: f for f in (op2_toxicity, op3_token_files, op7_simhash_near_dedup, op9_mix_sources, op10_decontaminate)}
 
 
 def oracle_sql() -> dict[str, str]:
