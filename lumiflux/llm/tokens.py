@@ -17,8 +17,10 @@ repeated rows are written as often as they come; an empty table writes nothing;
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,6 +35,19 @@ from lumiflux.llm.common import materialise, new_folder, with_text
 END, LENGTH, BATCH, CACHED = 2, 2048, 64, 300_000
 CUT = re.compile("(?<=[!-~¡-ɏ]) (?=[A-Za-zÀ-ÖØ-öø-ɏ])")
 
+#: A word and the marks after it. The marks are those that byte-level BPE splits from words in one run.
+SIMPLE = re.compile("([A-Za-zÀ-ÖØ-öø-ɏ]+)([.,;:!?()-]{0,8})")
+
+
+def _byte_letters() -> dict[int, str]:
+    """Byte-level alphabet: visible Latin-1 bytes stand for themselves, the others for code points from 256 on, in order."""
+    visible = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = [b for b in range(256) if b not in visible]
+    return {b: chr(b) for b in visible} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
+BYTE_LETTERS = _byte_letters()
+
 _encoders: dict[str, Encoder] = {}
 
 
@@ -40,29 +55,58 @@ class Encoder:
     """Texts to the bytes of their ids."""
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has a core, not the machine
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
-        pre, known = self.tokenizer.pre_tokenizer, {}
+        self.code = "H" if self.dtype.itemsize == 2 else "I"
+        pre = self.tokenizer.pre_tokenizer
         self.cuts = type(pre).__name__ == "ByteLevel" and pre.use_regex and not pre.add_prefix_space and self.tokenizer.normalizer is None
-        self.known: dict[str, bytes] = known
+        self.known: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {}
 
     def _plain(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return [array(self.code, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.cuts:
             return self._plain(texts)
         if len(self.known) > CACHED:
             self.known.clear()
+            self.marks.clear()
         pieces = [CUT.split(t) for t in texts]
-        first = self._plain([p[0] for p in pieces])
+        # A text's first and last pieces may hold white space at their ends; all between begin and end visibly.
+        ends = self._plain([x for p in pieces for x in ((p[0],) if len(p) == 1 else (p[0], " " + p[-1]))])
         known = self.known
-        new = list({x for p in pieces for x in p[1:] if x not in known})
-        for i in range(0, len(new), 50_000):
-            part = new[i : i + 50_000]
-            known.update(zip(part, self._plain([" " + x for x in part])))
+        new = list({x for p in pieces for x in p[1:-1] if x not in known})
+        self._learn(new)
         get = known.__getitem__
-        return [f + b"".join(map(get, p[1:])) for f, p in zip(first, pieces)]
+        out, at = [], 0
+        for p in pieces:
+            out.append(ends[at] if len(p) == 1 else ends[at] + b"".join(map(get, p[1:-1])) + ends[at + 1])
+            at += 1 if len(p) == 1 else 2
+        return out
+
+    def _learn(self, new: list[str]) -> None:
+        """A word, with its space, is one pre-token and so is a run of marks after it: these go straight to the model."""
+        known, hard = self.known, []
+        for x in new:
+            if not (m := SIMPLE.fullmatch(x)):
+                hard.append(x)
+                continue
+            word, marks = m.groups()
+            ids = known.get(word)
+            if ids is None:
+                ids = known[word] = self._one("\u0120" + word if word.isascii() else " " + word, word.isascii())
+            if marks:
+                if (tail := self.marks.get(marks)) is None:
+                    tail = self.marks[marks] = self._one(marks, True)
+                known[x] = ids + tail
+        known.update(zip(hard, self._plain([" " + x for x in hard])))
+
+    def _one(self, piece: str, mapped: bool) -> bytes:
+        """One pre-token; mapped says that its bytes are already in the letters of the byte-level alphabet."""
+        letters = piece if mapped else piece.encode().decode("latin-1").translate(BYTE_LETTERS)
+        return array(self.code, [t.id for t in self.tokenizer.model.tokenize(letters)]).tobytes()
 
 
 def encoder(path: str) -> Encoder:

@@ -16,7 +16,6 @@ an empty table gives an empty table; other columns are ignored (keep() carries t
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
 from itertools import chain
@@ -28,18 +27,33 @@ from pyspark.sql import DataFrame, functions as F
 WINDOW, STRIDE, FOLDS = 32, 24, 5
 SAMPLE, SAMPLE_CHARS = 2000, 8000
 HIDDEN, ATT, DIM_W, DIM_C = 8, 8, 8, 8
-WORD_BUCKETS, CHAR_BUCKETS = 1 << 14, 1 << 13
-STEPS, DOCS, RATE, SEED = 300, 32, 0.01, 7
+CHAR_BITS = 13
+WORD_BUCKETS, CHAR_BUCKETS = 1 << 14, 1 << CHAR_BITS
+STEPS, DOCS, RATE, SEED = 500, 32, 0.01, 7
 CACHED = 150_000
-EDGE = re.compile(r"^\W+|\W+$")
+#: For bytes.translate(): ASCII letters in lower case, digits, and all bytes from 0x80 make words; the rest separates.
+FOLD = bytes(b if b >= 0x80 or chr(b).isdigit() or chr(b).islower() else b + 32 if chr(b).isupper() else 32 for b in range(256))
+MIX = np.array([1, 257, 65_537, 16_777_259], np.uint32)
 
 
-def parts(token: str) -> tuple[int, list[int]]:
-    """Buckets of the word and of its character n-grams."""
-    word = EDGE.sub("", token.lower()) or token.lower()
-    marked = f"<{word}>"
-    grams = [marked[i : i + n] for n in (3, 4) for i in range(len(marked) - n + 1)]
-    return zlib.crc32(word.encode()) % WORD_BUCKETS, [zlib.crc32(g.encode()) % CHAR_BUCKETS for g in grams]
+def words_of(text: str | None) -> list[bytes]:
+    return (text or "").encode().translate(FOLD).split()
+
+
+def inputs(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Buckets of the words; buckets of their character 3- and 4-grams, word after word; the number of these of each."""
+    lens = np.fromiter(map(len, words), np.int64, len(words)) + 2  # marked < and > at the ends
+    a = np.frombuffer(b"<" + b"><".join(words) + b">", np.uint8).astype(np.uint32)
+    left = np.repeat(np.cumsum(lens), lens) - np.arange(len(a))  # bytes to the word's end, this one included
+    h = np.zeros((len(a), 2), np.uint32)
+    for k in range(4):
+        h[: len(a) - k, 1] += a[k:] * MIX[k]
+        if k == 2:
+            h[:, 0] = h[:, 1]
+    h = (h * np.uint32(2_654_435_761)) >> np.uint32(32 - CHAR_BITS)
+    grams = h[np.stack([left >= 3, left >= 4], axis=1)].astype(np.int64)
+    wb = np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % WORD_BUCKETS
+    return wb, grams, np.maximum(lens - 2, 0) + np.maximum(lens - 3, 0)
 
 
 def windows(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -118,11 +132,11 @@ def forward(p: dict, xf: np.ndarray, xb: np.ndarray, real: np.ndarray, keep: boo
 def train(texts: list[str], labels: list[int], steps: int = STEPS) -> dict[str, np.ndarray]:
     """Fits the network to labelled texts; the same texts in the same order give the same network."""
     p, rng = fresh(), np.random.default_rng(SEED)
-    words = [t.split() for t in texts]
-    number: dict[str, int] = {}
+    words = [words_of(t) for t in texts]
+    number: dict[bytes, int] = {}
     docs = [np.fromiter((number.setdefault(w, len(number)) for w in ws), np.int64, len(ws)) for ws in words]
-    wb, grams = zip(*map(parts, number)) if number else ((), ())
-    wb = np.array(wb, np.int64)
+    wb, grams, n_grams = inputs(list(number))
+    grams_at = np.cumsum(n_grams) - n_grams
     y = np.array(labels)
     classes = [np.flatnonzero((y == c) & (np.array([len(d) for d in docs]) > 0)) for c in (0, 1)]
     first = {k: np.zeros_like(x) for k, x in p.items()}
@@ -139,12 +153,12 @@ def train(texts: list[str], labels: list[int], steps: int = STEPS) -> dict[str,
         flat = np.concatenate([docs[i] for i in pick])
         at, real, of = windows(np.array([len(docs[i]) for i in pick]))
         seen, local = np.unique(flat, return_inverse=True)
-        cols = list(chain.from_iterable(grams[i] for i in seen))
-        lens = np.array([len(grams[i]) for i in seen])
+        lens = n_grams[seen]
         row = np.repeat(np.arange(len(seen)), lens)
+        cols = grams[np.repeat(grams_at[seen] - (np.cumsum(lens) - lens), lens) + np.arange(len(row))]
         mean = np.zeros((len(seen), DIM_C), np.float32)
         np.add.at(mean, row, p["Ec"][cols])
-        mean /= np.maximum(lens, 1)[:, None]
+        mean /= lens[:, None]
         vec = np.concatenate([p["Ew"][wb[seen]], mean], axis=1)
         ids = local[at].T  # steps x windows
         xf, xb = (vec @ p["Wf"] + p["cf"])[ids], (vec @ p["Wb"] + p["cb"])[ids]
@@ -176,64 +190,106 @@ def train(texts: list[str], labels: list[int], steps: int = STEPS) -> dict[str,
         d_vec = d_table[:, :h3] @ p["Wf"].T + d_table[:, h3:] @ p["Wb"].T
         g["Ew"], g["Ec"] = np.zeros_like(p["Ew"]), np.zeros_like(p["Ec"])
         np.add.at(g["Ew"], wb[seen], d_vec[:, :DIM_W])
-        np.add.at(g["Ec"], cols, (d_vec[:, DIM_W:] / np.maximum(lens, 1)[:, None])[row])
+        np.add.at(g["Ec"], cols, (d_vec[:, DIM_W:] / lens[:, None])[row])
+        rate = RATE * (0.55 + 0.45 * np.cos(np.pi * step / steps))
         for k, x in g.items():  # Adam
             first[k] += 0.1 * (x - first[k])
             second[k] += 0.001 * (x * x - second[k])
-            p[k] -= (RATE * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.999**step)) + 1e-8)).astype(np.float32)
+            p[k] -= (rate * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.999**step)) + 1e-8)).astype(np.float32)
     return p
 
 
 class Scorer:
-    """Scores texts; the projected vectors of the words met last are kept, up to CACHED of them."""
+    """Scores texts; the projected vectors of the words met last are kept, up to CACHED of them.
+
+    Both directions run in one loop over arrays that keep windows in the last axis, so that every operation is on
+    contiguous rows: the gates' rows are the updates of both directions, their resets, their candidates."""
 
     def __init__(self, p: dict[str, np.ndarray]):
+        h = HIDDEN
         self.p = p
-        self.tables = np.zeros((1024, 6 * HIDDEN), np.float32)
-        self.number: dict[str, int] = {}
-
-    def _learn(self, new: list[str]) -> None:
+        self.u = np.zeros((6 * h, 2 * h), np.float32)
+        for d, u in enumerate((p["Uf"], p["Ub"])):
+            for gate in range(3):
+                self.u[(2 * gate + d) * h : (2 * gate + d + 1) * h, d * h : (d + 1) * h] = u[:, gate * h : (gate + 1) * h].T
+        self.u[: 4 * h] *= 0.5  # sigmoid(x) = 0.5 + 0.5 tanh(x / 2)
+        self._clear()
+
+    def _clear(self) -> None:
+        self.number: dict[bytes, int] = {}
+        self.tables = np.zeros((2, 1024, 3 * HIDDEN), np.float32)
+
+    def _learn(self, new: list[bytes]) -> None:
         p, n = self.p, len(self.number)
-        wb, grams = zip(*map(parts, new))
-        lens = np.array([len(g) for g in grams])
-        sums = np.add.reduceat(p["Ec"][list(chain.from_iterable(grams))], np.cumsum(lens) - lens, axis=0)
-        vec = np.concatenate([p["Ew"][list(wb)], sums / lens[:, None]], axis=1)
-        while n + len(new) > len(self.tables):
-            self.tables = np.concatenate([self.tables, np.zeros_like(self.tables)])
-        self.tables[n : n + len(new), : 3 * HIDDEN] = vec @ p["Wf"] + p["cf"]
-        self.tables[n : n + len(new), 3 * HIDDEN :] = vec @ p["Wb"] + p["cb"]
+        wb, grams, lens = inputs(new)
+        sums = np.add.reduceat(p["Ec"][grams], np.cumsum(lens) - lens, axis=0)
+        vec = np.concatenate([p["Ew"][wb], sums / lens[:, None].astype(np.float32)], axis=1)
+        while n + len(new) > self.tables.shape[1]:
+            self.tables = np.concatenate([self.tables, np.zeros_like(self.tables)], axis=1)
+        for d, (w, c) in enumerate((("Wf", "cf"), ("Wb", "cb"))):
+            x = vec @ p[w] + p[c]
+            x[:, : 2 * HIDDEN] *= 0.5
+            self.tables[d, n : n + len(new)] = x
         self.number.update(zip(new, range(n, n + len(new))))
 
-    def _few(self, words: list[list[str]]) -> np.ndarray:
+    def _logits(self, ids: np.ndarray, real: np.ndarray) -> np.ndarray:
+        """ids, real: steps x windows."""
+        t, n = ids.shape
+        h, h2 = HIDDEN, 2 * HIDDEN
+        x = np.empty((t, 3, 2, h, n), np.float32)
+        x[:, :, 0] = self.tables[0][ids].reshape(t, n, 3, h).transpose(0, 2, 3, 1)
+        x[:, :, 1] = self.tables[1][ids[::-1]].reshape(t, n, 3, h).transpose(0, 2, 3, 1)
+        x = x.reshape(t, 6 * h, n)
+        whole = real.all()
+        mask = np.repeat(np.stack([real, real[::-1]], axis=1).astype(np.float32), h, axis=1) if not whole else None
+        both, state, g = np.empty((t, h2, n), np.float32), np.zeros((h2, n), np.float32), np.empty((6 * h, n), np.float32)
+        for i in range(t):
+            np.matmul(self.u, state, out=g)
+            zr = x[i, : 2 * h2]
+            zr += g[: 2 * h2]
+            np.tanh(zr, out=zr)
+            zr *= 0.5
+            zr += 0.5
+            c = g[2 * h2 :]
+            c *= zr[h2:]
+            c += x[i, 2 * h2 :]
+            np.tanh(c, out=c)
+            state = state - c
+            state *= zr[:h2]
+            state += c
+            if not whole:
+                state *= mask[i]
+            both[i, :h] = state[:h]
+            both[t - 1 - i, h:] = state[h:]
+        att = np.tanh(np.matmul(self.p["A"].T, both) + self.p["a"][:, None])
+        e = np.where(real, np.einsum("tan,a->tn", att, self.p["v"]), np.float32(-1e9))
+        w = np.exp(e - e.max(axis=0)) * real
+        w /= np.maximum(w.sum(axis=0), np.float32(1e-9))
+        return np.einsum("tn,tn->n", w, np.einsum("thn,h->tn", both, self.p["o"])) + self.p["b"][0]
+
+    def _few(self, words: list[list[bytes]]) -> np.ndarray:
         if len(self.number) > CACHED:
-            self.number.clear()
-            self.tables = np.zeros((1024, 6 * HIDDEN), np.float32)
+            self._clear()
         number = self.number
         if new := list({w for ws in words for w in ws if w not in number}):
             self._learn(new)
         counts = np.array([len(ws) for ws in words])
         ids = np.fromiter(map(number.__getitem__, chain.from_iterable(words)), np.int64, int(counts.sum()))
         at, real, of = windows(counts)
-        z = np.empty(len(of), np.float32)
+        z = np.empty(len(of), np.float64)
         for i in range(0, len(of), 1024):
-            x = self.tables[ids[at[i : i + 1024]].T]
-            z[i : i + 1024], _ = forward(self.p, x[:, :, : 3 * HIDDEN], x[:, :, 3 * HIDDEN :], real[i : i + 1024])
+            z[i : i + 1024] = self._logits(ids[at[i : i + 1024]].T, np.ascontiguousarray(real[i : i + 1024].T))
         return np.maximum.reduceat(z, np.flatnonzero(np.diff(of, prepend=-1)))
 
     def scores(self, texts: list[str | None]) -> np.ndarray:
         out, held, n = np.zeros(len(texts)), [], 0
         for i, t in enumerate(texts):
-            ws = (t or "").split()
-            if ws:
+            if ws := words_of(t):
                 held.append((i, ws))
                 n += len(ws)
             if held and (n >= 100_000 or i == len(texts) - 1):
-                z = self._few([w for _, w in held]).astype(np.float64)
-                out[[k for k, _ in held]] = 1 / (1 + np.exp(-z))
+                out[[k for k, _ in held]] = 1 / (1 + np.exp(-self._few([w for _, w in held])))
                 held, n = [], 0
-        if held:
-            z = self._few([w for _, w in held]).astype(np.float64)
-            out[[k for k, _ in held]] = 1 / (1 + np.exp(-z))
         return np.round(out, 6)
 
 
@@ -252,7 +308,7 @@ def fit(docs: DataFrame, labels: DataFrame):
     # At most 2 * SAMPLE ids: their size has a bound, so they may be broadcast and their texts collected.
     ids = known.where("y = 1").orderBy(F.md5(F.col("doc_id").cast("string"))).limit(SAMPLE).unionByName(known.where("y = 0").orderBy(F.md5(F.col("doc_id").cast("string"))).limit(SAMPLE))
     rows = texts.join(F.broadcast(ids), "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("text")).collect()
-    rows = sorted((r for r in rows if r.text.split()), key=lambda r: r.doc_id)
+    rows = sorted((r for r in rows if words_of(r.text)), key=lambda r: r.doc_id)
     y = [r.y for r in rows]
     if not y or min(y) == max(y):
         return float(np.mean(y)) if y else 0.0
@@ -261,7 +317,7 @@ def fit(docs: DataFrame, labels: DataFrame):
 
 def scores_of(model, texts: list[str | None]) -> np.ndarray:
     if isinstance(model, float):
-        return np.array([model if (t or "").split() else 0.0 for t in texts])
+        return np.array([model if words_of(t) else 0.0 for t in texts])
     p = model.value
     if not _held or _held[0][0] is not p:
         _held[:] = [(p, Scorer(p))]
