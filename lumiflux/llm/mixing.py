@@ -104,13 +104,13 @@ def report(docs: DataFrame) -> DataFrame:
 
 def curriculum(docs: DataFrame) -> DataFrame:
     """The training stream, with the columns of docs: a row each time that a document is taken, range-sorted by position.
-    Pass k of a document lies at the k-th share of the time that its source needs; the cut one has its words up to the cut."""
+    Pass k of a document lies at the k-th share of the time that its source needs; the cut one has its words up to the cut, a space apart."""
     rows = mix(docs)
     n, taken = F.col(P + "n"), F.col(P + "taken")
     times = F.when(taken > 0, F.ceil(taken / n)).otherwise(0).cast("int")
     rows = rows.where(times > 0).withColumn(P + "k", F.explode(F.sequence(F.lit(1), times)))
     left = taken - (F.col(P + "k") - 1) * n
-    cut = F.regexp_extract(F.col("text"), F.concat(F.lit(r"(?s)^((?:[\x20\x09-\x0D]*[^\x20\x09-\x0D]+){"), left.cast("string"), F.lit("})")), 1)
+    cut = F.array_join(F.slice(F.regexp_extract_all(F.col("text"), F.lit(WORD), F.lit(0)), F.lit(1), left.cast("int")), " ")
     spread = (F.col(P + "k") - 1 + F.col(P + "position")) / times
     rows = rows.withColumn("text", F.when(left >= n, F.col("text")).otherwise(cut)).withColumn(P + "x", spread)
     return rows.repartitionByRange(F.col(P + "x"), F.col("doc_id")).sortWithinPartitions(P + "x", "doc_id").select(*docs.columns)
