@@ -123,10 +123,14 @@ def as_text(spans):
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start.cast("string"), s.end.cast("string"))), ",")
 
 
+def count_of(spans: str, kind: str):
+    return F.size(F.filter(spans, lambda s: s.kind == kind)).cast("long")
+
+
 def report(docs: DataFrame) -> DataFrame:
     spans = F.col("spans")
     base = F.filter(spans, lambda s: s.kind != "novel")
-    n = {k: F.size(F.filter(spans, lambda s, k=k: s.kind == k)).cast("long").alias(f"n_{k}") for k in KINDS}
+    n = {k: count_of("spans", k).alias(f"n_{k}") for k in KINDS}
     return find(docs).select("doc_id", *(n[k] for k in KINDS[:3]), F.sha2(as_text(base), 256).alias("base_sha256"), as_text(spans).alias("spans"), n["novel"])
 
 
