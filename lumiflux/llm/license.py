@@ -66,10 +66,14 @@ def with_shingles(df: DataFrame) -> DataFrame:
     return df.withColumn("__h", shingles(F.col("text"))).drop("text")
 
 
-def bands(at: Column) -> list[Column]:
-    """MinHash values of the window that begins at the given shingle of __h."""
-    parts = [F.get(F.col("__h"), at + j) for j in range(WINDOW)]
-    return [F.least(*(p.bitwiseXOR(F.lit(f)) for p in parts)) for f in FLIPS]
+def with_bands(df: DataFrame, starts: Column) -> DataFrame:
+    """A row a band of each window: at, its first shingle in __h, and value, its MinHash under the band's permutation."""
+    cut = df.withColumn("at", F.explode(starts))
+    parts = [F.get(F.col("__h"), F.col("at") + j) for j in range(WINDOW)]
+    cut = cut.select("*", *(p.alias(f"__{j}") for j, p in enumerate(parts)))
+    each = cut.withColumn("flip", F.explode(F.array(*(F.lit(f) for f in FLIPS))))
+    value = F.least(*(F.col(f"__{j}").bitwiseXOR(F.col("flip")) for j in range(WINDOW)))
+    return each.withColumn("value", value).drop("flip", *(f"__{j}" for j in range(WINDOW)))
 
 
 def templates(spark) -> DataFrame:
@@ -78,32 +82,16 @@ def templates(spark) -> DataFrame:
     return with_shingles(rows).select("name", F.col("__h").alias("hashes"))
 
 
-def template_bands(known: DataFrame) -> DataFrame:
-    """band, value, name: one row a band of each window."""
-    starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.size("__h") - WINDOW))
-    each = known.withColumn("__h", F.col("hashes")).withColumn("at", F.explode(starts))
-    return each.select("name", F.explode(F.array(*(F.struct(F.lit(b).alias("band"), v.alias("value")) for b, v in enumerate(bands(F.col("at")))))).alias("b")).select("b.band", "b.value", "name").distinct()
-
-
 def matches(docs: DataFrame) -> DataFrame:
     """doc_id, name, containment: each template that a document holds."""
     spark = docs.sparkSession
     # The templates are a fixed list, so their hashes and band values have a bounded size.
-    known = templates(spark).collect()
+    known = [(r.name, r.hashes) for r in templates(spark).collect()]
     notices = spark.createDataFrame(known, "name string, hashes array<long>")
-    rows = template_bands(notices).collect()
-    index = spark.createDataFrame(rows, "band int, value long, name string")
-    values = [sorted({r.value for r in rows if r.band == b}) for b in range(BANDS)]
-    own = with_shingles(with_text(docs))
-    starts = F.when(F.size("__h") > 0, F.sequence(F.lit(0), F.size("__h") - 1, F.lit(STRIDE)))
-    cut = own.select("doc_id", "__h", F.explode(starts).alias("at"))
-    hit = F.lit(False)
-    band = bands(F.col("at"))
-    for v, known_values in zip(band, values):
-        hit = hit | v.isin(known_values)
-    near = cut.where(hit)
-    each = near.select("doc_id", "__h", "at", F.explode(F.array(*(F.struct(F.lit(b).alias("band"), v.alias("value")) for b, v in enumerate(band)))).alias("b"))
-    found = each.join(F.broadcast(index), (F.col("b.band") == F.col("band")) & (F.col("b.value") == F.col("value"))).join(F.broadcast(notices), "name")
+    index = with_bands(notices.withColumn("__h", F.col("hashes")), F.sequence(F.lit(0), F.greatest(F.lit(0), F.size("__h") - WINDOW))).select("name", F.col("value").alias("known")).distinct()
+    own = with_bands(with_shingles(with_text(docs)), F.when(F.size("__h") > 0, F.sequence(F.lit(0), F.size("__h") - 1, F.lit(STRIDE))))
+    # Bands permute differently, so equal values are of one band but by an accident, which the verification drops.
+    found = own.join(F.broadcast(index), F.col("value") == F.col("known")).join(F.broadcast(notices), "name")
     # A window names each of its templates once: the bands that agree are one retrieval.
     reach = 2 * F.size("hashes") + WINDOW
     first = F.greatest(F.lit(0), F.col("at") - reach)
