@@ -8,8 +8,8 @@ sequence i lies in batch i // BATCH at row i % BATCH; from a memory map it is re
 moved to their own, so a repeated or lost task leaves whole files only; equal inputs make equal bytes.
 
 A document's ids depend on nothing around it. Where the tokenizer is byte-level BPE with its usual split, a single
-space between a visible character and a letter always starts a new piece, so pieces cut there are encoded once and
-then looked up; any other tokenizer gets whole texts.
+space between visible characters always starts a new piece, so pieces cut there are encoded once and then looked up;
+texts with other spacing, and any other tokenizer, are encoded whole.
 
 Defined results: a null text is empty and has the end id alone; rows are ordered by doc_id (null last), then by text;
 repeated rows are written as often as they come; an empty table writes nothing; other columns are ignored.
@@ -32,11 +32,13 @@ from tokenizers import Tokenizer
 
 from lumiflux.llm.common import materialise, new_folder, with_text
 
-END, LENGTH, BATCH, CACHED = 2, 2048, 64, 300_000
-CUT = re.compile("(?<=[!-~¡-ɏ]) (?=[A-Za-zÀ-ÖØ-öø-ɏ])")
-
-#: A word and the marks after it. The marks are those that byte-level BPE splits from words in one run.
-SIMPLE = re.compile("([A-Za-zÀ-ÖØ-öø-ɏ]+)([.,;:!?()-]{0,8})")
+END, LENGTH, BATCH, CACHED = 2, 2048, 64, 400_000
+#: Characters that every version of the split takes for visible, and those that it takes for letters.
+LETTER = "A-Za-zÀ-ÖØ-öø-ɏ"
+WHOLE = re.compile(f"(?s)[!-~{LETTER}](?:.*[!-~{LETTER}])?")
+#: Words with marks after them, in lines: each word, run of marks and line end is a pre-token of its own.
+SIMPLE = re.compile(f"[{LETTER}]+[.,;:!?()-]{{0,8}}(?:\n[{LETTER}]+[.,;:!?()-]{{0,8}})*")
+LINE = re.compile(f"([{LETTER}]+)([.,;:!?()-]{{0,8}})\n?")
 
 
 def _byte_letters() -> dict[int, str]:
@@ -51,6 +53,73 @@ BYTE_LETTERS = _byte_letters()
 _encoders: dict[str, Encoder] = {}
 
 
+class Pieces(dict):
+    """Ids of pieces that stand between single spaces, each with the space before it; KeyError for one that may not be
+    encoded alone because it is empty or has white space at an end. When full, the pieces become the old generation,
+    from which those still in use come back."""
+
+    def __init__(self, tokenizer: Tokenizer, code: str):
+        super().__init__()
+        self.tokenizer, self.code, self.model = tokenizer, code, tokenizer.model
+        self.old: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {}
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.old.get(piece)
+        if ids is None:
+            m = LINE.match(piece)
+            if m and m.end() == len(piece) and piece[-1] != "\n":
+                ids = self._word(m[1], m[1]) if not m[2] else (self.get(m[1]) or self._word(m[1], m[1])) + self._mark(m[2])
+            elif SIMPLE.fullmatch(piece):
+                ids = self.lines(" ", piece)
+            elif WHOLE.fullmatch(piece):
+                ids = self.plain(" " + piece)
+            else:
+                raise KeyError(piece)
+        self[piece] = ids
+        return ids
+
+    def age(self) -> None:
+        self.old = dict(self)
+        self.clear()
+        self.marks.clear()
+
+    def plain(self, text: str) -> bytes:
+        return array(self.code, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def lines(self, space: str, piece: str) -> bytes:
+        """A SIMPLE piece: its first word has the given space before it, the first words of further lines have none."""
+        out = []
+        for m in LINE.finditer(piece):
+            key = m[1] if space else "\n" + m[1]
+            out.append(self.get(key) or self._word(key, m[1] if space else None))
+            out.append(self._mark(m[2]))
+            if m[0][-1] == "\n":
+                out.append(self._mark("\n"))
+            space = ""
+        return b"".join(out)
+
+    def _word(self, key: str, spaced: str | None) -> bytes:
+        """A word is a pre-token, with its space if it has one, and goes straight to the model."""
+        ids = self.old.get(key)
+        if ids is None:
+            ids = self._one("\u0120" + spaced if spaced and spaced.isascii() else _mapped(" " + spaced if spaced else key[1:]))
+        self[key] = ids
+        return ids
+
+    def _mark(self, marks: str) -> bytes:
+        if marks not in self.marks:
+            self.marks[marks] = self._one(_mapped(marks)) if marks else b""
+        return self.marks[marks]
+
+    def _one(self, letters: str) -> bytes:
+        return array(self.code, [t.id for t in self.model.tokenize(letters)]).tobytes()
+
+
+def _mapped(text: str) -> str:
+    return text.encode().decode("latin-1").translate(BYTE_LETTERS)
+
+
 class Encoder:
     """Texts to the bytes of their ids."""
 
@@ -58,55 +127,32 @@ class Encoder:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has a core, not the machine
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
-        self.code = "H" if self.dtype.itemsize == 2 else "I"
         pre = self.tokenizer.pre_tokenizer
         self.cuts = type(pre).__name__ == "ByteLevel" and pre.use_regex and not pre.add_prefix_space and self.tokenizer.normalizer is None
-        self.known: dict[str, bytes] = {}
-        self.marks: dict[str, bytes] = {}
-
-    def _plain(self, texts: list[str]) -> list[bytes]:
-        return [array(self.code, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        self.pieces = Pieces(self.tokenizer, "H" if self.dtype.itemsize == 2 else "I")
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if not self.cuts:
-            return self._plain(texts)
-        if len(self.known) > CACHED:
-            self.known.clear()
-            self.marks.clear()
-        pieces = [CUT.split(t) for t in texts]
-        # A text's first and last pieces may hold white space at their ends; all between begin and end visibly.
-        ends = self._plain([x for p in pieces for x in ((p[0],) if len(p) == 1 else (p[0], " " + p[-1]))])
-        known = self.known
-        new = list({x for p in pieces for x in p[1:-1] if x not in known})
-        self._learn(new)
-        get = known.__getitem__
-        out, at = [], 0
-        for p in pieces:
-            out.append(ends[at] if len(p) == 1 else ends[at] + b"".join(map(get, p[1:-1])) + ends[at + 1])
-            at += 1 if len(p) == 1 else 2
-        return out
-
-    def _learn(self, new: list[str]) -> None:
-        """A word, with its space, is one pre-token and so is a run of marks after it: these go straight to the model."""
-        known, hard = self.known, []
-        for x in new:
-            if not (m := SIMPLE.fullmatch(x)):
-                hard.append(x)
-                continue
-            word, marks = m.groups()
-            ids = known.get(word)
-            if ids is None:
-                ids = known[word] = self._one("\u0120" + word if word.isascii() else " " + word, word.isascii())
-            if marks:
-                if (tail := self.marks.get(marks)) is None:
-                    tail = self.marks[marks] = self._one(marks, True)
-                known[x] = ids + tail
-        known.update(zip(hard, self._plain([" " + x for x in hard])))
-
-    def _one(self, piece: str, mapped: bool) -> bytes:
-        """One pre-token; mapped says that its bytes are already in the letters of the byte-level alphabet."""
-        letters = piece if mapped else piece.encode().decode("latin-1").translate(BYTE_LETTERS)
-        return array(self.code, [t.id for t in self.tokenizer.model.tokenize(letters)]).tobytes()
+        known = self.pieces
+        if len(known) > CACHED:
+            known.age()
+        return [self._text(t) if self.cuts else known.plain(t) for t in texts]
+
+    def _text(self, text: str) -> bytes:
+        known = self.pieces
+        first, *middle = text.split(" ")
+        if not middle or not WHOLE.fullmatch(first):
+            return known.plain(text)
+        last = middle.pop()
+        try:
+            body = b"".join(map(known.__getitem__, middle))
+            # The last piece may end in white space, which nothing follows, but has to begin visibly.
+            tail = known[last] if WHOLE.fullmatch(last) else known.plain(" " + last) if last and WHOLE.fullmatch(last[0]) else None
+        except KeyError:
+            tail = None
+        if tail is None:  # spaces in a row, or characters of doubtful kind: the text in one
+            return known.plain(text)
+        head = known.lines("", first) if SIMPLE.fullmatch(first) else known.plain(first)
+        return head + body + tail
 
 
 def encoder(path: str) -> Encoder:
