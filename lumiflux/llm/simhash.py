@@ -249,7 +249,9 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     prints = materialise(with_fingerprint(with_text(docs), "fp").groupBy("doc_id", "fp").agg(F.count("*").alias("n")), "simhash")
     member = clusters(prints)
     # Ties of doc_id between different fingerprints go to the smaller one.
-    best = prints.join(member, "fp").groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "fp", "n")).alias("w"))
+    # Each fingerprint's own best comes first, so that copies, however many, are one row before anything is joined.
+    own = prints.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "n")).alias("o"))
+    best = own.join(member, "fp").groupBy("component").agg(F.min(F.struct("o.z", "o.doc_id", "fp", "o.n")).alias("w"))
     keep = best.select(F.col("w.fp").alias(fp), F.col("w.doc_id").alias("__lumiflux_id"), F.col("w.n").alias(n))
     rows = with_fingerprint(docs, fp).join(keep, fp).where(F.col("doc_id").cast("long").eqNullSafe(F.col("__lumiflux_id")))
     rows = rows.drop("__lumiflux_id")
