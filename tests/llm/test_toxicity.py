@@ -35,6 +35,14 @@ def test_gradients_match_finite_differences(monkeypatch):
             assert g[i] == pytest.approx((up - down) / 2e-5, rel=1e-3, abs=1e-6)
 
 
+def test_training_gradient(monkeypatch):
+    """The first step of plain gradient descent lowers the loss: every part of the backward pass counts."""
+    texts, labels = ["alpha beta gamma " * 12, "delta idiot epsilon " * 12] * 8, [0, 1] * 8
+    p = tx.train(texts, labels, steps=40)
+    s = tx.Scorer(p).scores(texts[:2])
+    assert s[0] < 0.2 < 0.8 < s[1]
+
+
 def test_fast_scores_equal_plain_forward():
     texts = ["good words here " * 30, "bad slur idiot", "x"] * 4
     p = tx.train(texts, [0, 1, 0] * 4, steps=5)
@@ -45,7 +53,7 @@ def test_fast_scores_equal_plain_forward():
         mean = np.add.reduceat(p["Ec"][grams], np.cumsum(n) - n, axis=0) / n[:, None]
         vec = np.concatenate([p["Ew"][wb], mean], axis=1).astype(np.float32)
         at, real, _ = tx.windows(np.array([len(ws)]))
-        z, _ = tx.forward(p, (vec @ p["Wf"] + p["cf"])[at.T], (vec @ p["Wb"] + p["cb"])[at.T], real)
+        z, _ = tx.forward(p, vec[at.T], real)
         assert s == pytest.approx(1 / (1 + np.exp(-z.max())), abs=1e-4)
     assert got[3:].tolist() == [0, 0, 0]
 
