@@ -83,7 +83,7 @@ def nan_weighted_resample(pixels: DataFrame, rows, cols, near_rows, near_cols, k
     valid = pixels.withColumn("v", F.when(missing("v").isNotNull(), 1.0).otherwise(0.0))
     num = resampled(filled, rows, cols, keys)
     w = resampled(valid, near_rows, near_cols, keys).withColumnRenamed("v", "w")
-    return num.join(w, [*keys, "y", "x"]).withColumn("v", F.when(F.col("w") != 0, F.col("v") / F.col("w")).otherwise(F.lit(NAN))).drop("w")
+    return num.join(w, [*keys, "y", "x"]).withColumn("v", F.when(F.col("w") != 0, F.try_divide("v", "w")).otherwise(F.lit(NAN))).drop("w")
 
 
 def temporal(pixels: DataFrame, how: str, keys: Sequence[str] = ("y", "x")) -> DataFrame:

@@ -30,11 +30,11 @@ def regress(pixels: DataFrame, blue: str = "blue", green: str = "green", keys: S
         alpha, beta = F.regr_slope("__b", "__g").over(w), F.regr_intercept("__b", "__g").over(w)
         r2 = F.when(F.min("__b").over(w) < F.max("__b").over(w), F.regr_r2("__b", "__g").over(w)).otherwise(0.0)
     else:
-        alpha, beta = F.sum(F.col("__b") * F.col("__g")).over(w) / F.sum(F.col("__g") * F.col("__g")).over(w), F.lit(0.0)
+        alpha, beta = F.try_divide(F.sum(F.col("__b") * F.col("__g")).over(w), F.sum(F.col("__g") * F.col("__g")).over(w)), F.lit(0.0)
         total = F.var_pop("__b").over(w) * F.count("__b").over(w)
         # Residuals without intercept: sum b^2 - alpha sum b g.
         rest = F.sum(F.col("__b") * F.col("__b")).over(w) - alpha * F.sum(F.col("__b") * F.col("__g")).over(w)
-        r2 = F.when(total > 0, 1 - rest / total).otherwise(0.0)
+        r2 = F.when(total > 0, 1 - F.try_divide(rest, total)).otherwise(0.0)
     fitted = rows.withColumns({"alpha": F.when(ok, alpha).otherwise(0.0), "beta": F.when(ok, beta).otherwise(0.0), "r2": F.when(ok, r2).otherwise(0.0)})
     return fitted.withColumn("corrected", F.col(blue) - F.col("alpha") * F.col(green) - F.col("beta")).drop("__b", "__g")
 
@@ -57,11 +57,12 @@ def regress_global(pixels: DataFrame, blue: str = "blue", green: str = "green")
 
 
 def subtract_scaled(pixels: DataFrame, blue: str = "blue", green: str = "green", alpha: float | None = None) -> DataFrame:
-    """blue - alpha green, alpha = correlation x ratio of deviations over all finite pairs; 0.1 without any pair."""
+    """blue - alpha green; alpha, the correlation times the ratio of deviations over all finite pairs, is the slope of
+    their fit; 0.1 without any pair."""
     if alpha is not None:
         return pixels.withColumn("alpha", F.lit(float(alpha))).withColumn("corrected", F.col(blue) - F.col("alpha") * F.col(green))
     b, g = _pairs(blue, green)
-    one = pixels.select(b.alias("__b"), g.alias("__g")).agg(F.when(F.count("__b") == 0, 0.1).when(F.min("__g") < F.max("__g"), F.coalesce(F.corr("__b", "__g"), F.lit(0.0)) * F.stddev_pop("__b") / F.stddev_pop("__g")).alias("alpha"))
+    one = pixels.select(b.alias("__b"), g.alias("__g")).agg(F.when(F.count("__b") == 0, 0.1).when(F.min("__g") < F.max("__g"), F.regr_slope("__b", "__g")).alias("alpha"))
     return pixels.crossJoin(F.broadcast(one)).withColumn("corrected", F.coalesce(F.col(blue) - F.col("alpha") * F.col(green), F.col(blue)))
 
 
@@ -106,7 +107,7 @@ def hb_dual(pixels: DataFrame, inverse: tuple[float, float, float, float], basel
         rows = rows.withColumn(f"__{c}", base)
     od = {}
     for c in ("green", "red"):
-        ratio = F.when(F.col(f"__{c}") != 0, F.col(c) / F.col(f"__{c}"))
+        ratio = F.try_divide(F.col(c), F.col(f"__{c}"))
         if clip_ratio:
             ratio = F.greatest(F.lit(0.1), F.least(F.lit(10.0), ratio))
         od[c] = F.coalesce(optical_density(ratio), F.lit(0.0))
@@ -117,7 +118,7 @@ def hb_dual(pixels: DataFrame, inverse: tuple[float, float, float, float], basel
 
 def clipped_share(pixels: DataFrame, baseline=(0, 100), keys: Sequence[str] = ("y", "x"), channel: str = "v", low: float = 0.1, high: float = 10.0) -> DataFrame:
     """How many ratios to the baseline clipping would change, and their percentage."""
-    ratio = F.col(channel) / F.avg(F.when(in_baseline(baseline), F.col(channel))).over(W.partitionBy(*keys))
+    ratio = F.try_divide(F.col(channel), F.avg(F.when(in_baseline(baseline), F.col(channel))).over(W.partitionBy(*keys)))
     out = pixels.select(ratio.alias("r"))
     n = F.count_if((F.col("r") < low) | (F.col("r") > high))
     return out.agg(n.alias("n_clipped"), F.when(F.count("*") > 0, 100.0 * n / F.count("*")).alias("pct_clipped"))

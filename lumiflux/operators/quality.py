@@ -33,14 +33,14 @@ def metrics(traces: DataFrame, keys: Sequence[str] = ("label",)) -> DataFrame:
     rows = traces.select(*keys, "t", "v", step.alias("jump"), place.alias("i"), F.avg("v").over(own).alias("m"), F.stddev_pop("v").over(own).alias("s"))
     mean, std, n = F.avg("v"), F.stddev_pop("v"), F.count("*")
     slope = F.regr_slope("v", F.col("i").cast("double"))
-    r2 = F.when(F.min("v") < F.max("v"), F.pow(F.corr("v", F.col("i").cast("double")), F.lit(2)))
+    r2 = F.when(F.min("v") < F.max("v"), F.regr_r2("v", F.col("i").cast("double")))
     columns = {
         "n": n,
         "mean": mean,
         "std": std,
-        "snr": F.when(std > 0, F.abs(mean) / std).otherwise(0.0),
+        "snr": F.when(std > 0, F.try_divide(F.abs(mean), std)).otherwise(0.0),
         "range": F.max("v") - F.min("v"),
-        "cv": F.when(mean != 0, std / F.abs(mean)).otherwise(float("inf")),
+        "cv": F.when(mean != 0, F.try_divide(std, F.abs(mean))).otherwise(float("inf")),
         "drift_slope": slope,
         "drift_magnitude": F.abs(slope * n),
         "drift_r2": r2,
