@@ -16,6 +16,8 @@ doc_id is the lowest; a single document is its own next; an empty table gives an
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
+
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from lumiflux.llm.common import with_text
@@ -24,6 +26,8 @@ from lumiflux.llm.common import with_text
 K, WINDOW = 12, 16
 #: Documents to a range, about.
 RANGE_ROWS = 2048
+#: Ranges at most (larger inputs have longer ones), and cells of the table that finds a key's range.
+MAX_RANGES, CELLS = 100_000, 1 << 16
 LEAST = -(1 << 63)
 #: The hash goes to the upper bits and the distance from the end to the lower ones: the least is the rightmost of equals.
 PLACE_BITS = 24
@@ -84,27 +88,40 @@ def likeness(a: Column, b: Column) -> Column:
 def following(docs: DataFrame) -> DataFrame:
     """doc_id, text, next_text and __part, __guest, __key: the order within each range, for further windows over it."""
     own = with_text(docs).withColumn("__key", F.coalesce("doc_id", F.lit(LEAST)))
-    count, most = own.agg(F.count("*"), F.max("__key")).first()
-    n = max(1, count // RANGE_ROWS)
-    marks = own.agg(F.percentile_approx("__key", [i / n for i in range(1, n)] or [0.5], 10 * n)).first()[0] if count else []
-    marks = sorted(set(marks or [])) if n > 1 else []
-    # The range of a key is the number of marks at or below it.
-    part = F.size(F.filter(F.array(*(F.lit(m) for m in marks)), lambda m: m <= F.col("__key"))) if marks else F.lit(0)
-    own = own.withColumn("__part", part)
-    # One key a range comes to the driver: the first row of each range is also a guest at the end of the one before it.
+    count, lo, hi = own.agg(F.count("*"), F.min("doc_id"), F.max("doc_id")).first()
+    own = _ranged(own, count, lo, hi)
+    # One key a range comes to the driver, at most MAX_RANGES: the first row of a range is also a guest at the end of
+    # the one before it.
     heads = {r["__part"]: r["m"] for r in own.groupBy("__part").agg(F.max("__key").alias("m")).collect()}
     ranges = sorted(heads)
-    before = {heads[r]: ranges[i + 1] if i + 1 < len(ranges) else ranges[0] for i, r in enumerate(ranges)}
-    if not before:
-        return own.withColumn("__guest", F.lit(0)).withColumn("next_text", F.col("text"))
-    hosts = F.create_map(*(F.lit(x) for kv in before.items() for x in kv))
+    hosts = [(heads[r], ranges[(i + 1) % len(ranges)]) for i, r in enumerate(ranges)]
+    hosts = docs.sparkSession.createDataFrame(hosts, "__head long, __host int")
+    own = own.join(F.broadcast(hosts), F.col("__key") == F.col("__head"), "left")
     at_home = F.struct(F.col("__part").alias("p"), F.lit(0).alias("g"))
-    host = F.when(F.col("__key").isin(*before), F.struct(F.element_at(hosts, F.col("__key")).alias("p"), F.lit(1).alias("g")))
+    host = F.when(F.col("__host").isNotNull(), F.struct(F.col("__host").alias("p"), F.lit(1).alias("g")))
     dealt = own.withColumn("__at", F.explode(F.array_compact(F.array(at_home, host))))
     dealt = dealt.select("doc_id", "text", "__key", F.col("__at.p").alias("__part"), F.col("__at.g").alias("__guest"))
     return dealt.withColumn("next_text", F.lead("text").over(order()))
 
 
+def _ranged(own: DataFrame, count: int, lo: int | None, hi: int | None) -> DataFrame:
+    """__part, the number of marks (approximate quantiles of the keys) at or below the key. A row finds its few marks by
+    a cell of the span of keys, in a broadcast table of at most CELLS rows and MAX_RANGES marks."""
+    n = min(MAX_RANGES, count // RANGE_ROWS)
+    if n < 2 or lo is None or lo == hi:
+        return own.withColumn("__part", F.lit(0))
+    marks = sorted(set(own.agg(F.percentile_approx("__key", [i / n for i in range(1, n)], 10 * n)).first()[0]))
+    cells, span = min(CELLS, 4 * n), float(hi) - float(lo)
+    of = [max(0, min(cells - 1, int((float(m) - float(lo)) / span * cells))) for m in marks]
+    table = [(c, bisect_left(of, c), marks[bisect_left(of, c) : bisect_right(of, c)]) for c in range(cells)]
+    table = own.sparkSession.createDataFrame(table, "__cell int, __below int, __marks array<long>")
+    place = (F.col("__key").cast("double") - F.lit(float(lo))) / F.lit(span) * F.lit(float(cells))
+    cell = F.floor(F.greatest(F.lit(0.0), F.least(F.lit(cells - 1.0), place))).cast("int")
+    found = own.withColumn("__c", cell).join(F.broadcast(table), F.col("__c") == F.col("__cell"))
+    part = F.col("__below") + F.size(F.filter("__marks", lambda m: m <= F.col("__key")))
+    return found.withColumn("__part", part).drop("__c", "__cell", "__below", "__marks")
+
+
 def order() -> W:
     return W.partitionBy("__part").orderBy("__guest", F.col("__key").desc(), "text")
 
