@@ -23,16 +23,11 @@ def in_baseline(baseline: tuple[int | None, int | None] | None, length: int | No
     return low if b is None else low & (F.col(t) < b)
 
 
-def patched(f0: DataFrame, group: Sequence[str], value: str = "f0") -> DataFrame:
-    """Zeros become the median of the positive values of the group's image, or 1 without any."""
-    positive = F.median(F.when(F.col(value) > 0, F.col(value)))
-    # One value an image: an aggregate and a join on the image's key, or one row for all.
-    if group:
-        fill = f0.groupBy(*group).agg(positive.alias("__m"))
-        joined = f0.join(fill, list(group))
-    else:
-        joined = f0.crossJoin(F.broadcast(f0.agg(positive.alias("__m"))))  # a single row
-    return joined.withColumn(value, F.when(F.col(value) == 0, F.coalesce("__m", F.lit(1.0))).otherwise(F.col(value))).drop("__m")
+def patched(f0: DataFrame, image: Sequence[str], value: str = "f0") -> DataFrame:
+    """Zeros become the median of the positive values of their image, or 1 without any. A window holds one image."""
+    fill = F.median(F.when(F.col(value) > 0, F.col(value))).over(W.partitionBy(*image))
+    filled = f0.withColumn("__m", fill)
+    return filled.withColumn(value, F.when(F.col(value) == 0, F.coalesce("__m", F.lit(1.0))).otherwise(F.col(value))).drop("__m")
 
 
 def baseline_f0(pixels: DataFrame, baseline=None, keys: Sequence[str] = ("y", "x"), image: Sequence[str] = ()) -> DataFrame:
