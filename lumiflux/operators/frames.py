@@ -87,7 +87,25 @@ def nan_weighted_resample(pixels: DataFrame, rows, cols, near_rows, near_cols, k
 
 
 def temporal(pixels: DataFrame, how: str, keys: Sequence[str] = ("y", "x")) -> DataFrame:
-    """Mean, median or standard deviation of each pixel over time; any NaN makes it NaN, as in the reference."""
+    """Mean, median or standard deviation of each pixel over time; any NaN makes it NaN."""
     f = {"mean": F.avg, "median": F.median, "std": F.stddev_pop}[how]
     v = f("v")
     return pixels.groupBy(*keys).agg((v if how != "median" else F.when(F.max(F.isnan("v")), F.lit(NAN)).otherwise(v)).alias("v"))
+
+
+def downsample_nanmean(pixels: DataFrame, height: int, width: int, scale: float | None = None, target: tuple[int, int] | None = None, order: int = 1, keys: Sequence[str] = ("t",)) -> DataFrame:
+    """Shrinks movies with missing pixels: nearest for order 0, block means for whole factors, else weighted."""
+    from lumiflux.functions.kernels import axis_weights, out_size
+
+    if scale is None and target is None:
+        raise ValueError("scale or target is needed")
+    h, w = target or (out_size(height, scale), out_size(width, scale))
+    factors = (1 / scale, 1 / scale) if target is None else (height / h, width / w)
+    sparse = lambda m: [(o, i, float(m[o, i])) for o in range(len(m)) for i in range(len(m[0])) if m[o, i]]
+    near = [sparse(axis_weights(a, b, 0)) for a, b in ((height, h), (width, w))]
+    if order == 0:
+        return resampled(pixels, *near, keys)
+    if all(abs(f - round(f)) < 1e-9 for f in factors):
+        return block_nanmean(pixels, round(factors[0]), round(factors[1]), height, width, keys)
+    smooth = [sparse(axis_weights(a, b, order)) for a, b in ((height, h), (width, w))]
+    return nan_weighted_resample(pixels, *smooth, *near, keys)

@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lumiflux.functions import geometry, kernels
-from lumiflux.operators import frames as fr, hemodynamics as hemo, images, masks, normalise, quality, warp
+from lumiflux.operators import frames as fr, hemodynamics as hemo, images, masks, normalise, quality, views, warp
 from lumiflux.plans import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -422,6 +422,54 @@ def welch_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r6(quality.spectra(fx.traces(spark, sf_dir), 10.0), *names)
 
 
+# --- views
+
+
+@query("SELECT t, y, x, round(v, 6) AS v FROM blue WHERE t = 3")
+def frame_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = fx.n_frames(spark, sf_dir) // 3
+    return r6(views.frame_at(fx.channel(spark, sf_dir, "blue"), n + 3, n), "v")
+
+
+@query("SELECT y, x, round(b, 6) AS before, round(a, 6) AS after, round(abs(a - b), 6) AS difference FROM (SELECT y, x, avg(v) AS b FROM blue GROUP BY y, x) JOIN (SELECT y, x, avg(v) AS a FROM green GROUP BY y, x) USING (y, x)")
+def before_and_after(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pair = (fx.channel(spark, sf_dir, c) for c in ("blue", "green"))
+    return r6(views.before_and_after(*pair), "before", "after", "difference")
+
+
+@query("SELECT t, round(avg(v), 6) AS v FROM blue SEMI JOIN mask USING (y, x) WHERE t >= 5 AND t < 60 GROUP BY t")
+def view_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return r6(views.region_mean(views.in_window(fx.channel(spark, sf_dir, "blue"), 5, 60), fx.mask(spark)), "v")
+
+
+@query("SELECT y, x, label, (CASE label WHEN 2 THEN 1 WHEN 4 THEN 2 ELSE 0 END)::INT AS ordinal FROM atlas")
+def region_ordinals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return views.ordinals(fx.atlas(spark), fx.atlas(spark).where("label in (2, 4)"))
+
+
+@query("WITH s AS (SELECT 'calcium' AS signal, label, t, v FROM tr UNION ALL SELECT 'other', label, t, -v FROM tr WHERE t < 50), m AS (SELECT signal, label, stddev_pop(v) AS sd, abs(avg(v)) AS a, avg(v) AS mu, regr_r2(v, t::DOUBLE) AS r2, count(*) AS n FROM s GROUP BY signal, label), o AS (SELECT signal, label, avg((abs(v - mu) > 3 * sd)::INT::DOUBLE) AS f FROM s JOIN m USING (signal, label) GROUP BY signal, label), q AS (SELECT signal, CASE signal WHEN 'calcium' THEN coalesce(a / sd < 0.5, false) OR sd / a > 5 OR f > 0.1 OR r2 > 0.3 ELSE coalesce(a / sd < 0.3, false) OR sd / a > 8 OR f > 0.15 END AS bad FROM m JOIN o USING (signal, label) WHERE n >= 10) SELECT signal, count(*) AS total_rois, count(*) FILTER (WHERE NOT bad) AS good_rois, count(*) FILTER (WHERE bad) AS problematic_rois, round(count(*) FILTER (WHERE NOT bad) / count(*), 6) AS quality_fraction FROM q GROUP BY signal")
+def signal_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tr = fx.traces(spark, sf_dir)
+    both = views.merge({"calcium": tr, "other": tr.where("t < 50").withColumn("v", -F.col("v"))})
+    return r6(quality.compare(both, ("calcium", "other")), "quality_fraction")
+
+
+@query("SELECT DISTINCT label FROM atlas WHERE label > 0 AND label NOT IN (SELECT label FROM tr)")
+def missing_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return views.missing_labels(fx.atlas(spark).where("label > 0"), fx.traces(spark, sf_dir))
+
+
+def sampled_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """At most 10,000 random pairs, as a scatter plot takes them."""
+    return r6(views.sample(corrected_dff(spark, sf_dir), ("green", "blue")), "green", "blue")
+
+
+def downsample_nanmean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """8 x 8 with a masked border to 3 x 3: no whole factor, so weights."""
+    holes = masks.apply_mask(fx.channel(spark, sf_dir, "blue"), fx.mask(spark))
+    return r6(fr.downsample_nanmean(holes, S, S, target=(3, 3)), "v")
+
+
 # --- images
 
 
@@ -450,5 +498,5 @@ def landmark_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([(i, j, round(float(m[i, j]), 6) + 0.0, round(r["mean"], 6)) for i in range(3) for j in range(3)], "row int, col int, value double, mean_residual double")
 
 
-for _f in (resize_antialiased, butter_bandpass, welch_bands, motion_shifts, vessel_mask, brain_mask, landmark_fit):
+for _f in (sampled_points, downsample_nanmean, resize_antialiased, butter_bandpass, welch_bands, motion_shifts, vessel_mask, brain_mask, landmark_fit):
     query()(_f)
