@@ -103,3 +103,27 @@ def masked_by(images: DataFrame, height: int, width: int, kernel, keys: Sequence
         return pd.DataFrame({**{k: [v] * len(y) for k, v in zip(keys, key)}, "y": y.astype(np.int32), "x": x.astype(np.int32)})
 
     return images.select(*keys, "y", "x", "v").groupBy(*keys).applyInPandas(one, f"{kinds}, y int, x int")
+
+
+def brain_mask(image: DataFrame, height: int, width: int, method: str = "auto", deviation: DataFrame | None = None, atlas: DataFrame | None = None, add: DataFrame | None = None, subtract: DataFrame | None = None, **options) -> DataFrame:
+    """The mask (y, x) of one image. auto: thresholds and morphology; hybrid: auto, then polygons added and subtracted;
+    manual: the added polygons alone; simple: the footprint of the atlas, or the added polygons without one."""
+    from lumiflux.operators import masks
+    from lumiflux.operators.frames import grid
+
+    spark = image.sparkSession
+    drawn = lambda p: masks.polygon(grid(spark, height, width), p)
+    if method == "simple" and atlas is not None:
+        return masks.footprint(atlas)
+    if method in ("manual", "simple"):
+        if add is None:
+            raise ValueError(f"method {method!r} needs polygons")
+        return masks.difference(drawn(add), drawn(subtract)) if subtract is not None else drawn(add)
+    if method not in ("auto", "hybrid"):
+        raise ValueError(f"unknown method {method!r}")
+    # One image: its size has a bound, which to_image() checks.
+    filled = lambda p: [to_image(drawn(p).withColumn("v", F.lit(1.0)), height, width, missing=0.0) > 0] if p is not None and method == "hybrid" else []
+    spread = None if deviation is None else to_image(deviation, height, width)
+    found = kernels.brain_mask(to_image(image, height, width), spread, filled(add), filled(subtract), **options)
+    y, x = np.nonzero(found)
+    return spark.createDataFrame(list(zip(y.tolist(), x.tolist())), "y int, x int")

@@ -180,3 +180,46 @@ def test_frames_through_kernels(spark, noise):
     assert images.filtered(traces, 10.0) is traces
     whole = fr.to_pixels(fr.to_frames(traces, ("t",)), 4)
     assert np.allclose(stack_of(whole, noise.shape), noise)
+
+
+def test_brain_masks(spark):
+    y, x = np.mgrid[:40, :40]
+    disc = ((y - 20) ** 2 + (x - 20) ** 2 < 150) * 9.0 + np.random.default_rng(0).uniform(0, 1, (40, 40))
+    image = movie(spark, disc[None]).drop("t")
+    options = {"top_hat": 30, "low_percentile": 70, "close": 2, "open_": 1, "least": 20}
+    auto = {(r.y, r.x) for r in images.brain_mask(image, 40, 40, **options).collect()}
+    assert (20, 20) in auto and (1, 1) not in auto
+    corner = spark.createDataFrame([(1, 0, -0.5, -0.5), (1, 1, 39.5, -0.5), (1, 2, 39.5, 20.5), (1, 3, -0.5, 20.5)], "polygon_id int, vertex int, x double, y double")
+    cut = {(r.y, r.x) for r in images.brain_mask(image, 40, 40, "hybrid", subtract=corner, **options).collect()}
+    assert cut and max(auto) == max(cut) and min(cut)[0] > 17
+    assert images.brain_mask(image, 40, 40, "manual", add=corner).count() == 40 * 21
+    atlas = fr.grid(spark, 4, 4).withColumn("label", F.col("x"))
+    assert images.brain_mask(image, 40, 40, "simple", atlas=atlas).count() == 12
+    for bad in ("manual", "other"):
+        with pytest.raises(ValueError):
+            images.brain_mask(image, 40, 40, bad)
+
+
+def test_downsampling_with_missing_pixels(spark):
+    s = np.arange(36.0).reshape(1, 6, 6)
+    s[0, 0, 0] = np.nan
+    half = stack_of(fr.downsample_nanmean(movie(spark, s), 6, 6, 0.5), (1, 3, 3))[0]
+    assert half[0, 0] == pytest.approx(np.mean([1, 6, 7]))
+    near = stack_of(fr.downsample_nanmean(movie(spark, s), 6, 6, 0.5, order=0), (1, 3, 3))[0]
+    assert near[1, 1] == s[0, 3, 3]
+    odd = stack_of(fr.downsample_nanmean(movie(spark, s), 6, 6, target=(4, 4)), (1, 4, 4))[0]
+    assert np.isnan(odd[0, 0]) and np.isfinite(odd[2, 2])
+    with pytest.raises(ValueError):
+        fr.downsample_nanmean(movie(spark, s), 6, 6)
+
+
+def test_full_report(spark):
+    from lumiflux.operators import views
+
+    rng = np.random.default_rng(4)
+    tr = spark.createDataFrame([(l, t, float(v)) for l in (1, 2) for t, v in enumerate(5 + rng.standard_normal(80))], "label int, t long, v double")
+    atlas = fr.grid(spark, 3, 3).withColumn("label", F.col("x"))
+    out = views.full_report({"calcium": tr, "hbo": tr.withColumn("v", F.col("v") - 5)}, atlas, fs=10.0)
+    assert out["metrics"].count() == 4 and "high_freq_fraction" in out["metrics"].columns
+    assert {r.signal for r in out["comparison"].collect()} == {"calcium", "hbo"}
+    assert out["calcium_snr_map"].count() == 9 and out["hbo_issues"].count() == 2
