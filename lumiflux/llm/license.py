@@ -10,8 +10,8 @@ For a retrieved template the share of its shingles that stand in the text near t
 side, twice over) is counted exactly; CONTAINMENT of them or more is a match. Retrieval is a join with the templates'
 bands, whose size is fixed by the list below, so it is broadcast; the text itself is never shuffled.
 
-Defined results: null and empty texts match nothing; each template counts once a document; repeated rows match alike;
-an empty table gives an empty table; other columns are ignored.
+Defined results: null and empty texts match nothing; each template counts once a document; repeated rows match alike,
+and rows that share a doc_id but not the text are told apart by its hash; an empty table gives an empty table; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -83,13 +83,13 @@ def templates(spark) -> DataFrame:
 
 
 def matches(docs: DataFrame) -> DataFrame:
-    """doc_id, name, containment: each template that a document holds."""
+    """doc_id, text_hash, name, containment: each template that a document holds."""
     spark = docs.sparkSession
     # The templates are a fixed list, so their hashes and band values have a bounded size.
     known = [(r.name, r.hashes) for r in templates(spark).collect()]
     notices = spark.createDataFrame(known, "name string, hashes array<long>")
     index = with_bands(notices.withColumn("__h", F.col("hashes")), F.sequence(F.lit(0), F.greatest(F.lit(0), F.size("__h") - WINDOW))).select("name", F.col("value").alias("known")).distinct()
-    own = with_bands(with_shingles(with_text(docs)), F.when(F.size("__h") > 0, F.sequence(F.lit(0), F.size("__h") - 1, F.lit(STRIDE))))
+    own = with_bands(with_shingles(with_text(docs).withColumn("text_hash", F.xxhash64("text"))), F.when(F.size("__h") > 0, F.sequence(F.lit(0), F.size("__h") - 1, F.lit(STRIDE))))
     # Bands permute differently, so equal values are of one band but by an accident, which the verification drops.
     found = own.join(F.broadcast(index), F.col("value") == F.col("known")).join(F.broadcast(notices), "name")
     # A window names each of its templates once: the bands that agree are one retrieval.
@@ -97,17 +97,17 @@ def matches(docs: DataFrame) -> DataFrame:
     first = F.greatest(F.lit(0), F.col("at") - reach)
     around = F.slice("__h", first + 1, F.col("at") - first + reach)
     share = F.size(F.array_intersect(F.col("hashes"), around)) / F.size(F.array_distinct("hashes"))
-    scored = found.select("doc_id", "name", "at", share.alias("containment")).where(F.col("containment") >= CONTAINMENT)
-    per = scored.groupBy("doc_id", "name").agg(F.max("containment").alias("containment"))
-    return per
+    scored = found.select("doc_id", "text_hash", "name", share.alias("containment")).where(F.col("containment") >= CONTAINMENT)
+    return scored.groupBy("doc_id", "text_hash", "name").agg(F.max("containment").alias("containment"))
 
 
 def report(docs: DataFrame) -> DataFrame:
     """A row a document: doc_id, n_licenses, licenses (names in order, comma-joined)."""
-    per = matches(docs).groupBy("doc_id").agg(F.array_join(F.array_sort(F.collect_set("name")), ",").alias("licenses"), F.countDistinct("name").alias("n_licenses"))
-    per = per.select(F.col("doc_id").alias("__id"), "licenses", "n_licenses")
-    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"))
-    return ids.join(per, F.col("doc_id").eqNullSafe(F.col("__id")), "left").select("doc_id", F.coalesce("n_licenses", F.lit(0)).cast("long").alias("n_licenses"), F.coalesce("licenses", F.lit("")).alias("licenses"))
+    names = F.sort_array(F.collect_set("name"))
+    per = matches(docs).groupBy("doc_id", "text_hash").agg(names.alias("names")).withColumnsRenamed({"doc_id": "__id", "text_hash": "__hash"})
+    rows = with_text(docs).select("doc_id", F.xxhash64("text").alias("text_hash"))
+    joined = rows.join(per, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("text_hash") == F.col("__hash")), "left")
+    return joined.select("doc_id", F.when(F.col("names").isNotNull(), F.size("names")).otherwise(0).cast("long").alias("n_licenses"), F.coalesce(F.array_join("names", ","), F.lit("")).alias("licenses"))
 
 
 def _sql() -> str:

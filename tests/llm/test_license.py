@@ -18,8 +18,8 @@ def test_against_brute_force(spark, docs, rows, sf, empty):
     more += [t[0].replace("obtain", "get"), t[8][: len(t[8]) // 2], "Released under the MIT", " ".join(t)]
     every = docs.select("doc_id", "text").unionByName(spark.createDataFrame(list(enumerate(more, 500)), "doc_id long, text string"))
     every = every.unionByName(spark.read.parquet(f"{sf}/documents.parquet").selectExpr("doc_id + 10000 AS doc_id", "text"))
-    want = sorted((str(r.doc_id), ",".join(plain(r.text))) for r in every.where("doc_id is not null and doc_id not in (3, 4)").collect())
-    got = license.report(every).where("doc_id is not null and doc_id not in (3, 4)").collect()
+    want = sorted((str(r.doc_id), ",".join(plain(r.text))) for r in every.collect())
+    got = license.report(every).collect()
     assert sorted((str(r.doc_id), r.licenses) for r in got) == want
     assert sum(r.n_licenses for r in got) > 30
     assert license.report(docs).count() == len(rows) and license.report(empty).count() == 0
