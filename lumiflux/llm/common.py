@@ -27,7 +27,10 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/lumiflux/{label}-{uuid.uuid4().hex}"
+    """A new folder's full URI: a bare path is one of the cluster's default file system, which workers would not know."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/lumiflux/{label}-{uuid.uuid4().hex}")
+    full = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    return f"file://{full.removeprefix('file:')}" if full.startswith("file:/") and not full.startswith("file://") else full
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:

@@ -2,7 +2,6 @@ import random
 from collections import defaultdict
 
 import numpy as np
-import xxhash
 
 from lumiflux.llm import substring
 
@@ -74,4 +73,4 @@ def test_removal_leaves_one_copy(spark):
     texts = {1: "first " + passage, 2: "second " + passage + " end", 3: passage}
     cut = {r.doc_id: [tuple(c) for c in r.cut] for r in substring.runs(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
     assert cut[1] == [] and len(substring.without(texts[2], cut[2])) < 200 and len(substring.without(texts[3], cut[3])) < 200
-    assert xxhash.xxh3_128_digest(b"") and substring.without("abc", []) == "abc"
+    assert substring.without("abc", []) == "abc"
