@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 #: Separators of the word rule [^\x20\x09-\x0D]+ are exactly the bytes at which bytes.split() splits.
@@ -53,3 +55,10 @@ def discard(df: DataFrame) -> None:
 def with_text(docs: DataFrame) -> DataFrame:
     """doc_id and text only, a null text read as empty; other columns, whatever their names, play no part."""
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
+
+
+def sliced(batches: Iterable[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
+    """Arrow batches in views of fewer rows, so that what a Python worker makes of texts stays small."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, rows):
+            yield batch.slice(i, rows)

@@ -21,6 +21,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from lumiflux.llm.common import sliced
+
 WINDOW, SHARD_WORDS = 10, 200_000
 #: For bytes.translate(): separators become spaces, A-Z become lower case, digits, a-z and all from 0x80 stay.
 FOLD = bytes(b if b >= 0x80 or chr(b).isdigit() or chr(b).islower() else b + 32 if chr(b).isupper() else 32 for b in range(256))
@@ -109,7 +111,7 @@ def _scan_shard(docs: DataFrame, shard) -> DataFrame:
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = _scanner(shard)
-        for batch in batches:
+        for batch in sliced(batches):
             n_words, n_hit, items, where = [], [], [], []
             for text in batch.column("text").to_pylist():
                 n, ranges, who = scanner.scan(text)
@@ -157,7 +159,7 @@ def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
         def keep(batches: Iterator[pa.RecordBatch], shard=shard) -> Iterator[pa.RecordBatch]:
             scanner = _scanner(shard)
-            for batch in batches:
+            for batch in sliced(batches):
                 yield batch.filter(pa.array([not scanner.scan(t)[1] for t in batch.column("text").to_pylist()], pa.bool_()))
 
         kept = kept.mapInArrow(keep, docs.schema)

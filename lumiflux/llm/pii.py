@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from lumiflux.llm.common import materialise, with_text
+from lumiflux.llm.common import materialise, sliced, with_text
 
 KINDS = ("email", "ip", "card", "phone", "term")
 NEAR, LETTERS, SUPPORT, DISCLOSURE = 8, 4, 3, 0.8
@@ -116,7 +116,7 @@ def _found(docs: DataFrame) -> DataFrame:
 
     def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rid = TaskContext.get().partitionId() << 36
-        for batch in batches:
+        for batch in sliced(batches):
             own, near = [], []
             for t in batch.column("text"):
                 text = t.as_py()
@@ -139,7 +139,7 @@ def term_frequencies(docs: DataFrame) -> DataFrame:
         def out() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["term", "n"])
 
-        for batch in batches:
+        for batch in sliced(batches):
             for t in batch.column("text"):
                 counts.update({w for w in TERM.findall(t.as_py().lower()) if len(w) >= LETTERS})
                 if len(counts) > FLUSH:

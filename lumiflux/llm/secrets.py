@@ -22,6 +22,8 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
+from lumiflux.llm.common import sliced
+
 VALUE, ACCESS, HEX = 8, 16, 32
 KINDS = ("assign", "access", "hex", "novel")
 CONTEXT, MIN, MAX, NOVELTY, LEVEL = 64, 16, 512, 0.7, 3
@@ -112,7 +114,7 @@ def find(docs: DataFrame) -> DataFrame:
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
 
     def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             found = [[{"kind": k, "start": a, "end": b} for k, a, b in scan(t.as_py() or "")] for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, kind)], names=["doc_id", "spans"])
 

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from lumiflux.llm.common import discard, materialise, with_text
+from lumiflux.llm.common import discard, materialise, sliced, with_text
 
 SHINGLE, SEED, RADIUS, BLOCKS, CHUNK = 4, 42, 4, 6, 4096
 ROUNDS = 100
@@ -59,7 +59,7 @@ def with_fingerprint(docs: DataFrame, name: str) -> DataFrame:
     schema = StructType([*docs.schema.fields, StructField(name, LongType())])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             fps = np.fromiter((fingerprint(t) for t in batch.column("text").to_pylist()), dtype=np.uint64, count=batch.num_rows)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(fps.view(np.int64))], names=[*batch.schema.names, name])
 

@@ -24,6 +24,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from lumiflux.llm.common import sliced
+
 WINDOW, STRIDE, FOLDS = 32, 24, 5
 SAMPLE, SAMPLE_CHARS = 2000, 8000
 HIDDEN, ATT, DIM_W, DIM_C = 8, 8, 8, 8
@@ -34,7 +36,7 @@ STEPS, DOCS, RATE, SEED = 500, 32, 0.01, 7
 DROP, DECAY, LIKELY = 0.3, 0.01, 6.0
 #: Labels are wrong now and then: what is learned is this share of 1 for each class.
 TARGETS = (0.01, 0.98)
-CACHED = 150_000
+CACHED = 80_000
 #: For bytes.translate(): ASCII letters in lower case, digits, and all bytes from 0x80 make words; the rest separates.
 FOLD = bytes(b if b >= 0x80 or chr(b).isdigit() or chr(b).islower() else b + 32 if chr(b).isupper() else 32 for b in range(256))
 MIX = np.array([1, 257, 65_537, 16_777_259], np.uint32)
@@ -362,7 +364,7 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     model = fit(docs, labels)
 
     def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores_of(model, batch.column("text").to_pylist()))], names=["doc_id", "score"])
 
     scored = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(put, "doc_id long, score double")
@@ -374,7 +376,7 @@ def keep(docs: DataFrame, labels: DataFrame, corpus: DataFrame | None = None) ->
     model = fit(docs if corpus is None else corpus, labels)
 
     def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             yield batch.filter(pa.array(scores_of(model, batch.column("text").to_pylist()) < 0.5))
 
     return docs.mapInArrow(put, docs.schema)
