@@ -60,6 +60,11 @@ def test_base_spans(spark, docs, sf, empty, module, plain):
     assert module.report(empty).count() == 0
 
 
+@pytest.mark.parametrize("text", ["server at 8.8.8.8 answers", "1.1.1.1", "call +1.2.3.4.5.6.7.8.9", "a@b.c and 8.8.8.8"])
+def test_digits_that_stand_apart(text):
+    assert pii.base(text) == plain_pii(text) and any(kind != "email" for kind, _, _ in pii.base(text))
+
+
 def test_terms_that_disclose_are_added(spark):
     near = [f"our colleague zwetschke wrote from w{i} ann@corp.example about the thing" for i in range(4)]
     far = [f"about the thing our colleague wrote from there bob{i}@corp.example" for i in range(30)]
