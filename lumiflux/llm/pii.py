@@ -5,8 +5,9 @@ Base kinds (leftmost, non-overlapping; positions in code points): `email`, `ip`,
 The method adds `term`. Each base value is a protected entity e. The terms t are the words of LETTERS letters or more
 within NEAR words of one of its occurrences (and REACH characters, so that a long run without words costs nothing). With document frequencies over the whole corpus of N documents, a term's
 pointwise mutual information with the entity is PMI = log2(N n(t,e) / (n(t) n(e))), and what there is to disclose is
-the entity's information IC = log2(N / n(e)). A term that shares SUPPORT or more documents with the entity and has
-PMI >= DISCLOSURE * IC exceeds the threshold; its occurrences near the entity are added, to be generalised or removed.
+the entity's information IC = log2(N / n(e)). A term with PMI >= DISCLOSURE * IC exceeds the threshold; its occurrences
+near the entity are added, to be generalised or removed. No number of shared documents is asked for: personal data stands
+in one document as a rule. There the threshold bounds the term's own frequency, n(t) <= N^(1 - DISCLOSURE).
 
 n(t,e) and n(e) come from the candidates alone, n(t) from all documents, both pre-summed before any shuffle.
 
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame, functions as F
 from lumiflux.llm.common import materialise, sliced, with_text
 
 KINDS = ("email", "ip", "card", "phone", "term")
-NEAR, LETTERS, SUPPORT, DISCLOSURE = 8, 4, 3, 0.8
+NEAR, LETTERS, DISCLOSURE = 8, 4, 0.8
 REACH = 64 * NEAR
 FLUSH = 100_000
 
@@ -155,9 +156,9 @@ def disclosing(docs: DataFrame, found: DataFrame) -> DataFrame:
     """entity, term, disclosure (PMI / IC) for the pairs that exceed the threshold."""
     n = found.count()
     own = found.select(F.array_distinct(F.transform("near", lambda c: F.struct(c.entity.alias("entity"), c.term.alias("term")))).alias("p"), F.array_distinct(F.transform("near", lambda c: c.entity)).alias("e"))
-    pairs = own.select(F.explode("p").alias("p")).groupBy(F.col("p.entity").alias("entity"), F.col("p.term").alias("term")).agg(F.count("*").alias("n_te")).where(F.col("n_te") >= SUPPORT)
-    entities = own.select(F.explode("e").alias("entity")).groupBy("entity").agg(F.count("*").alias("n_e")).where(F.col("n_e") >= SUPPORT)
-    # Only terms of supported pairs need their frequency: the semi-join thins the terms before they meet.
+    pairs = own.select(F.explode("p").alias("p")).groupBy(F.col("p.entity").alias("entity"), F.col("p.term").alias("term")).agg(F.count("*").alias("n_te"))
+    entities = own.select(F.explode("e").alias("entity")).groupBy("entity").agg(F.count("*").alias("n_e"))
+    # Only terms of pairs need their frequency: the semi-join thins the terms before they meet.
     wanted = materialise(pairs, "pii-pairs")
     terms = term_frequencies(docs).join(wanted.select("term").distinct(), "term", "left_semi")
     total = F.lit(float(max(n, 1)))

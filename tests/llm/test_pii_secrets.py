@@ -80,6 +80,13 @@ def test_terms_that_disclose_are_added(spark):
     assert pii.generalise(texts[0], [tuple(s) for s in r.spans]) == "our colleague [term] wrote from w0 [email] about the thing"
 
 
+def test_an_entity_of_one_document_discloses_its_rare_terms(spark):
+    plain = "about the thing our colleague wrote from there"
+    texts = ["our colleague zwetschke wrote from there ann@corp.example about the thing", *[plain] * 60]
+    got = {r.doc_id: [texts[r.doc_id][s.start : s.end] for s in r.spans if s.kind == "term"] for r in pii.find(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert got.pop(0) == ["zwetschke"] and not any(got.values())
+
+
 def test_novel_strings_in_sensitive_places():
     random = "qV7+xPz2LmN0c8RtYw4KjHs6BdGf1eUa"
     assert [k for k, _, _ in secrets.scan(f"curl -H 'auth bearer {random}' x")] == ["novel"]
