@@ -9,7 +9,8 @@ the entity's information IC = log2(N / n(e)). A term with PMI >= DISCLOSURE * IC
 near the entity are added, to be generalised or removed. No number of shared documents is asked for: personal data stands
 in one document as a rule. There the threshold bounds the term's own frequency, n(t) <= N^(1 - DISCLOSURE).
 
-n(t,e) and n(e) come from the candidates alone, n(t) from all documents, both pre-summed before any shuffle.
+n(t,e) comes from the candidates, n(e) from the base spans of every document, with candidates or without, n(t) from all
+documents; all are pre-summed before any shuffle.
 
 Defined results: a null text is empty; a text without spans has counts 0 and the digest of the empty string; repeated
 rows count as documents of their own and are reported alike; an empty table gives an empty table; other columns are
@@ -107,32 +108,34 @@ def candidates(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[str,
 
 
 SPAN = "struct<kind:string,start:int,end:int>"
-FOUND = f"rid long, doc_id long, base array<{SPAN}>, near array<struct<entity:string,term:string,start:int,end:int>>"
+FOUND = f"rid long, doc_id long, base array<{SPAN}>, entities array<string>, near array<struct<entity:string,term:string,start:int,end:int>>"
 
 
 def _found(docs: DataFrame) -> DataFrame:
-    """Base spans and candidates of every row; rid tells rows apart once this table is written."""
+    """Base spans, their distinct entities and candidates of every row; rid tells rows apart once this table is written."""
     spans = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
     nears = pa.list_(pa.struct([("entity", pa.string()), ("term", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
 
     def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rid = TaskContext.get().partitionId() << 36
         for batch in sliced(batches):
-            own, near = [], []
+            own, names, near = [], [], []
             for t in batch.column("text"):
                 text = t.as_py()
                 found = base(text)
                 own.append([{"kind": k, "start": a, "end": b} for k, a, b in found])
+                names.append(sorted({entity(k, text[a:b]) for k, a, b in found}))
                 near.append([{"entity": e, "term": w, "start": a, "end": b} for e, w, a, b in candidates(text, found)] if found else [])
             ids = pa.array(range(rid, rid + batch.num_rows), pa.int64())
             rid += batch.num_rows
-            yield pa.RecordBatch.from_arrays([ids, batch.column("doc_id"), pa.array(own, spans), pa.array(near, nears)], names=["rid", "doc_id", "base", "near"])
+            yield pa.RecordBatch.from_arrays([ids, batch.column("doc_id"), pa.array(own, spans), pa.array(names, pa.list_(pa.string())), pa.array(near, nears)], names=["rid", "doc_id", "base", "entities", "near"])
 
     return with_text(docs).mapInArrow(put, FOUND)
 
 
-def term_frequencies(docs: DataFrame) -> DataFrame:
-    """term and n_t, the documents that hold it, over all documents; each task sums what it can before the shuffle."""
+def term_frequencies(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """term and n_t, the documents that hold it, over all documents, for the terms of wanted; each task sums what it can
+    before the shuffle. Wanted terms are marked in the same aggregation: a join would sort every term of the corpus."""
 
     def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter[str] = Counter()
@@ -149,18 +152,20 @@ def term_frequencies(docs: DataFrame) -> DataFrame:
         if counts:
             yield out()
 
-    return with_text(docs).mapInArrow(put, "term string, n long").groupBy("term").agg(F.sum("n").alias("n_t"))
+    counts = with_text(docs).mapInArrow(put, "term string, n long").withColumn("near", F.lit(False))
+    marks = wanted.select("term", F.lit(0).cast("long").alias("n"), F.lit(True).alias("near"))
+    return counts.unionByName(marks).groupBy("term").agg(F.sum("n").alias("n_t"), F.max("near").alias("near")).where("near").drop("near")
 
 
 def disclosing(docs: DataFrame, found: DataFrame) -> DataFrame:
     """entity, term, disclosure (PMI / IC) for the pairs that exceed the threshold."""
     n = found.count()
-    own = found.select(F.array_distinct(F.transform("near", lambda c: F.struct(c.entity.alias("entity"), c.term.alias("term")))).alias("p"), F.array_distinct(F.transform("near", lambda c: c.entity)).alias("e"))
+    own = found.select(F.array_distinct(F.transform("near", lambda c: F.struct(c.entity.alias("entity"), c.term.alias("term")))).alias("p"), F.col("entities").alias("e"))
     pairs = own.select(F.explode("p").alias("p")).groupBy(F.col("p.entity").alias("entity"), F.col("p.term").alias("term")).agg(F.count("*").alias("n_te"))
     entities = own.select(F.explode("e").alias("entity")).groupBy("entity").agg(F.count("*").alias("n_e"))
-    # Only terms of pairs need their frequency: the semi-join thins the terms before they meet.
+    # Only terms of pairs need their frequency.
     wanted = materialise(pairs, "pii-pairs")
-    terms = term_frequencies(docs).join(wanted.select("term").distinct(), "term", "left_semi")
+    terms = term_frequencies(docs, wanted)
     total = F.lit(float(max(n, 1)))
     pmi = F.log2(total * F.col("n_te") / (F.col("n_t") * F.col("n_e")))
     ic = F.log2(total / F.col("n_e"))

@@ -87,6 +87,14 @@ def test_an_entity_of_one_document_discloses_its_rare_terms(spark):
     assert got.pop(0) == ["zwetschke"] and not any(got.values())
 
 
+def test_entities_count_where_they_have_no_candidates(spark):
+    texts = ["notes on quinces for ann@corp.example", *["ann@corp.example 8.8.8.8"] * 4, "quinces", *["notes on"] * 34]
+    n = len(texts)
+    assert math.log2(n / 2) / math.log2(n) >= pii.DISCLOSURE > math.log2(n / (2 * 5)) / math.log2(n / 5)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert not [s for r in pii.find(df).collect() for s in r.spans if s.kind == "term"]
+
+
 def test_novel_strings_in_sensitive_places():
     random = "qV7+xPz2LmN0c8RtYw4KjHs6BdGf1eUa"
     assert [k for k, _, _ in secrets.scan(f"curl -H 'auth bearer {random}' x")] == ["novel"]
