@@ -43,6 +43,19 @@ def test_planted_passages_are_found_and_clean_documents_left(spark):
     assert found <= planted and len(planted - found) <= 0.02 * len(planted)
 
 
+def test_no_passage_of_51_words_is_missed(spark):
+    rng = random.Random(6)
+    # Words of five letters on average, as in prose.
+    words = ["".join(rng.choice("abcdefghijklmnoprstu") for _ in range(rng.choice((2, 3, 4, 5, 5, 6, 7, 8)))) for _ in range(5000)]
+    text = lambda n: " ".join(rng.choices(words, k=n))
+    texts = []
+    for _ in range(600):
+        passage = text(51)
+        texts += [f"{text(rng.randint(10, 60))} {passage} {text(rng.randint(10, 60))}" for _ in range(2)]
+    got = {r.doc_id for r in substring.report(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert got == set(range(len(texts)))
+
+
 def test_against_brute_force(spark, docs, rows, empty):
     seen = defaultdict(list)
     parts = []
