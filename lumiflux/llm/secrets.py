@@ -3,11 +3,12 @@
 Base kinds (leftmost, non-overlapping; positions in code points): `assign` (a sensitive name, : or =, a value of
 VALUE or more characters; the span is the whole match), `access` and `hex`.
 
-The method adds `novel`. A candidate is a run of CANDIDATE characters, of MIN to MAX of them, that no base span
+The method adds `novel`. A candidate is a run of CANDIDATE characters, MIN of them or more, that no base span
 touches, with a sensitive word among the CONTEXT characters before it. Its novelty is the number of bytes by which it
 lengthens the compressed form of what surrounds it, given a dictionary of identifiers and of code: names, paths and
-prose come nearly free, random strings cost about what their alphabet holds. Candidates that cost NOVELTY bytes a
-character or more are reported.
+prose come nearly free, random strings cost about what their alphabet holds. As the compressor learns a long string's
+alphabet, candidates are scored in pieces of PIECE characters or more, less than twice as many, counted from their end.
+Candidates with a piece that costs NOVELTY bytes a character or more are reported.
 
 Defined results: a null text is empty; a text without spans has counts 0 and the digest of the empty string; repeated
 rows are scanned alike; an empty table gives an empty table; other columns are ignored. Memory: one text at a time.
@@ -26,7 +27,7 @@ from lumiflux.llm.common import sliced
 
 VALUE, ACCESS, HEX = 8, 16, 32
 KINDS = ("assign", "access", "hex", "novel")
-CONTEXT, MIN, MAX, NOVELTY, LEVEL = 64, 16, 512, 0.7, 3
+CONTEXT, MIN, PIECE, LONG, NOVELTY, LEVEL = 64, 16, 64, 512, 0.7, 3
 
 # The base patterns.
 ASSIGN_RE = re.compile(r"""(?ai:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -60,10 +61,16 @@ def _compressor() -> zstandard.ZstdCompressor:
 
 
 def novelty(text: str, start: int, end: int) -> float:
-    """Marginal compressed bytes a character of text[start:end] amid what surrounds it."""
+    """Marginal compressed bytes a character, amid what surrounds text[start:end], of its most novel piece; pieces after
+    one that is novel are not looked at."""
     around = (text[max(0, start - CONTEXT * 4) : start] + "\n" + text[end : end + CONTEXT * 4]).encode()
     z = _compressor()
-    return (len(z.compress(around + text[start:end].encode())) - len(z.compress(around))) / (end - start)
+    free, most, b = len(z.compress(around)), 0.0, end
+    while b > start and most < NOVELTY:
+        a = b - PIECE if b - start >= 2 * PIECE else start
+        most = max(most, (len(z.compress(around + text[a:b].encode())) - free) / (b - a))
+        b = a
+    return most
 
 
 def scan(text: str) -> list[tuple[str, int, int]]:
@@ -79,20 +86,26 @@ def scan(text: str) -> list[tuple[str, int, int]]:
 
 
 def _novel(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
-    found, taken, last = [], [], -1
+    found, taken, last, covered = [], [], -1, 0
     for m in SENSITIVE.finditer(text):
         # Candidates that start within CONTEXT characters of the sensitive word, each once.
-        for c in CANDIDATE.finditer(text, m.end(), min(len(text), m.end() + CONTEXT + MAX)):
+        limit = m.end() + CONTEXT + LONG
+        for c in CANDIDATE.finditer(text, m.end(), min(len(text), limit)):
             a, b = c.span()
             if a > m.end() + CONTEXT:
                 break
             if a <= last:
                 continue
             last = a
-            if b == m.end() + CONTEXT + MAX:
+            # The tail of a long candidate is long no more than once: its pieces are the same.
+            if b - a >= LONG and a < covered:
+                continue
+            if b == limit:
                 b = CANDIDATE.match(text, a).end()
-            if not MIN <= b - a <= MAX:
+            if b - a < MIN:
                 continue
+            if b - a > LONG:
+                covered = b
             taken = taken or sorted((x, y) for _, x, y in base)
             if any(x < b and a < y for x, y in taken):
                 continue

@@ -1,5 +1,6 @@
 import hashlib
 import math
+import random
 import re
 from collections import defaultdict
 
@@ -103,6 +104,15 @@ def test_novel_strings_in_sensitive_places():
     assert random not in secrets.redact(f"auth bearer {random} end")
 
 
+@pytest.mark.parametrize("n", [64, 256, 512, 513, 2000, 20_000])
+@pytest.mark.parametrize("letters", ["GHIJKLMNOP", "0123456789ABCDEF", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"])
+def test_long_secrets_are_novel(n, letters):
+    value = "".join(random.Random(n).choices(letters, k=n))
+    head = "private_key "
+    assert secrets.scan(f"{head}{value} end") == [("novel", len(head), len(head) + n)]
+    assert secrets.scan(f"{head}{'your_secret_key_' * (n // 16)} end") == [] or n < 64
+
+
 def test_hard_inputs_stay_linear():
     for text in ("a" * 300_000, "1" * 300_000, "1." * 100_000, "+1 " * 100_000, "a@" * 100_000, "token" * 50_000, "auth " * 50_000):
         pii.base(text)
