@@ -153,8 +153,9 @@ def term_frequencies(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             yield out()
 
     counts = with_text(docs).mapInArrow(put, "term string, n long").withColumn("near", F.lit(False))
+    # A part of a word that a span cuts is no word of any document: it has no frequency and drops out.
     marks = wanted.select("term", F.lit(0).cast("long").alias("n"), F.lit(True).alias("near"))
-    return counts.unionByName(marks).groupBy("term").agg(F.sum("n").alias("n_t"), F.max("near").alias("near")).where("near").drop("near")
+    return counts.unionByName(marks).groupBy("term").agg(F.sum("n").alias("n_t"), F.max("near").alias("near")).where("near AND n_t > 0").drop("near")
 
 
 def disclosing(docs: DataFrame, found: DataFrame) -> DataFrame:
