@@ -18,10 +18,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, or where that is unset (tests) one of our own."""
+    """The folder that all executors share: spark.checkpoint.dir, or where that is unset, and one JVM does all (tests),
+    one of our own. A cluster without the setting is an error: its executors would write to disks of their own."""
     given = spark.conf.get("spark.checkpoint.dir", None)
     if given:
         return given.rstrip("/")
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise RuntimeError("spark.checkpoint.dir is not set: a cluster needs a folder that all executors share")
     own = f"file://{tempfile.mkdtemp(prefix='lumiflux-')}"
     spark.sparkContext.setCheckpointDir(own)
     spark.conf.set("spark.checkpoint.dir", own)
@@ -52,6 +55,13 @@ def discard(df: DataFrame) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
+def open_folder(uri: str) -> tuple[pa.fs.FileSystem, str]:
+    """A folder of new_folder() as a Python worker reads and writes it."""
+    import pyarrow.fs
+
+    return pyarrow.fs.FileSystem.from_uri(uri)
+
+
 def with_text(docs: DataFrame) -> DataFrame:
     """doc_id and text only, a null text read as empty; other columns, whatever their names, play no part."""
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
