@@ -20,6 +20,7 @@ ignored. An entity that every document holds has nothing to disclose.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
@@ -35,9 +36,10 @@ REACH = 64 * NEAR
 FLUSH = 100_000
 
 # The base patterns. The e-mail pattern's local part is read backwards from each @, which is the same
-# match in linear time; the address pattern starts at the head of a run of digits for the same reason.
+# match in linear time; the address pattern starts at the head of a run of digits alone for the same reason: what
+# fails there fails at every later digit of the run.
 DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]++(?:\.[0-9]+){3}")
+IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 DIGIT = re.compile(r"[0-9]")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
@@ -89,21 +91,29 @@ def entity(kind: str, value: str) -> str:
 
 
 def candidates(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[str, str, int, int]]:
-    """(entity, term, start, end) of the terms within NEAR terms of a span, on both sides and outside all spans."""
-    out = []
+    """(entity, term, start, end) of the terms within NEAR words of a span, on both sides and outside all spans. Words
+    around the spans are found once, so a text full of spans takes no more than its length."""
+    regions: list[list[int]] = []
+    reach, far = [], 0
+    for _, a, b in spans:  # by start, so what begins before a term's end reaches as far as the largest end so far
+        if regions and a - REACH <= regions[-1][1]:
+            regions[-1][1] = max(regions[-1][1], b + REACH)
+        else:
+            regions.append([max(0, a - REACH), b + REACH])
+        far = max(far, b)
+        reach.append(far)
+    words = [m.span() for a, b in regions for m in TERM.finditer(text, a, min(b, len(text)))]
+    opens, begins, closes, out = [a for _, a, _ in spans], [x for x, _ in words], [y for _, y in words], []
     for kind, a, b in spans:
-        name, found = entity(kind, text[a:b]), []
-        left = [m.span() for m in TERM.finditer(text, max(0, a - REACH), a)]
-        if left and left[0][0] > 0 and left[0][0] == a - REACH and text[left[0][0] - 1].isalpha():
-            left = left[1:]  # the reach cut it
-        found += left[-NEAR:]
-        right = [m.span() for m in TERM.finditer(text, b, min(len(text), b + REACH))]
-        if right and right[-1][1] == b + REACH and right[-1][1] < len(text) and text[right[-1][1]].isalpha():
-            right = right[:-1]
-        found += right[:NEAR]
-        for x, y in found:
-            if y - x >= LETTERS and not any(s < y and x < e for _, s, e in spans):
-                out.append((name, text[x:y].lower(), x, y))
+        name, i, j = entity(kind, text[a:b]), bisect_right(closes, a), bisect_left(begins, b)
+        for x, y in words[max(0, i - NEAR) : i] + words[j : j + NEAR]:
+            k = bisect_left(opens, y)
+            if y - x < LETTERS or x < a - REACH or y > b + REACH or k and x < reach[k - 1]:
+                continue
+            # An edge of the reach that cuts a word leaves no word.
+            if x == a - REACH > 0 and text[x - 1].isalpha() or y == b + REACH < len(text) and text[y].isalpha():
+                continue
+            out.append((name, text[x:y].lower(), x, y))
     return out
 
 
