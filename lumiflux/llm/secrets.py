@@ -3,12 +3,18 @@
 Base kinds (leftmost, non-overlapping; positions in code points): `assign` (a sensitive name, : or =, a value of
 VALUE or more characters; the span is the whole match), `access` and `hex`.
 
-The method adds `novel`. A candidate is a run of CANDIDATE characters, MIN of them or more, that no base span
-touches, with a sensitive word among the CONTEXT characters before it. Its novelty is the number of bytes by which it
-lengthens the compressed form of what surrounds it, given a dictionary of identifiers and of code: names, paths and
-prose come nearly free, random strings cost about what their alphabet holds. As the compressor learns a long string's
-alphabet, candidates are scored in pieces of PIECE characters or more, less than twice as many, counted from their end.
-Candidates with a piece that costs NOVELTY bytes a character or more are reported.
+The method adds `novel`. A candidate is a whole run of CANDIDATE characters that no base span touches, with a sensitive
+word among the CONTEXT characters before it or in it; where the first such word reaches into the run, the candidate is
+what follows it there. It has MIN characters or more. Its novelty is the number of bytes by which it lengthens the
+compressed form of what surrounds it, given a dictionary: names, paths and prose come nearly free, random strings cost
+about what their alphabet holds. As the compressor learns a long string's alphabet, candidates are scored in pieces of
+PIECE characters or more, less than twice as many, counted from their end. Candidates with a piece that costs NOVELTY
+bytes a character or more are reported. Every run is looked at once.
+
+The dictionary is a fixed text of everyday code and, before it, the parts that identifiers of this corpus are made of:
+the PARTS ones (its size is the compressor's) that stand in most different identifiers, of all documents. Different
+identifiers are counted, not occurrences: a secret that thousands of copies hold is one of them, and no part of it
+becomes known.
 
 Defined results: a null text is empty; a text without spans has counts 0 and the digest of the empty string; repeated
 rows are scanned alike; an empty table gives an empty table; other columns are ignored. Memory: one text at a time.
@@ -17,6 +23,7 @@ rows are scanned alike; an empty table gives an empty table; other columns are i
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -27,7 +34,10 @@ from lumiflux.llm.common import sliced
 
 VALUE, ACCESS, HEX = 8, 16, 32
 KINDS = ("assign", "access", "hex", "novel")
-CONTEXT, MIN, PIECE, LONG, NOVELTY, LEVEL = 64, 16, 64, 512, 0.7, 3
+CONTEXT, MIN, PIECE, NOVELTY, LEVEL = 64, 16, 64, 0.7, 3
+#: Identifiers of so many characters or more count for the dictionary; their parts have PART letters or more; a part of
+#: fewer than SPREAD identifiers is chance.
+IDENTIFIER, PART, SPREAD, PARTS = 10, 5, 3, 2048
 
 # The base patterns.
 ASSIGN_RE = re.compile(r"""(?ai:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -36,7 +46,7 @@ HEX_RE = re.compile(r"(?<![0-9a-f])[0-9a-f]{32,}")
 NAMES = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 #: Words that make what follows sensitive.
 SENSITIVE = re.compile(r"(?ai:pass(word|wd|phrase)?\b|secret|token|api.?key|auth|credential|bearer|private.?key|access.?key|signature|client.?id)")
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]+")
+CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{%d,}={0,2}" % MIN)
 #: Identifiers and code in everyday use, as a dictionary for the compressor.
 DICTIONARY = (
     b"import from return class def self None True False function const let var public private static void int string "
@@ -50,21 +60,33 @@ DICTIONARY = (
     b"org.apache.commons com.example.project java.util.List javax.servlet request response session controller "
 )
 
-_held: list[zstandard.ZstdCompressor] = []
+_held: dict[bytes, zstandard.ZstdCompressor] = {}
 
 
-def _compressor() -> zstandard.ZstdCompressor:
-    if not _held:
-        primed = zstandard.ZstdCompressionDict(DICTIONARY, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-        _held.append(zstandard.ZstdCompressor(level=LEVEL, dict_data=primed, write_content_size=False, write_checksum=False, write_dict_id=False))
-    return _held[0]
+def _compressor(known: bytes) -> zstandard.ZstdCompressor:
+    if known not in _held:
+        _held.clear()
+        primed = zstandard.ZstdCompressionDict(known, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        _held[known] = zstandard.ZstdCompressor(level=LEVEL, dict_data=primed, write_content_size=False, write_checksum=False, write_dict_id=False)
+    return _held[known]
 
 
-def novelty(text: str, start: int, end: int) -> float:
+def dictionary(docs: DataFrame) -> bytes:
+    """The fixed text and the parts of this corpus' identifiers, the commonest last, where the compressor finds them best.
+    At most PARTS parts come to the driver. Capitals and small letters are told apart: they are so to the compressor."""
+    run = "[A-Za-z0-9]+(?:[_/-][A-Za-z0-9]+)+|[a-z]+(?:[A-Z][a-z]+)+"
+    names = docs.select(F.explode(F.regexp_extract_all(F.col("text"), F.lit(run), F.lit(0))).alias("name")).where(F.length("name") >= IDENTIFIER)
+    # Long ones are keys and paths of their own; their hash tells them apart in less room.
+    parts = names.select(F.xxhash64("name").alias("h"), F.explode(F.array_distinct(F.regexp_extract_all("name", F.lit(f"[A-Z]?[a-z]{{{PART - 1},}}"), F.lit(0)))).alias("part")).where(F.length("part").between(PART, PIECE))
+    common = parts.distinct().groupBy("part").agg(F.count("*").alias("n")).where(F.col("n") >= SPREAD).orderBy(F.col("n").desc(), "part").limit(PARTS)
+    return " ".join(r.part for r in reversed(common.collect())).encode() + b" " + DICTIONARY
+
+
+def novelty(text: str, start: int, end: int, known: bytes = DICTIONARY) -> float:
     """Marginal compressed bytes a character, amid what surrounds text[start:end], of its most novel piece; pieces after
-    one that is novel are not looked at."""
-    around = (text[max(0, start - CONTEXT * 4) : start] + "\n" + text[end : end + CONTEXT * 4]).encode()
-    z = _compressor()
+    one that is novel are not looked at. Copies of the string among its surroundings do not make it known."""
+    around = (text[max(0, start - CONTEXT * 4) : start] + "\n" + text[end : end + CONTEXT * 4]).replace(text[start:end].rstrip("="), "").encode()
+    z = _compressor(known)
     free, most, b = len(z.compress(around)), 0.0, end
     while b > start and most < NOVELTY:
         a = b - PIECE if b - start >= 2 * PIECE else start
@@ -73,7 +95,7 @@ def novelty(text: str, start: int, end: int) -> float:
     return most
 
 
-def scan(text: str) -> list[tuple[str, int, int]]:
+def scan(text: str, known: bytes = DICTIONARY) -> list[tuple[str, int, int]]:
     """All spans by start, then kind; those of the base kinds first found by their patterns alone."""
     out: list[tuple[str, int, int]] = []
     low = text.encode().lower()
@@ -82,35 +104,32 @@ def scan(text: str) -> list[tuple[str, int, int]]:
     if "AKIA" in text:
         out += [("access", *m.span()) for m in ACCESS_RE.finditer(text) if m.end() - m.start() >= ACCESS]
     out += [("hex", *m.span()) for m in HEX_RE.finditer(text)]
-    return _ordered(out + _novel(text, out))
-
-
-def _novel(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
-    found, taken, last, covered = [], [], -1, 0
-    for m in SENSITIVE.finditer(text):
-        # Candidates that start within CONTEXT characters of the sensitive word, each once.
-        limit = m.end() + CONTEXT + LONG
-        for c in CANDIDATE.finditer(text, m.end(), min(len(text), limit)):
-            a, b = c.span()
-            if a > m.end() + CONTEXT:
-                break
-            if a <= last:
-                continue
-            last = a
-            # The tail of a long candidate is long no more than once: its pieces are the same.
-            if b - a >= LONG and a < covered:
-                continue
-            if b == limit:
-                b = CANDIDATE.match(text, a).end()
-            if b - a < MIN:
-                continue
-            if b - a > LONG:
-                covered = b
-            taken = taken or sorted((x, y) for _, x, y in base)
-            if any(x < b and a < y for x, y in taken):
-                continue
-            if novelty(text, a, b) >= NOVELTY:
-                found.append(("novel", a, b))
+    return _ordered(out + _novel(text, out, known))
+
+
+def _novel(text: str, base: list[tuple[str, int, int]], known: bytes) -> list[tuple[str, int, int]]:
+    ends = [m.end() for m in SENSITIVE.finditer(text)]
+    if not ends:
+        return []
+    # Base spans as ranges apart from each other, in order.
+    taken: list[list[int]] = []
+    for _, x, y in sorted(base, key=lambda s: s[1]):
+        if taken and x < taken[-1][1]:
+            taken[-1][1] = max(taken[-1][1], y)
+        else:
+            taken.append([x, y])
+    stops, found = [y for _, y in taken], []
+    for c in CANDIDATE.finditer(text):
+        a, b = c.span()
+        i = bisect_left(ends, a - CONTEXT)
+        if i == len(ends) or ends[i] > b - MIN:
+            continue
+        a = max(a, ends[i])
+        k = bisect_right(stops, a)
+        if k < len(taken) and taken[k][0] < b:
+            continue
+        if novelty(text, a, b, known) >= NOVELTY:
+            found.append(("novel", a, b))
     return found
 
 
@@ -124,11 +143,12 @@ def joined(spans: list[tuple[str, int, int]]) -> str:
 
 def find(docs: DataFrame) -> DataFrame:
     """doc_id and spans, an array of (kind, start, end), for every row."""
+    known = dictionary(docs)
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
 
     def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
-            found = [[{"kind": k, "start": a, "end": b} for k, a, b in scan(t.as_py() or "")] for t in batch.column("text")]
+            found = [[{"kind": k, "start": a, "end": b} for k, a, b in scan(t.as_py() or "", known)] for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, kind)], names=["doc_id", "spans"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(put, "doc_id long, spans array<struct<kind:string,start:int,end:int>>")
@@ -149,10 +169,10 @@ def report(docs: DataFrame) -> DataFrame:
     return find(docs).select("doc_id", *(n[k] for k in KINDS[:3]), F.sha2(as_text(base), 256).alias("base_sha256"), as_text(spans).alias("spans"), n["novel"])
 
 
-def redact(text: str, mark: str = "[secret]") -> str:
+def redact(text: str, mark: str = "[secret]", known: bytes = DICTIONARY) -> str:
     """The text with every span replaced; overlapping spans are replaced as one."""
     out, at = [], 0
-    for _, a, b in scan(text):
+    for _, a, b in scan(text, known):
         if b <= at:
             continue
         out += [text[at:a], mark] if a >= at else []
