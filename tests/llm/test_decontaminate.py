@@ -1,6 +1,8 @@
 import hashlib
+import random
 import re
 
+import pandas as pd
 import pytest
 
 from lumiflux.llm import decontaminate as dc
@@ -31,9 +33,7 @@ def tables(spark, rows):
     return docs, spark.createDataFrame(ITEMS, "item_id long, text string")
 
 
-@pytest.mark.parametrize("bound", [200_000, 12])
-def test_against_brute_force(tables, monkeypatch, bound):
-    monkeypatch.setattr(dc, "SHARD_WORDS", bound)
+def test_against_brute_force(tables):
     docs, items = tables
     got = sorted((str(r.doc_id), r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in dc.report(docs, items).collect())
     assert got == sorted((str(r.doc_id), *plain(r.text, ITEMS)) for r in docs.collect())
@@ -54,3 +54,37 @@ def test_clean_keeps_columns_and_clean_rows(spark, tables, empty):
     assert sorted(str(r.doc_id) for r in kept.collect()) == want
     nothing = items.limit(0)
     assert dc.clean(docs, nothing).count() == docs.count() and dc.report(empty, items).count() == 0
+
+
+def test_random_items_against_brute_force():
+    """Few words, so that windows, blocks and short items often agree in part."""
+    rng = random.Random(4)
+    for _ in range(150):
+        text = lambda n: " ".join(rng.choices("ab", k=n)) if rng.random() < 0.5 else " ".join(rng.choices("abcdefg", k=n))
+        items = [(k // 2, text(rng.randint(0, 25))) for k in range(8)]
+        scanner = dc.Scanner(items)
+        for _ in range(10):
+            doc = text(rng.randint(0, 40))
+            if rng.random() < 0.5:
+                doc = f"{doc} {rng.choice(items)[1]} {doc}"
+            n, ranges, who = scanner.scan(doc)
+            assert (n, sum(b - a for a, b in ranges), len(who)) == plain(doc, items)[:3]
+            assert hashlib.sha256(",".join(sorted(map(str, who))).encode()).hexdigest() == plain(doc, items)[3]
+
+
+def test_a_large_benchmark_is_scanned_once(spark):
+    """Two million words; their items come back whole from one pass, with little held a word."""
+    rng = random.Random(5)
+    words = ["".join(rng.choices("abcdefghijklmnop", k=5)) for _ in range(20_000)]
+    items = [" ".join(rng.choices(words, k=100)) for _ in range(20_000)]
+    pick = rng.sample(range(len(items)), 40)
+    docs = [f"{' '.join(rng.choices(words, k=50))} {' '.join(items[i].split()[30:45])} {' '.join(rng.choices(words, k=50))}" for i in pick]
+    bench = spark.createDataFrame(pd.DataFrame({"item_id": range(len(items)), "text": items}))
+    got = dc.scan(spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string"), bench)
+    assert got._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert {r.doc_id: (r["items"], r.n_hit) for r in got.collect()} == {k: ([str(i)], 15) for k, i in enumerate(pick)}
+
+
+def test_ids_may_be_strings(spark):
+    got = dc.scan(spark.createDataFrame([(1, "x a short one y")], "doc_id long, text string"), spark.createDataFrame([("q-1", "Short ONE")], "item_id string, text string")).first()
+    assert got["items"] == ["q-1"] and got.n_hit == 2
