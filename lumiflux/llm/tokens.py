@@ -1,18 +1,19 @@
 """Token ids in Arrow files of fixed-size-list batches.
 
-Each range of doc_id becomes one shard of two files in a shared folder. `part-N.arrow`, an Arrow IPC file, holds
+Each range of doc_id becomes one shard of two files in a shared folder. `part-N-T.arrow`, an Arrow IPC file, holds
 sequences of LENGTH tokens: input_ids (fixed_size_list of uint16, or uint32 for a vocabulary over 65,536) and mask
-(fixed_size_list of bool, false in the padding that ends a shard). All batches but the last hold BATCH sequences, so
-sequence i lies in batch i // BATCH at row i % BATCH; from a memory map it is read without a copy (TokenFile).
-`part-N.docs.arrow` says where in the shard each document starts. Files are written under a task's own name and then
-moved to their own, so a repeated or lost task leaves whole files only; equal inputs make equal bytes.
+(fixed_size_list of uint8: 1, and 0 in the padding that ends a shard). All batches but the last hold BATCH sequences, so
+sequence i lies in batch i // BATCH at row i % BATCH; from a memory map both are read as views, without a copy
+(TokenFile). `part-N-T.docs.arrow` says where in the shard each document starts. T is the attempt of the task that wrote
+the pair. Nothing is moved or overwritten, on any file system: the table of shards names the attempts that count, and
+files of others (tasks that were lost and repeated) are deleted once it is written. Equal inputs make equal bytes.
 
 A document's ids depend on nothing around it. Where the tokenizer is byte-level BPE with its usual split, a single
 space between visible characters always starts a new piece, so pieces cut there are encoded once and then looked up;
 texts with other spacing, and any other tokenizer, are encoded whole.
 
-Defined results: a null text is empty and has the end id alone; rows are ordered by doc_id (null last), then by text;
-repeated rows are written as often as they come; an empty table writes nothing; other columns are ignored.
+Defined results: a null text is empty and has the end id alone; rows are ordered by doc_id (null last), then by the
+text's xxhash64, then by text, across shards as within them; repeated rows are written as often as they come; an empty table writes nothing; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,12 +26,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window as W, functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 from tokenizers import Tokenizer
 
-from lumiflux.llm.common import materialise, new_folder, with_text
+from lumiflux.llm.common import materialise, new_folder, open_folder, with_text
 
 END, LENGTH, BATCH, CACHED = 2, 2048, 64, 400_000
 #: Characters that every version of the split takes for visible, and those that it takes for letters.
@@ -161,27 +163,19 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
-def _filesystem(uri: str) -> tuple[pa.fs.FileSystem, str]:
-    import pyarrow.fs
-
-    return pyarrow.fs.FileSystem.from_uri(uri)
-
-
 def _sequences(ids: np.ndarray, length: int) -> pa.RecordBatch:
     n = -(-len(ids) // length)
-    flat, mask = np.zeros(n * length, ids.dtype), np.zeros(n * length, bool)
+    flat, mask = np.zeros(n * length, ids.dtype), np.zeros(n * length, np.uint8)
     flat[: len(ids)] = ids
-    mask[: len(ids)] = True
+    mask[: len(ids)] = 1
     lists = [pa.FixedSizeListArray.from_arrays(pa.array(x), length) for x in (flat, mask)]
     return pa.RecordBatch.from_arrays(lists, names=["input_ids", "mask"])
 
 
 class TokenFile:
-    """Random access to the sequences of a shard; from a memory map, ids are views of the file."""
+    """Random access to the sequences of a shard; from a memory map, ids and masks are views of the file."""
 
     def __init__(self, path: str, fs: pa.fs.FileSystem | None = None):
-        import pyarrow.fs
-
         local = fs is None or isinstance(fs, pyarrow.fs.LocalFileSystem)
         self.reader = pa.ipc.open_file(pa.memory_map(path) if local else fs.open_input_file(path))
         self.length = self.reader.schema.field("input_ids").type.list_size
@@ -195,7 +189,7 @@ class TokenFile:
 
     def __getitem__(self, i: int) -> tuple[np.ndarray, np.ndarray]:
         b, a = self._batch(i // self.rows), i % self.rows * self.length
-        return b.column(0).flatten()[a : a + self.length].to_numpy(zero_copy_only=True), b.column(1).flatten()[a : a + self.length].to_numpy(zero_copy_only=False)
+        return b.column(0).flatten()[a : a + self.length].to_numpy(zero_copy_only=True), b.column(1).flatten()[a : a + self.length].to_numpy(zero_copy_only=True)
 
     def tokens(self, start: int, n: int) -> Iterator[np.ndarray]:
         """The ids from a place in the shard on, in views of at most a batch."""
@@ -208,29 +202,30 @@ class TokenFile:
 
 
 def write(docs: DataFrame, tokenizer: str, folder: str | None = None, end: int = END, length: int = LENGTH) -> DataFrame:
-    """Writes the shards; one row a shard: shard, path, n_docs, n_tokens."""
+    """Writes the shards; one row a shard: shard, path, n_docs, n_tokens. A given folder is this corpus' own: shards of
+    an earlier writing give way."""
     folder = folder or new_folder(docs.sparkSession, "tokens")
-    order = [F.col("doc_id").asc_nulls_last(), F.col("text")]
-    dealt = with_text(docs).repartitionByRange(F.col("doc_id").asc_nulls_last(), F.xxhash64("text")).sortWithinPartitions(*order)
+    order = [F.col("doc_id").asc_nulls_last(), F.xxhash64("text")]
+    dealt = with_text(docs).repartitionByRange(*order).sortWithinPartitions(*order, "text")
     schema = StructType([StructField("shard", LongType()), StructField("path", StringType()), StructField("n_docs", LongType()), StructField("n_tokens", LongType())])
 
     def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get()
         shard, enc = task.partitionId(), encoder(tokenizer)
-        fs, base = _filesystem(folder)
+        fs, base = open_folder(folder)
         fs.create_dir(base, recursive=True)
-        name, own = f"{base}/part-{shard:06d}", f"{base}/.{task.taskAttemptId()}"
+        name = f"{base}/part-{shard:06d}-{task.taskAttemptId()}"
         wide, dtype = BATCH * length, enc.dtype
         stop = np.array([end], dtype).tobytes()
         sink = writer = index = index_sink = None
         held, n_held, at, n_docs = [], 0, 0, 0
-        seq = pa.schema([("input_ids", pa.list_(pa.from_numpy_dtype(dtype), length)), ("mask", pa.list_(pa.bool_(), length))])
+        seq = pa.schema([("input_ids", pa.list_(pa.from_numpy_dtype(dtype), length)), ("mask", pa.list_(pa.uint8(), length))])
         idx = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())])
         for batch in batches:
             for i in range(0, batch.num_rows, 512):
                 part = batch.slice(i, 512)
                 if writer is None:
-                    sink, index_sink = fs.open_output_stream(f"{own}.arrow"), fs.open_output_stream(f"{own}.docs.arrow")
+                    sink, index_sink = fs.open_output_stream(f"{name}.arrow"), fs.open_output_stream(f"{name}.docs.arrow")
                     writer, index = pa.ipc.new_file(sink, seq), pa.ipc.new_file(index_sink, idx)
                 ids = [x + stop for x in enc.encode(part.column("text").to_pylist())]
                 counts = np.array([len(x) for x in ids], np.int64) // dtype.itemsize
@@ -250,11 +245,24 @@ def write(docs: DataFrame, tokenizer: str, folder: str | None = None, end: int =
             writer.write_batch(_sequences(np.frombuffer(b"".join(held), dtype), length))
         for x in (writer, sink, index, index_sink):
             x.close()
-        fs.move(f"{own}.docs.arrow", f"{name}.docs.arrow")
-        fs.move(f"{own}.arrow", f"{name}.arrow")
         yield pa.RecordBatch.from_pydict({"shard": [shard], "path": [name], "n_docs": [n_docs], "n_tokens": [at]}, schema=pa.schema([("shard", pa.int64()), ("path", pa.string()), ("n_docs", pa.int64()), ("n_tokens", pa.int64())]))
 
-    return materialise(dealt.mapInArrow(put, schema), "token-shards").withColumn("folder", F.lit(folder))
+    shards = materialise(dealt.mapInArrow(put, schema), "token-shards")
+    _sweep(shards, folder)
+    return shards.withColumn("folder", F.lit(folder))
+
+
+def _sweep(shards: DataFrame, folder: str) -> None:
+    """Deletes the files of attempts that the table of shards does not name. One row a shard comes to the driver."""
+    spark = shards.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(path):
+        named = {r.path.rsplit("/", 1)[-1] for r in shards.select("path").collect()}
+        for f in fs.listStatus(path):
+            name = f.getPath().getName()
+            if name.startswith("part-") and name.endswith(".arrow") and name.split(".")[0] not in named:
+                fs.delete(f.getPath(), False)
 
 
 def read(shards: DataFrame) -> DataFrame:
@@ -266,7 +274,7 @@ def read(shards: DataFrame) -> DataFrame:
     def get(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                fs, _ = _filesystem(row["folder"])
+                fs, _ = open_folder(row["folder"])
                 tokens = TokenFile(f"{row['path']}.arrow", fs)
                 with fs.open_input_file(f"{row['path']}.docs.arrow") as f:
                     index = pa.ipc.open_file(f)
