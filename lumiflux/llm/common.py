@@ -72,3 +72,18 @@ def sliced(batches: Iterable[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.R
     for batch in batches:
         for i in range(0, batch.num_rows, rows):
             yield batch.slice(i, rows)
+
+
+HOT = 1000
+
+
+def join_hot(rows: DataFrame, keyed: DataFrame, key: str) -> DataFrame:
+    """rows joined with keyed, which has one row a key, without a task for a key of many rows: keys of more than 1 / HOT
+    of all rows, of which there are fewer than HOT, come by broadcast and the others by an ordinary join. rows is read
+    three times, so it is a table or little."""
+    many = rows.groupBy(key).agg(F.count("*").alias("__n"))
+    # One row goes to the driver.
+    total = rows.count()
+    hot = keyed.join(F.broadcast(many.where(F.col("__n") > max(1, total // HOT)).select(key)), key)
+    few = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(keyed, key)
+    return rows.join(F.broadcast(hot), key).unionByName(few)

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from lumiflux.llm.common import discard, materialise, sliced, with_text
+from lumiflux.llm.common import discard, join_hot, materialise, sliced, with_text
 
 SHINGLE, SEED, RADIUS, BLOCKS, CHUNK = 4, 42, 4, 6, 4096
 ROUNDS = 100
@@ -207,19 +207,22 @@ def links(fps: DataFrame) -> DataFrame:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """Undirected edges (u, v) to (node, component), the component being its smallest node."""
+    """Undirected edges (u, v) to (node, component), the component being its smallest node. Nodes have any type with an
+    order. A hub of many edges is joined by broadcast (join_hot), so no task holds them all."""
     edges = materialise(edges.where("u <> v"), "cc")
     mark = None
     for _ in range(ROUNDS):
         both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        large = join_hot(both.where("v > u"), low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         # Every edge now runs from a larger to a smaller node.
+        large = materialise(large, "cc")
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        small = join_hot(large, low, "u").select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         after = materialise(small, "cc")
-        seen = after.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.sum(F.col("u").cast("decimal(38,0)"))).first()
+        seen = after.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.sum(F.xxhash64("u").cast("decimal(38,0)"))).first()
         discard(edges)
+        discard(large)
         edges = after
         if seen == mark:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
@@ -227,32 +230,40 @@ def components(edges: DataFrame) -> DataFrame:
     raise RuntimeError(f"components did not settle in {ROUNDS} rounds")
 
 
-def clusters(prints: DataFrame) -> DataFrame:
-    """Rows with fp to (fp, component) for every distinct fp; the component is a fingerprint."""
-    distinct = prints.select("fp").distinct()
-    found = components(links(distinct))
-    return distinct.join(found, distinct.fp == found.node, "left").select("fp", F.coalesce("component", "fp").alias("component"))
+def clusters(own: DataFrame) -> DataFrame:
+    """Rows of different fp, each with a node (of any ordered type, one a fingerprint), to fp, node and component, which is
+    the smallest node that links reach."""
+    own = materialise(own.select("fp", "node"), "simhash-own")
+    edges = materialise(links(own.select("fp")), "simhash-links")
+    for end in ("u", "v"):
+        edges = materialise(join_hot(edges, own.select(F.col("fp").alias(end), F.col("node").alias("n" + end)), end), "simhash-links")
+    found = components(edges.select(F.col("nu").alias("u"), F.col("nv").alias("v")))
+    return own.join(found, "node", "left").select("fp", "node", F.coalesce("component", "node").alias("component"))
+
+
+def _node(least: Column) -> Column:
+    """Fingerprints in order of their least doc_id (a null one last), so that the smallest node names its component."""
+    return F.struct(least.isNull().alias("z"), F.coalesce(least, F.lit(0)).alias("id"), F.col("fp").alias("fp"))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, fingerprint (16 hexadecimal digits) and component_id for every row."""
     prints = materialise(with_fingerprint(with_text(docs), "fp").select("doc_id", "fp"), "simhash")
-    member = materialise(clusters(prints), "simhash-member")
-    least = prints.groupBy("fp").agg(F.min("doc_id").alias("least")).join(member, "fp")
-    ids = member.join(least.groupBy("component").agg(F.min("least").alias("component_id")), "component").select("fp", "component_id")
-    return prints.join(ids, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    own = prints.groupBy("fp").agg(F.min("doc_id").alias("least")).select("fp", _node(F.col("least")).alias("node"))
+    ids = clusters(own).select("fp", F.when(~F.col("component.z"), F.col("component.id")).alias("component_id"))
+    return join_hot(prints, materialise(ids, "simhash-ids"), "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The columns of docs; of each component the row of the smallest doc_id (a null one last), one row of repeated ones."""
+    """The columns of docs; of each component the row of the smallest doc_id (a null one last), one row of repeated ones.
+    Of one doc_id with different fingerprints that link, the row of the smaller one stays."""
     fp, n = "__lumiflux_fp", "__lumiflux_n"
     prints = materialise(with_fingerprint(with_text(docs), "fp").groupBy("doc_id", "fp").agg(F.count("*").alias("n")), "simhash")
-    member = clusters(prints)
-    # Ties of doc_id between different fingerprints go to the smaller one.
     # Each fingerprint's own best comes first, so that copies, however many, are one row before anything is joined.
-    own = prints.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "n")).alias("o"))
-    best = own.join(member, "fp").groupBy("component").agg(F.min(F.struct("o.z", "o.doc_id", "fp", "o.n")).alias("w"))
-    keep = best.select(F.col("w.fp").alias(fp), F.col("w.doc_id").alias("__lumiflux_id"), F.col("w.n").alias(n))
+    own = prints.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "n")).alias("o")).select("fp", _node(F.col("o.doc_id")).alias("node"), F.col("o.doc_id").alias("least"), F.col("o.n").alias("n"))
+    own = materialise(own, "simhash-best")
+    heads = clusters(own).where("component = node").select("fp")
+    keep = own.join(heads, "fp").select(F.col("fp").alias(fp), F.col("least").alias("__lumiflux_id"), F.col("n").alias(n))
     rows = with_fingerprint(docs, fp).join(keep, fp).where(F.col("doc_id").cast("long").eqNullSafe(F.col("__lumiflux_id")))
     rows = rows.drop("__lumiflux_id")
     single, repeated = rows.where(F.col(n) == 1), rows.where(F.col(n) > 1).dropDuplicates([fp])

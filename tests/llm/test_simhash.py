@@ -3,7 +3,7 @@ import re
 import numpy as np
 import xxhash
 
-from lumiflux.llm import simhash
+from lumiflux.llm import common, simhash
 
 
 def plain_fingerprint(text):
@@ -59,7 +59,7 @@ def test_buckets_beyond_a_chunk_lose_no_link(spark, monkeypatch):
     while len(prints) < 60:  # a chain of one-bit steps
         prints.add(list(prints)[rng.integers(len(prints))] ^ 1 << int(rng.integers(60)))
     df = spark.createDataFrame([(p,) for p in prints], "fp long")
-    assert simhash.clusters(df).select("component").distinct().count() == 1
+    assert simhash.clusters(df.withColumn("node", df.fp)).select("component").distinct().count() == 1
 
 
 def test_one_of_each_keeps_all_columns(docs, rows, empty):
@@ -70,3 +70,21 @@ def test_one_of_each_keeps_all_columns(docs, rows, empty):
     assert len(got) == len({c for c in comps.values()})
     assert {r.doc_id for r in got} == set(comps.values())
     assert simhash.one_of_each(empty).count() == 0 and simhash.near_duplicates(empty).count() == 0
+
+
+def test_hubs_and_chains_make_one_component(spark, monkeypatch):
+    """A hub of a thousand edges, a long chain and a pair, over nodes of two fields."""
+    monkeypatch.setattr(common, "HOT", 5)
+    pairs = [(0, i) for i in range(1, 1000)] + [(5000 + i, 5001 + i) for i in range(60)] + [(9000, 9001)]
+    edges = spark.createDataFrame([((a % 2 == 1, a), (b % 2 == 1, b)) for a, b in pairs], "u struct<z:boolean,id:long>, v struct<z:boolean,id:long>")
+    got = {r.node.id: r.component.id for r in simhash.components(edges).collect()}
+    want = {i: 0 for i in range(1, 1000)} | {i: 5000 for i in range(5001, 5061)} | {9001: 9000}
+    assert {k: v for k, v in got.items() if k != v} == want
+
+
+def test_joins_of_hot_keys_lose_no_row(spark, monkeypatch):
+    monkeypatch.setattr(common, "HOT", 3)
+    rows = spark.createDataFrame([(k, i) for k, n in ((1, 500), (2, 300), (3, 2), (4, 1)) for i in range(n)], "k int, i int")
+    keyed = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "k int, s string")
+    got = common.join_hot(rows, keyed, "k").groupBy("s").count().collect()
+    assert {(r.s, r["count"]) for r in got} == {("a", 500), ("b", 300), ("c", 2)}
