@@ -4,8 +4,8 @@ A gear hash rolls over the UTF-8 bytes: h = (h << 1) + G[byte] in 32 bits, so it
 cuts realign after an insertion. A chunk ends where the top MASK bits of h are zero, or at a character's end after
 MAX bytes, and has MIN bytes at least. Chunks are compared by a 128-bit digest.
 
-A chunk that occurs more than once in the corpus is repeated; its keeper is its first occurrence by doc_id, then by
-place. Repeated chunks that follow each other make a run; runs of RUN or more characters count, shorter ones are
+A chunk that occurs more than once in the corpus is repeated; its keeper is its first occurrence by doc_id (a null one
+last), then by the row's place in the table, then by place in the text. Repeated chunks that follow each other make a run; runs of RUN or more characters count, shorter ones are
 chance. Of each run the chunks that are not keepers are removed. The chunks that the ends of a passage cut never match,
 so chunks are small: 32 bytes on average.
 
@@ -13,6 +13,9 @@ Chunks are counted with partial sums, then only repeated ones meet their counts
 documents is a skewed join that Spark may split, never a group in one task. Texts are cut twice, for the counts and for
 the join, as a table of all chunks would take as much disk as a shuffle of them.
 
+Rows are told apart by their partition and place in it, and texts are cut more than once, so docs is a table as it is
+read, or written (materialise()) beforehand: a plan that may deal rows anew will not do.
+
 Defined results: null and empty texts have no chunks; a text shorter than RUN is never touched; repeated rows repeat
 each other in full; a null doc_id sorts last; an empty table has no repeats; other columns are ignored.
 """
@@ -26,12 +29,15 @@ import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from lumiflux.llm.common import with_text
 
 MIN, MASK, MAX, RUN, SEED = 16, 4, 1024, 100, 11
 GEAR = np.random.default_rng(SEED).integers(0, 1 << 32, 256, dtype=np.uint32)
 LAST = (1 << 63) - 1
+#: Keepers are compared as one number, doc_id and then the row: sums of it need no sorting. Rows are below 2^ROW.
+ROW, PART = 59, 36
 
 
 def cuts(data: np.ndarray) -> list[int]:
@@ -77,7 +83,7 @@ CHUNKS = "rid long, doc_id long, start int, end int, h1 long, h2 long"
 
 def chunks(docs: DataFrame) -> DataFrame:
     def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rid = TaskContext.get().partitionId() << 36
+        rid = TaskContext.get().partitionId() << PART
         for whole in batches:
             for i in range(0, whole.num_rows, 256):
                 batch = whole.slice(i, 256)
@@ -98,32 +104,34 @@ def chunks(docs: DataFrame) -> DataFrame:
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
-    """Every occurrence of a repeated chunk: rid, doc_id, start, end, copies, keeper (the first doc_id)."""
-    every = chunks(docs)
-    repeated = chunks(docs).groupBy("h1", "h2").agg(F.count("*").alias("copies"), F.min(F.coalesce("doc_id", F.lit(LAST))).alias("keeper")).where("copies > 1")
-    return every.join(repeated, ["h1", "h2"])
+    """Every occurrence of a repeated chunk: rid, doc_id, start, end, h1, h2, copies, first (the keeper's doc_id and row in
+    one number) and keep, whether it stands in the keeper's row."""
+    order = F.coalesce("doc_id", F.lit(LAST)).cast("decimal(19,0)") * F.lit(1 << ROW).cast("decimal(18,0)")
+    order = order.cast("decimal(38,0)") + F.col("rid").cast("decimal(18,0)")
+    repeated = chunks(docs).groupBy("h1", "h2").agg(F.count("*").alias("copies"), F.min(order).alias("first")).where("copies > 1")
+    return chunks(docs).join(repeated, ["h1", "h2"]).withColumn("keep", F.col("first") == order)
 
 
 def runs(docs: DataFrame) -> DataFrame:
     """A row a run: rid, doc_id, start, end, copies (the most of a chunk), keepers (first documents), cut (ranges to remove)."""
     found = occurrences(docs)
     # A document's own chunks: as many as its length allows.
-    kind = F.struct("start", "end", "copies", "keeper", "h1", "h2")
+    kind = F.struct("start", "end", "copies", "first", "keep", "h1", "h2")
     per = found.groupBy("rid", "doc_id").agg(F.array_sort(F.collect_list(kind)).alias("c"))
 
     def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for r in batch.to_pylist():
-                own, seen, run = LAST if r["doc_id"] is None else r["doc_id"], set(), []
+                seen, run = set(), []
                 for c in [*r["c"], None]:
                     if run and (c is None or c["start"] != run[-1]["end"]):
                         if run[-1]["end"] - run[0]["start"] >= RUN:
-                            cut = [x for x in run if not x["keep"]]
-                            rows.append({"rid": r["rid"], "doc_id": r["doc_id"], "start": run[0]["start"], "end": run[-1]["end"], "copies": max(x["copies"] for x in run), "keepers": sorted({x["keeper"] for x in run}), "cut": ranges(cut)})
+                            firsts = {int(x) >> ROW for x in {x["first"] for x in run}}
+                            rows.append({"rid": r["rid"], "doc_id": r["doc_id"], "start": run[0]["start"], "end": run[-1]["end"], "copies": max(x["copies"] for x in run), "keepers": sorted(k for k in firsts if k != LAST), "cut": ranges([x for x in run if not x["keep"]])})
                         run = []
                     if c is not None:
-                        run.append(c | {"keep": c["keeper"] == own and (c["h1"], c["h2"]) not in seen})
+                        run.append(c | {"keep": c["keep"] and (c["h1"], c["h2"]) not in seen})
                         seen.add((c["h1"], c["h2"]))
             if rows:
                 yield from pa.Table.from_pylist(rows, schema=_RUN).to_batches()
@@ -154,6 +162,30 @@ def report(docs: DataFrame) -> DataFrame:
     return found.drop("rid")
 
 
+def dedup(docs: DataFrame) -> DataFrame:
+    """docs, all rows and columns, each repeated passage taken out of all texts but its keeper's. What is left of a text
+    may be empty; a null text stays null."""
+    rid = "__lumiflux_rid"
+    cut = runs(docs).groupBy("rid").agg(F.array_sort(F.flatten(F.collect_list("cut"))).alias("__lumiflux_cut")).where(F.size("__lumiflux_cut") > 0)
+    schema = StructType([*docs.schema.fields, StructField(rid, LongType())])
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = TaskContext.get().partitionId() << PART
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.arange(at, at + batch.num_rows))], names=[*batch.schema.names, rid])
+            at += batch.num_rows
+
+    rows = docs.mapInArrow(number, schema).join(cut.withColumnRenamed("rid", rid), rid, "left").drop(rid)
+
+    def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            i = batch.schema.names.index("text")
+            texts = [t if c is None else without(t, [(x["start"], x["end"]) for x in c]) for t, c in zip(batch.column("text").to_pylist(), batch.column("__lumiflux_cut").to_pylist())]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:i], pa.array(texts, batch.schema.field("text").type), *batch.columns[i + 1 : -1]], names=batch.schema.names[:-1])
+
+    return rows.mapInArrow(take, docs.schema)
+
+
 def without(text: str, cut: list[tuple[int, int]]) -> str:
     """The text without the given ranges (in order, apart)."""
     out, at = [], 0

@@ -56,29 +56,76 @@ def test_no_passage_of_51_words_is_missed(spark):
     assert got == set(range(len(texts)))
 
 
-def test_against_brute_force(spark, docs, rows, empty):
-    seen = defaultdict(list)
-    parts = []
-    for k, r in enumerate(rows):
-        a, b, d = substring.chunks_of(r[1] or "")
-        parts.append(list(zip(a, b, d)))
-        for x in d:
-            seen[x].append(r[0])
-    want = []
-    for r, p in zip(rows, parts):
-        runs, run = [], []
+def plain_chunks(text):
+    """Chunks by the rolling hash, byte by byte."""
+    raw, out, h, at = text.encode(), [], 0, 0
+    starts = [i for i in range(len(raw)) if raw[i] & 0xC0 != 0x80] + [len(raw)]
+    heads = set(starts)
+    for i, b in enumerate(raw):
+        h = ((h << 1) + int(substring.GEAR[b])) % (1 << 32)
+        n = i + 1 - at
+        if i + 1 in heads and (h >> (32 - substring.MASK) == 0 and n >= substring.MIN or n >= substring.MAX or i + 1 == len(raw)):
+            out.append((len(raw[:at].decode()), len(raw[: i + 1].decode()), raw[at : i + 1]))
+            at = i + 1
+    return out
+
+
+def plain_runs(rows):
+    """For each row of (doc_id, text) its runs as (start, end, copies, firsts, cut ranges)."""
+    parts, seen = [plain_chunks(t or "") for _, t in rows], defaultdict(list)
+    for k, (p, (d, _)) in enumerate(zip(parts, rows)):
+        for a, b, x in p:
+            seen[x].append(((d is None, d or 0), k, a))
+    out = []
+    for k, p in enumerate(parts):
+        found, run = [], []
         for c in [*p, None]:
             if c is not None and len(seen[c[2]]) > 1:
                 run.append(c)
-            elif run:
-                runs.append(run)
-                run = []
-        runs = [q for q in runs if q[-1][1] - q[0][0] >= substring.RUN]
-        if runs:
-            want.append((str(r[0]), ",".join(f"{q[0][0]}:{q[-1][1]}" for q in runs), max(len(seen[c[2]]) for q in runs for c in q)))
-    got = [(str(r.doc_id), r.passages, r.most_copies) for r in substring.report(docs).collect()]
-    assert sorted(got) == sorted(want) and want
-    assert substring.report(empty).count() == 0
+                continue
+            if run and run[-1][1] - run[0][0] >= substring.RUN:
+                gone = [(a, b) for a, b, x in run if min(seen[x])[1:] != (k, a)]
+                cut = []
+                for a, b in gone:
+                    if cut and cut[-1][1] == a:
+                        cut[-1] = (cut[-1][0], b)
+                    else:
+                        cut.append((a, b))
+                firsts = sorted({min(seen[x])[0][1] for _, _, x in run if not min(seen[x])[0][0]})
+                found.append((run[0][0], run[-1][1], max(len(seen[x]) for _, _, x in run), firsts, cut))
+            run = []
+        out.append(found)
+    return out
+
+
+def test_against_brute_force(spark, sf, docs, rows, empty):
+    """Repeated rows, copies without doc_id, and whole documents of the smallest table."""
+    one = prose(random.Random(9), 300)
+    more = [(1, one), (1, one), (None, one), (None, one), (0, one[700:]), (5, one + one)]
+    tables = [(docs, [(r.doc_id, r.text) for r in docs.collect()])]
+    for rs in (more, [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]):
+        df = spark.createDataFrame(rs, "doc_id long, text string").coalesce(1)
+        tables.append((df, rs))
+    for df, rs in tables:
+        want = []
+        for (d, _), found in zip(rs, plain_runs(rs)):
+            if found:
+                firsts = sorted({x for f in found for x in f[3]})
+                want.append((str(d), len(found), sum(b - a for a, b, *_ in found), sum(b - a for f in found for a, b in f[4]), max(f[2] for f in found), ",".join(f"{a}:{b}" for a, b, *_ in found), firsts))
+        got = [(str(r.doc_id), r.n_passages, r.repeated_chars, r.removed_chars, r.most_copies, r.passages, list(r.first_doc_ids)) for r in substring.report(df).collect()]
+        assert sorted(got) == sorted(want) and want
+        left = [(str(r.doc_id), r.text) for r in substring.dedup(df).collect()]
+        cut = [substring.without(t, [c for f in found for c in f[4]]) if t is not None else None for (_, t), found in zip(rs, plain_runs(rs))]
+        assert sorted(map(str, left)) == sorted(str((str(d), t)) for (d, _), t in zip(rs, cut))
+    assert substring.report(empty).count() == 0 and substring.dedup(empty).count() == 0
+    assert substring.dedup(docs).columns == docs.columns
+
+
+def test_of_repeated_rows_one_stays_whole(spark):
+    one = prose(random.Random(9), 300)
+    for ids in ((1, 1), (None, None), (1, 2), (1, None)):
+        df = spark.createDataFrame([(i, one) for i in ids], "doc_id long, text string").repartition(2)
+        assert sorted(len(r.text) for r in substring.dedup(df.cache()).collect()) == [0, len(one)]
 
 
 def test_removal_leaves_one_copy(spark):
