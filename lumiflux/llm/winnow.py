@@ -1,17 +1,21 @@
 """Document fingerprints by winnowing, with DataFrame functions only.
 
-Every run of K code points is hashed (XXH64); of each WINDOW hashes in a row the smallest is chosen, the rightmost one
-of equals; chosen hashes are kept with their positions. Two texts that share WINDOW + K - 1 code points in a row share
-a fingerprint, and each window has one. A text of fewer than K code points, but not none, has one hash, of all of it.
+The rolling hash is a cyclic polynomial: a code point c counts t(c) = XXH64(c), and a run of k of them the exclusive or of
+their t, each rotated by the number of code points after it. Runs of 2n follow from those of n by one rotation,
+h(2n, i) = rotate(h(n, i), n) xor h(n, i + n), so all runs of K are found in a few passes over the array of code points;
+no run is cut out of the text. Of each WINDOW hashes in a row the smallest (as a signed number) is chosen, the rightmost
+one of equals, and kept with its position. Two texts that share WINDOW + K - 1 code points in a row share a fingerprint,
+and each window has one. A text of fewer than K code points, but not none, has one hash, of all of it.
 
 Likeness is the Jaccard index of the sets of chosen hashes; two texts without any are alike (1).
 
 The next document (descending doc_id, after the last the first) is found without a global sort in one task: doc_id is
-cut into ranges at approximate quantiles, each range is ordered by itself, and the first row of each is copied to the
-range before it.
+cut into ranges at approximate quantiles, and a doc_id of many rows into ranges of its texts' hashes; each range is
+ordered by itself, and the first row of each is copied to the range before it.
 
-Defined results: a null text is empty and has no hashes; among equal doc_ids the order is that of the texts; a null
-doc_id is the lowest; a single document is its own next; an empty table gives an empty table; other columns are ignored.
+Defined results: a null text is empty and has no hashes; among equal doc_ids the order is that of the texts' XXH64,
+descending, then of the texts; a null doc_id is the lowest; a single document is its own next; an empty table gives an
+empty table; other columns are ignored. Rows that repeat both doc_id and text share a range.
 """
 
 from __future__ import annotations
@@ -24,18 +28,13 @@ from lumiflux.llm.common import with_text
 
 #: WINDOW is a power of 4.
 K, WINDOW = 12, 16
-#: Documents to a range, about.
-RANGE_ROWS = 2048
+#: Documents to a range, about; few, so that long ones spread over the tasks.
+RANGE_ROWS = 512
 #: Ranges at most (larger inputs have longer ones), and cells of the table that finds a key's range.
 MAX_RANGES, CELLS = 100_000, 1 << 16
 LEAST = -(1 << 63)
-#: The hash goes to the upper bits and the distance from the end to the lower ones: the least is the rightmost of equals.
-PLACE_BITS = 24
-
-
-def hashes(text: Column, k: int = K) -> Column:
-    grams = F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{k}}}))"), F.lit(1))
-    return F.when(F.length(text) >= k, F.transform(grams, lambda g: F.xxhash64(g))).when(F.length(text) > 0, F.array(F.xxhash64(text))).otherwise(F.array().cast("array<long>"))
+#: Ranges of hashes of one doc_id are numbered below this.
+REST = 1 << 30
 
 
 def bound(value: Column, body) -> Column:
@@ -43,39 +42,89 @@ def bound(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def _joined(n: int, m: int):
+    """Hashes of runs of n to those of n + m, m <= n: beyond the end there is nothing, and null."""
+    return lambda a: F.transform(a, lambda x, i: F.shiftleft(x, m).bitwiseOR(F.shiftrightunsigned(x, 64 - m)).bitwiseXOR(F.get(a, i + n)))
+
+
+def _rolled(t: Column, k: int) -> Column:
+    """Hashes of the runs of k, at every place; those that reach beyond the end are null."""
+    if k == 1:
+        return t
+    # Runs of k from those of the largest power of two below k and of the rest, both from one table of powers.
+    powers = {1: t}
+
+    def upto(n: int, tables: dict, then):
+        if 2 * n > k:
+            return then(tables)
+        return bound(_joined(n, n)(tables[n]), lambda a: upto(2 * n, tables | {2 * n: a}, then))
+
+    def combine(tables: dict) -> Column:
+        n = max(tables)
+        got, rest = tables[n], k - n
+        while rest:
+            m = max(p for p in tables if p <= rest)
+            got, n, rest = _append(got, n, tables[m], m), n + m, rest - m
+        return got
+
+    return bound(t, lambda a: upto(1, powers | {1: a}, combine))
+
+
+def _append(a: Column, n: int, b: Column, m: int) -> Column:
+    """Runs of n followed by runs of m."""
+    return F.transform(a, lambda x, i: F.shiftleft(x, m).bitwiseOR(F.shiftrightunsigned(x, 64 - m)).bitwiseXOR(F.get(b, i + n)))
+
+
+def hashes(text: Column, k: int = K) -> Column:
+    """The hash at every place of a text where a run of k code points begins; one, of all of it, for a shorter text."""
+    n = F.length(text)
+    # t of every code point; a text of fewer than k is rolled over as many.
+    t = F.transform(F.split(text, ""), lambda c: F.xxhash64(c))
+    whole = F.slice(_rolled(t, k), F.lit(1), F.greatest(F.lit(0), n - (k - 1)))
+    short = F.array(F.aggregate(t, F.lit(0).cast("long"), lambda h, x: F.shiftleft(h, 1).bitwiseOR(F.shiftrightunsigned(h, 63)).bitwiseXOR(x)))
+    return F.when(n >= k, whole).when(n > 0, short).otherwise(F.array().cast("array<long>"))
+
+
+def _fourfold(n: int):
+    return lambda a: F.transform(a, lambda x, i: F.least(x, F.get(a, i + n), F.get(a, i + 2 * n), F.get(a, i + 3 * n)))
+
+
 def window_minima(h: Column, window: int = WINDOW) -> Column:
-    """The smallest key of every window, in order; of fewer hashes than a window, the smallest of all."""
-    last = (1 << PLACE_BITS) - 1
-    key = F.transform(h, lambda x, i: x.bitwiseOR(F.lit(last)) - i.bitwiseAND(F.lit(last)))
-    span = 1
+    """The smallest hash of every window, in order; of fewer hashes than a window, the smallest of all."""
+    key, span = h, 1
     while span < window:  # minima over spans that grow fourfold; beyond the end there is nothing to compare
         key = bound(key, _fourfold(span))
         span *= 4
     return bound(key, lambda a: F.slice(a, F.lit(1), F.greatest(F.size(a) - (window - 1), F.lit(1))))
 
 
-def _fourfold(n: int):
-    return lambda a: F.transform(a, lambda x, i: F.least(x, F.get(a, i + n), F.get(a, i + 2 * n), F.get(a, i + 3 * n)))
+def events(h: Column, minima: Column, window: int = WINDOW) -> Column:
+    """Windows, from 0, that choose another place than the one before them: the smallest hash is a new one, or it came in
+    at the right end and is the rightmost of equals."""
+    wide = F.least(F.lit(window), F.size(h))
+    return F.array_compact(F.transform(minima, lambda x, s: F.when((x == F.get(h, s + wide - 1)) | ~x.eqNullSafe(F.get(minima, s - 1)), s)))
 
 
-def chosen(h: Column, window: int = WINDOW) -> Column:
-    """Of an array of hashes, the chosen ones, in order of place; hash_of() and position_of() take them apart."""
-    return F.array_distinct(window_minima(h, window))
+def places(h: Column, minima: Column, at: Column, window: int = WINDOW) -> Column:
+    """The place that each of the given windows chooses: the rightmost one of its smallest hash."""
+    wide = F.least(F.lit(window), F.size(h))
+    last = lambda s: s + wide - F.array_position(F.reverse(F.slice(h, s + 1, wide)), F.get(minima, s)).cast("int")
+    return F.transform(at, lambda s: F.when(F.get(h, s + wide - 1) == F.get(minima, s), s + wide - 1).otherwise(last(s)))
 
 
-def hash_of(key: Column) -> Column:
-    return F.shiftright(key, PLACE_BITS)
+def chosen(h: Column, window: int = WINDOW) -> Column:
+    """at (windows), pos and hash: arrays, in order of place, of what is chosen from an array of hashes."""
 
+    def of(h: Column) -> Column:
+        return bound(window_minima(h, window), lambda m: bound(events(h, m, window), lambda s: bound(places(h, m, s, window), lambda p: F.struct(s.alias("at"), p.alias("pos"), F.transform(p, lambda i: F.get(h, i)).alias("hash")))))
 
-def position_of(key: Column) -> Column:
-    low = (1 << PLACE_BITS) - 1
-    return (F.lit(low) - key.bitwiseAND(F.lit(low))).cast("int")
+    return bound(h, of)
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id and the chosen hashes with their positions (below 2^24; later ones count on from 0)."""
-    keys = chosen(hashes(F.col("text")))
-    return with_text(docs).select("doc_id", F.transform(keys, lambda k: F.struct(position_of(k).alias("pos"), hash_of(k).alias("hash"))).alias("fingerprint"))
+    """doc_id and the chosen hashes with their positions, in code points."""
+    rows = with_text(docs).withColumn("c", chosen(hashes(F.col("text"))))
+    return rows.select("doc_id", F.arrays_zip(F.col("c.pos").alias("pos"), F.col("c.hash").alias("hash")).alias("fingerprint"))
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -84,70 +133,82 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(either == 0, F.lit(1.0)).otherwise(both / either)
 
 
-
 def following(docs: DataFrame) -> DataFrame:
-    """doc_id, text, next_text and __part, __guest, __key: the order within each range, for further windows over it."""
-    own = with_text(docs).withColumn("__key", F.coalesce("doc_id", F.lit(LEAST)))
-    count, lo, hi = own.agg(F.count("*"), F.min("doc_id"), F.max("doc_id")).first()
-    own = _ranged(own, count, lo, hi)
-    # One key a range comes to the driver, at most MAX_RANGES: the first row of a range is also a guest at the end of
-    # the one before it.
-    heads = {r["__part"]: r["m"] for r in own.groupBy("__part").agg(F.max("__key").alias("m")).collect()}
+    """doc_id, text, next_text and __part, __guest, __key, __th: the order within each range, for further windows over it."""
+    own = _ranged(with_text(docs).withColumns({"__key": F.coalesce("doc_id", F.lit(LEAST)), "__th": F.xxhash64("text")}))
+    # One key a range comes to the driver, at most some MAX_RANGES: the first row of a range is also a guest at the end
+    # of the one before it.
+    heads = {r["__part"]: (r["m"]["__key"], r["m"]["__th"]) for r in own.groupBy("__part").agg(F.max(F.struct("__key", "__th")).alias("m")).collect()}
     ranges = sorted(heads)
-    hosts = [(heads[r], ranges[(i + 1) % len(ranges)]) for i, r in enumerate(ranges)]
-    hosts = docs.sparkSession.createDataFrame(hosts, "__head long, __host int")
-    own = own.join(F.broadcast(hosts), F.col("__key") == F.col("__head"), "left")
+    hosts = [(*heads[r], ranges[(i + 1) % len(ranges)]) for i, r in enumerate(ranges)]
+    hosts = docs.sparkSession.createDataFrame(hosts, "__hk long, __ht long, __host long")
+    own = own.join(F.broadcast(hosts), (F.col("__key") == F.col("__hk")) & (F.col("__th") == F.col("__ht")), "left")
     at_home = F.struct(F.col("__part").alias("p"), F.lit(0).alias("g"))
     host = F.when(F.col("__host").isNotNull(), F.struct(F.col("__host").alias("p"), F.lit(1).alias("g")))
     dealt = own.withColumn("__at", F.explode(F.array_compact(F.array(at_home, host))))
-    dealt = dealt.select("doc_id", "text", "__key", F.col("__at.p").alias("__part"), F.col("__at.g").alias("__guest"))
+    dealt = dealt.select("doc_id", "text", "__key", "__th", F.col("__at.p").alias("__part"), F.col("__at.g").alias("__guest"))
     return dealt.withColumn("next_text", F.lead("text").over(order()))
 
 
-def _ranged(own: DataFrame, count: int, lo: int | None, hi: int | None) -> DataFrame:
-    """__part, the number of marks (approximate quantiles of the keys) at or below the key. A row finds its few marks by
-    a cell of the span of keys, in a broadcast table of at most CELLS rows and MAX_RANGES marks."""
-    n = min(MAX_RANGES, count // RANGE_ROWS)
-    if n < 2 or lo is None or lo == hi:
-        return own.withColumn("__part", F.lit(0))
-    marks = sorted(set(own.agg(F.percentile_approx("__key", [i / n for i in range(1, n)], 10 * n)).first()[0]))
-    cells, span = min(CELLS, 4 * n), float(hi) - float(lo)
-    of = [max(0, min(cells - 1, int((float(m) - float(lo)) / span * cells))) for m in marks]
-    table = [(c, bisect_left(of, c), marks[bisect_left(of, c) : bisect_right(of, c)]) for c in range(cells)]
-    table = own.sparkSession.createDataFrame(table, "__cell int, __below int, __marks array<long>")
-    place = (F.col("__key").cast("double") - F.lit(float(lo))) / F.lit(span) * F.lit(float(cells))
-    cell = F.floor(F.greatest(F.lit(0.0), F.least(F.lit(cells - 1.0), place))).cast("int")
-    found = own.withColumn("__c", cell).join(F.broadcast(table), F.col("__c") == F.col("__cell"))
-    part = F.col("__below") + F.size(F.filter("__marks", lambda m: m <= F.col("__key")))
-    return found.withColumn("__part", part).drop("__c", "__cell", "__below", "__marks")
+def _ranged(own: DataFrame) -> DataFrame:
+    """__part, a range of (key, text hash), ascending. A row finds its few marks, approximate quantiles of the keys and
+    the keys of many rows, by a cell of the span of keys, in a broadcast table of at most CELLS rows and 2 * MAX_RANGES
+    marks. A key of many rows begins a range and is cut into pieces by its texts' hashes, before the range's other keys."""
+    count, lo, hi = own.agg(F.count("*"), F.min("__key"), F.max("__key")).first()
+    rows = max(RANGE_ROWS, -(-count // MAX_RANGES))
+    hot = [(r["__key"], -(-r["n"] // rows)) for r in own.groupBy("__key").agg(F.count("*").alias("n")).where(F.col("n") > rows).collect()]
+    spark, n = own.sparkSession, count // rows
+    found = own.withColumn("__p", F.lit(0).cast("long"))
+    if n >= 2 and lo != hi:
+        marks = own.agg(F.percentile_approx("__key", [i / n for i in range(1, n)], 10 * n)).first()[0]
+        marks = sorted({*marks, *(k for k, _ in hot)})
+        cells, span = min(CELLS, 4 * n), float(hi) - float(lo)
+        of = [max(0, min(cells - 1, int((float(m) - float(lo)) / span * cells))) for m in marks]
+        table = [(c, bisect_left(of, c), marks[bisect_left(of, c) : bisect_right(of, c)]) for c in range(cells)]
+        table = spark.createDataFrame(table, "__cell int, __below long, __marks array<long>")
+        place = (F.col("__key").cast("double") - F.lit(float(lo))) / F.lit(span) * F.lit(float(cells))
+        cell = F.floor(F.greatest(F.lit(0.0), F.least(F.lit(cells - 1.0), place))).cast("int")
+        found = own.withColumn("__c", cell).join(F.broadcast(table), F.col("__c") == F.col("__cell"))
+        part = F.col("__below") + F.size(F.filter("__marks", lambda m: m <= F.col("__key")))
+        found = found.withColumn("__p", part).drop("__c", "__cell", "__below", "__marks")
+    found = found.join(F.broadcast(spark.createDataFrame(hot, "__hot long, __pieces long")), F.col("__key") == F.col("__hot"), "left")
+    piece = F.least(F.col("__pieces") - 1, F.floor((F.col("__th").cast("double") / F.lit(2.0**64) + 0.5) * F.col("__pieces")))
+    return found.withColumn("__part", F.col("__p") * (2 * REST) + F.coalesce(piece, F.lit(REST))).drop("__p", "__hot", "__pieces")
 
 
 def order() -> W:
-    return W.partitionBy("__part").orderBy("__guest", F.col("__key").desc(), "text")
+    return W.partitionBy("__part").orderBy("__guest", F.col("__key").desc(), F.col("__th").desc(), "text")
 
 
 def report(docs: DataFrame) -> DataFrame:
     """The contract's columns and the number of chosen hashes. The edited text keeps the first half of its windows'
-    minima, so only windows that reach into its second half are hashed anew; likeness to the next document takes that
+    choices, so only windows that reach into its second half are hashed anew; likeness to the next document takes that
     document's own hashes from its row."""
     text, n = F.col("text"), F.length("text")
     half = F.floor(n / 2).cast("int")
     rows = following(docs).withColumn("edited", F.concat(F.substring(text, F.lit(1), n - half), F.substring(F.col("next_text"), F.lit(1), half)))
-    rows = rows.withColumn("__minima", window_minima(hashes(text)))
-    # Windows that end before the edit: their minima stay.
+    rows = rows.withColumn("__own", chosen(hashes(text)))
+    # Windows that end before the edit: their choices stay.
     kept = F.when((F.length("edited") >= K + WINDOW) & (n >= K + WINDOW), F.greatest(F.lit(0), n - half - (K + WINDOW - 2))).otherwise(0)
     rows = rows.withColumn("__kept", kept)
-    tail = window_minima(hashes(F.substring(F.col("edited"), F.col("__kept") + 1, F.length("edited"))))
-    shift = F.col("__kept")
-    rows = rows.withColumn("__tail", tail)
-    moved = F.transform("__tail", lambda k: k - shift)  # its places begin after the kept windows
-    rows = rows.withColumn("__own", F.array_distinct("__minima")).withColumn("__edited", F.array_distinct(F.concat(F.slice("__minima", F.lit(1), shift), moved)))
-    rows = rows.withColumn("__next", F.lead(F.array_distinct(F.transform("__own", hash_of))).over(order()))
-    rows = rows.where("__guest = 0")
-    own, edited = F.array_distinct(F.transform("__own", hash_of)), F.array_distinct(F.transform("__edited", hash_of))
-    return rows.select("doc_id", n.cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), digest("__own").alias("fingerprint"), digest("__edited").alias("edited_fingerprint"), likeness(own, edited).alias("near_edited"), likeness(own, F.col("__next")).alias("near_next"), F.size("__own").cast("long").alias("n_chosen"))
-
-
-def digest(keys: str) -> Column:
+    rows = rows.withColumn("__tail", chosen(hashes(F.substring(F.col("edited"), F.col("__kept") + 1, F.length("edited")))))
+    # The tail's places begin after the kept windows; its first choice may be the last of theirs.
+    stay = F.size(F.filter("__own.at", lambda s: s < F.col("__kept")))
+    rows = rows.withColumn("__stay", stay)
+    again = (F.col("__stay") > 0) & (F.get("__own.pos", F.col("__stay") - 1) == F.get("__tail.pos", F.lit(0)) + F.col("__kept"))
+    rows = rows.withColumn("__from", F.when(again, 2).otherwise(1))
+
+    def rest(field: str) -> Column:
+        return F.slice(f"__tail.{field}", F.col("__from"), F.greatest(F.lit(0), F.size(f"__tail.{field}") - F.col("__from") + 1))
+
+    pos = F.concat(F.slice("__own.pos", F.lit(1), F.col("__stay")), F.transform(rest("pos"), lambda p: p + F.col("__kept")))
+    rows = rows.withColumns({"__ep": pos, "__eh": F.concat(F.slice("__own.hash", F.lit(1), F.col("__stay")), rest("hash"))})
+    rows = rows.withColumn("__set", F.array_distinct("__own.hash"))
+    rows = rows.withColumn("__next", F.lead("__set").over(order())).where("__guest = 0")
+    own = F.col("__set")
+    return rows.select("doc_id", n.cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), digest(F.col("__own.pos"), F.col("__own.hash")).alias("fingerprint"), digest(F.col("__ep"), F.col("__eh")).alias("edited_fingerprint"), likeness(own, F.array_distinct("__eh")).alias("near_edited"), likeness(own, F.col("__next")).alias("near_next"), F.size("__own.pos").cast("long").alias("n_chosen"))
+
+
+def digest(pos: Column, hashed: Column) -> Column:
     """One string for all chosen hashes and their places."""
-    return F.sha2(F.array_join(F.transform(keys, lambda k: k.cast("string")), ","), 256)
+    return F.sha2(F.concat_ws("|", F.array_join(pos.cast("array<string>"), ","), F.array_join(hashed.cast("array<string>"), ",")), 256)
