@@ -1,13 +1,15 @@
 """Toxicity: a bidirectional gated recurrent network with attention pooling, trained in numpy.
 
 Inputs. A word's vector joins a word embedding (hashed) and the mean of the embeddings of its character 3- and 4-grams
-(hashed, with word ends marked), so unseen forms of known stems score too. Windows of WINDOW words at every STRIDE
-words cover a whole text and all are scored; a document's score is that of its worst window.
+(hashed, with word ends marked), so unseen forms of known stems score too. It goes nowhere but into the two recurrences;
+attention weighs their states, word by word, and the output sees the pooled states alone. Nothing is set from labels but
+by descent. Windows of WINDOW words at every STRIDE words cover a whole text and all are scored; a document's score is
+that of its worst window.
 
-Training takes at most SAMPLE labelled documents of each class, first by md5(doc_id), of at most SAMPLE_CHARS
-characters each: documented bounds, the only ones. Labels hang on documents, not windows, so the loss is taken on
-softmax-pooled window scores. Rows with crc32(doc_id) mod FOLDS = 0 are never learned from; labels, lang, source and
-doc_id are no inputs of a score.
+Training takes at most SAMPLE labelled documents of each class, first by md5(doc_id), and the first SAMPLE_CHARS
+characters of each: documented bounds, the only ones. It runs as one task of an executor, and its result, of a fixed size,
+is broadcast. Labels hang on documents, not windows, so the loss is taken on softmax-pooled window scores. Rows with
+crc32(doc_id) mod FOLDS = 0 are never learned from; labels, lang, source and doc_id are no inputs of a score.
 
 Defined results: an empty or null text scores 0; without labels of both classes every text scores the share of
 label 1 (0 without labels); of repeated labels the larger counts, null ones do not; repeated documents score alike;
@@ -16,8 +18,9 @@ an empty table gives an empty table; other columns are ignored (keep() carries t
 
 from __future__ import annotations
 
+import io
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import chain
 
 import numpy as np
@@ -28,12 +31,15 @@ from lumiflux.llm.common import sliced
 
 WINDOW, STRIDE, FOLDS = 32, 24, 5
 SAMPLE, SAMPLE_CHARS = 2000, 8000
-HIDDEN, ATT, DIM_W, DIM_C = 8, 8, 8, 8
+HIDDEN, ATT, DIM_W, DIM_C = 12, 12, 12, 12
 CHAR_BITS = 13
 WORD_BUCKETS, CHAR_BUCKETS = 1 << 14, 1 << CHAR_BITS
-STEPS, DOCS, RATE, SEED = 500, 32, 0.01, 7
-#: Share of a batch's distinct words left out in a step, and decay of the weights a step (in units of the rate).
-DROP, DECAY, LIKELY = 0.3, 0.01, 6.0
+STEPS, DOCS, RATE, SEED = 400, 32, 0.01, 7
+#: Share of a batch's distinct words left out in a step, and decay of the weights a step (in units of the rate). Words of
+#: fewer than HELD sample documents are left out always: of them a small sample would only learn whose they are.
+DROP, DECAY, HELD = 0.6, 0.01, 6
+#: Both classes are shown alike; scores are then moved by this part of the way to the share of label 1 among all labels.
+SHIFT = 1.0
 #: Labels are wrong now and then: what is learned is this share of 1 for each class.
 TARGETS = (0.01, 0.98)
 CACHED = 80_000
@@ -80,22 +86,9 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
 def fresh() -> dict[str, np.ndarray]:
     r = np.random.default_rng(SEED)
     d, h = DIM_W + DIM_C, HIDDEN
-    shapes = {"Ew": (WORD_BUCKETS, DIM_W), "Ec": (CHAR_BUCKETS, DIM_C), "Wf": (d, 3 * h), "Wb": (d, 3 * h), "cf": (3 * h,), "cb": (3 * h,), "Uf": (h, 3 * h), "Ub": (h, 3 * h), "A": (2 * h + d, ATT), "a": (ATT,), "v": (ATT,), "k": (2 * h + d,), "o": (2 * h + d,), "b": (1,)}
-    scale = {"Ew": 0.1, "Ec": 0.3, "cf": 0.0, "cb": 0.0, "a": 0.0, "b": 0.0}
-    p = {k: (r.standard_normal(s) * scale.get(k, 1 / np.sqrt(s[0]))).astype(np.float32) for k, s in shapes.items()}
-    for k in ("k", "o"):  # attention and output first heed what the labels say of a word (association())
-        p[k][2 * h :: DIM_W] = 2.0
-    return p
-
-
-def association(ids: list[np.ndarray], y: np.ndarray, buckets: int) -> np.ndarray:
-    """How far the number of label-1 documents with a bucket lies above chance, in deviations, cut to [-1, 1] at LIKELY."""
-    seen = np.zeros((2, buckets))
-    for i, c in zip(ids, y):
-        seen[c, np.unique(i)] += 1
-    n, share = seen.sum(axis=0), y.mean()
-    z = (seen[1] - n * share) / np.sqrt(np.maximum(n, 1) * share * (1 - share))
-    return np.clip(z / LIKELY, -1, 1).astype(np.float32)
+    shapes = {"Ew": (WORD_BUCKETS, DIM_W), "Ec": (CHAR_BUCKETS, DIM_C), "Wf": (d, 3 * h), "Wb": (d, 3 * h), "cf": (3 * h,), "cb": (3 * h,), "Uf": (h, 3 * h), "Ub": (h, 3 * h), "A": (2 * h, ATT), "a": (ATT,), "v": (ATT,), "o": (2 * h,), "b": (1,)}
+    scale = {"Ew": 0.3, "Ec": 0.6, "cf": 0.0, "cb": 0.0, "a": 0.0, "b": 0.0}
+    return {k: (r.standard_normal(s) * scale.get(k, 1 / np.sqrt(s[0]))).astype(np.float32) for k, s in shapes.items()}
 
 
 def recur(x: np.ndarray, real: np.ndarray, u: np.ndarray, keep: bool) -> tuple[np.ndarray, list]:
@@ -134,13 +127,13 @@ def unroll(d_out: np.ndarray, real: np.ndarray, u: np.ndarray, tape: list) -> tu
 
 
 def forward(p: dict, x: np.ndarray, real: np.ndarray, keep: bool = False):
-    """Word vectors (steps x windows x dimensions) to window logits. Attention pools each word's states and its vector."""
+    """Word vectors (steps x windows x dimensions) to window logits: the states of both directions, pooled by attention."""
     m = real.T[:, :, None].astype(np.float32)
     hf, tf = recur(x @ p["Wf"] + p["cf"], m, p["Uf"], keep)
     hb, tb = recur((x @ p["Wb"] + p["cb"])[::-1], m[::-1], p["Ub"], keep)
-    both = np.concatenate([hf, hb[::-1], x], axis=2)
+    both = np.concatenate([hf, hb[::-1]], axis=2)
     att = np.tanh(both @ p["A"] + p["a"])
-    e = np.where(real.T, att @ p["v"] + both @ p["k"], np.float32(-1e9))
+    e = np.where(real.T, att @ p["v"], np.float32(-1e9))
     w = np.exp(e - e.max(axis=0))
     w *= real.T
     w /= np.maximum(w.sum(axis=0), np.float32(1e-9))
@@ -148,20 +141,55 @@ def forward(p: dict, x: np.ndarray, real: np.ndarray, keep: bool = False):
     return pooled @ p["o"] + p["b"][0], (m, tf, tb, both, att, w, pooled)
 
 
-def train(texts: list[str], labels: list[int], steps: int = STEPS, share: float = 0.5) -> dict[str, np.ndarray]:
+def backward(p: dict, x: np.ndarray, dz: np.ndarray, held: tuple) -> tuple[dict[str, np.ndarray], np.ndarray]:
+    """Gradients of all weights but the embeddings, and of the word vectors, from those of the window logits."""
+    m, tf, tb, both, att, w, pooled = held
+    g: dict[str, np.ndarray] = {"o": pooled.T @ dz, "b": np.array([dz.sum()], np.float32)}
+    d_pool = dz[:, None] * p["o"]
+    dw = np.einsum("nh,tnh->tn", d_pool, both)
+    de = w * (dw - (w * dw).sum(axis=0))
+    d_att = de[:, :, None] * p["v"] * (1 - att * att)
+    g["v"] = np.einsum("tn,tna->a", de, att)
+    g["A"], g["a"] = np.einsum("tnh,tna->ha", both, d_att, optimize=True), d_att.sum(axis=(0, 1))
+    d_both = w[:, :, None] * d_pool + d_att @ p["A"].T
+    dxf, g["Uf"] = unroll(d_both[:, :, :HIDDEN], m, p["Uf"], tf)
+    dxb, g["Ub"] = unroll(d_both[::-1, :, HIDDEN:], m[::-1], p["Ub"], tb)
+    dxb = dxb[::-1]
+    for d, dx in (("f", dxf), ("b", dxb)):
+        g[f"W{d}"], g[f"c{d}"] = np.einsum("tnd,tng->dg", x, dx, optimize=True), dx.sum(axis=(0, 1))
+    return g, dxf @ p["Wf"].T + dxb @ p["Wb"].T
+
+
+def summed(rows: np.ndarray, keys: np.ndarray, n: int) -> np.ndarray:
+    """Rows added up by key, for keys below n."""
+    order = np.argsort(keys, kind="stable")
+    found, at = np.unique(keys[order], return_index=True)
+    out = np.zeros((n, rows.shape[1]), np.float32)
+    out[found] = np.add.reduceat(rows[order], at, axis=0)
+    return out
+
+
+def pooled_loss(z: np.ndarray, of: np.ndarray, goal: np.ndarray) -> np.ndarray:
+    """Gradients of window logits: softmax pooling of each document's windows, cross-entropy of documents. of is sorted."""
+    at = np.flatnonzero(np.diff(of, prepend=-1))
+    q = np.exp(2 * (z - np.maximum.reduceat(z, at)[of]))
+    q /= np.add.reduceat(q, at)[of]
+    s = np.add.reduceat(q * z, at)
+    return ((sigmoid(s) - goal)[of] * q * (1 + 2 * (z - s[of])) / len(goal)).astype(np.float32)
+
+
+def train(texts: Iterable[str], labels: list[int], steps: int = STEPS, share: float = 0.5) -> dict[str, np.ndarray]:
     """Fits the network to labelled texts, both classes alike; the same texts in the same order give the same network.
-    Scores are then moved half-way to the share of label 1 among all labels: a missed one counts more than a false one."""
+    Scores are then moved towards the share of label 1 among all labels."""
     p, rng = fresh(), np.random.default_rng(SEED)
-    words = [words_of(t) for t in texts]
     number: dict[bytes, int] = {}
-    docs = [np.fromiter((number.setdefault(w, len(number)) for w in ws), np.int64, len(ws)) for ws in words]
+    docs = [np.array([number.setdefault(w, len(number)) for w in words_of(t)], np.int32) for t in texts]
     wb, grams, n_grams = inputs(list(number))
     grams_at = np.cumsum(n_grams) - n_grams
+    # In a sample of few documents fewer will do.
+    common = np.bincount(np.concatenate([np.unique(d) for d in docs]), minlength=len(number)) >= min(HELD, 1 + len(docs) // 64)
     y = np.array(labels)
     classes = [np.flatnonzero((y == c) & (np.array([len(d) for d in docs]) > 0)) for c in (0, 1)]
-    # One dimension of each embedding starts from what the labels say of its buckets; all are trained.
-    p["Ew"][:, 0] = association([wb[d] for d in docs], y, WORD_BUCKETS)
-    p["Ec"][:, 0] = association([np.concatenate([grams[grams_at[w] : grams_at[w] + n_grams[w]] for w in np.unique(d)]) if len(d) else d for d in docs], y, CHAR_BUCKETS)
     first = {k: np.zeros_like(x) for k, x in p.items()}
     second = {k: np.zeros_like(x) for k, x in p.items()}
     queues = [np.empty(0, np.int64)] * 2
@@ -173,57 +201,29 @@ def train(texts: list[str], labels: list[int], steps: int = STEPS, share: float
             chosen.append(queues[c][: DOCS // 2])
             queues[c] = queues[c][DOCS // 2 :]
         pick = np.concatenate(chosen)
-        flat = np.concatenate([docs[i] for i in pick])
         at, real, of = windows(np.array([len(docs[i]) for i in pick]))
-        seen, local = np.unique(flat, return_inverse=True)
+        seen, local = np.unique(np.concatenate([docs[i] for i in pick]), return_inverse=True)
         lens = n_grams[seen]
         row = np.repeat(np.arange(len(seen)), lens)
         cols = grams[np.repeat(grams_at[seen] - (np.cumsum(lens) - lens), lens) + np.arange(len(row))]
-        mean = np.zeros((len(seen), DIM_C), np.float32)
-        np.add.at(mean, row, p["Ec"][cols])
-        mean /= lens[:, None]
-        vec = np.concatenate([p["Ew"][wb[seen]], mean], axis=1)
-        used = (rng.random(len(seen)) >= DROP).astype(np.float32)[:, None]
-        vec *= used
+        mean = np.add.reduceat(p["Ec"][cols], np.cumsum(lens) - lens, axis=0) / lens[:, None].astype(np.float32)
+        used = ((rng.random(len(seen)) >= DROP) & common[seen]).astype(np.float32)[:, None]
+        vec = np.concatenate([p["Ew"][wb[seen]], mean], axis=1) * used
         ids = local[at].T  # steps x windows
         x = vec[ids]
-        z, (m, tf, tb, both, att, w, pooled) = forward(p, x, real, True)
-        # Softmax pooling of windows, cross-entropy of documents.
-        dz = np.zeros_like(z)
-        for k, i in enumerate(pick):
-            zi = z[of == k]
-            q = np.exp(2 * (zi - zi.max()))
-            q /= q.sum()
-            s = float(q @ zi)
-            dz[of == k] = (1 / (1 + np.exp(-s)) - TARGETS[y[i]]) * q * (1 + 2 * (zi - s)) / len(pick)
-        g: dict[str, np.ndarray] = {"o": pooled.T @ dz, "b": np.array([dz.sum()], np.float32)}
-        d_pool = dz[:, None] * p["o"]
-        dw = np.einsum("nh,tnh->tn", d_pool, both)
-        de = w * (dw - (w * dw).sum(axis=0))
-        d_att = de[:, :, None] * p["v"] * (1 - att * att)
-        g["v"], g["k"] = np.einsum("tn,tna->a", de, att), np.einsum("tn,tnh->h", de, both)
-        g["A"], g["a"] = np.einsum("tnh,tna->ha", both, d_att, optimize=True), d_att.sum(axis=(0, 1))
-        d_both = w[:, :, None] * d_pool + d_att @ p["A"].T + de[:, :, None] * p["k"]
-        dxf, g["Uf"] = unroll(d_both[:, :, :HIDDEN], m, p["Uf"], tf)
-        dxb, g["Ub"] = unroll(d_both[::-1, :, HIDDEN : 2 * HIDDEN], m[::-1], p["Ub"], tb)
-        dxb = dxb[::-1]
-        for d, dx in (("f", dxf), ("b", dxb)):
-            g[f"W{d}"], g[f"c{d}"] = np.einsum("tnd,tng->dg", x, dx, optimize=True), dx.sum(axis=(0, 1))
-        d_x = (d_both[:, :, 2 * HIDDEN :] + dxf @ p["Wf"].T + dxb @ p["Wb"].T).reshape(-1, DIM_W + DIM_C)
-        order = np.argsort(ids.ravel(), kind="stable")
-        edges = np.searchsorted(ids.ravel()[order], np.arange(len(seen)))
-        d_vec = np.add.reduceat(d_x[order], edges, axis=0) * used
-        g["Ew"], g["Ec"] = np.zeros_like(p["Ew"]), np.zeros_like(p["Ec"])
-        np.add.at(g["Ew"], wb[seen], d_vec[:, :DIM_W])
-        np.add.at(g["Ec"], cols, (d_vec[:, DIM_W:] / lens[:, None])[row])
+        z, held = forward(p, x, real, True)
+        g, d_x = backward(p, x, pooled_loss(z, of, np.array(TARGETS)[y[pick]]), held)
+        d_vec = summed(d_x.reshape(-1, DIM_W + DIM_C), ids.ravel(), len(seen)) * used
+        g["Ew"] = summed(d_vec[:, :DIM_W], wb[seen], WORD_BUCKETS)
+        g["Ec"] = summed((d_vec[:, DIM_W:] / lens[:, None])[row], cols, CHAR_BUCKETS)
         rate = RATE * (0.55 + 0.45 * np.cos(np.pi * step / steps))
-        for k, x in g.items():  # Adam
-            first[k] += 0.1 * (x - first[k])
-            second[k] += 0.001 * (x * x - second[k])
+        for k, d in g.items():  # Adam
+            first[k] += 0.1 * (d - first[k])
+            second[k] += 0.001 * (d * d - second[k])
             p[k] -= (rate * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.999**step)) + 1e-8)).astype(np.float32)
-            if x.ndim == 2:
+            if d.ndim == 2:
                 p[k] *= np.float32(1 - rate * DECAY)
-    p["b"] += np.float32(0.5 * np.log(share / (1 - share)))
+    p["b"] += np.float32(SHIFT * np.log(share / (1 - share)))
     return p
 
 
@@ -231,22 +231,17 @@ class Scorer:
     """Scores texts; the projected vectors of the words met last are kept, up to CACHED of them.
 
     Both directions run in one loop over arrays that keep windows in the last axis, so that every operation is on
-    contiguous rows: the gates' rows are the updates of both directions, their resets, their candidates."""
+    contiguous rows: direction x (update, reset, candidate) x windows."""
 
     def __init__(self, p: dict[str, np.ndarray]):
-        h = HIDDEN
         self.p = p
-        self.u = np.zeros((6 * h, 2 * h), np.float32)
-        for d, u in enumerate((p["Uf"], p["Ub"])):
-            for gate in range(3):
-                self.u[(2 * gate + d) * h : (2 * gate + d + 1) * h, d * h : (d + 1) * h] = u[:, gate * h : (gate + 1) * h].T
-        self.u[: 4 * h] *= 0.5  # sigmoid(x) = 0.5 + 0.5 tanh(x / 2)
+        self.u = np.ascontiguousarray(np.stack([p["Uf"].T, p["Ub"].T]))
+        self.u[:, : 2 * HIDDEN] *= 0.5  # sigmoid(x) = 0.5 + 0.5 tanh(x / 2)
         self._clear()
 
     def _clear(self) -> None:
         self.number: dict[bytes, int] = {}
         self.tables = np.zeros((2, 1024, 3 * HIDDEN), np.float32)
-        self.direct = np.zeros((1024, ATT + 2), np.float32)  # what a word's vector itself adds to attention and output
 
     def _learn(self, new: list[bytes]) -> None:
         p, n = self.p, len(self.number)
@@ -255,51 +250,48 @@ class Scorer:
         vec = np.concatenate([p["Ew"][wb], sums / lens[:, None].astype(np.float32)], axis=1)
         while n + len(new) > self.tables.shape[1]:
             self.tables = np.concatenate([self.tables, np.zeros_like(self.tables)], axis=1)
-            self.direct = np.concatenate([self.direct, np.zeros_like(self.direct)])
         for d, (w, c) in enumerate((("Wf", "cf"), ("Wb", "cb"))):
             x = vec @ p[w] + p[c]
             x[:, : 2 * HIDDEN] *= 0.5
             self.tables[d, n : n + len(new)] = x
-        h2 = 2 * HIDDEN
-        self.direct[n : n + len(new)] = vec @ np.column_stack([p["A"][h2:], p["k"][h2:], p["o"][h2:]])
         self.number.update(zip(new, range(n, n + len(new))))
 
     def _logits(self, ids: np.ndarray, real: np.ndarray) -> np.ndarray:
         """ids, real: steps x windows."""
         t, n = ids.shape
         h, h2 = HIDDEN, 2 * HIDDEN
-        x = np.empty((t, 3, 2, h, n), np.float32)
-        x[:, :, 0] = self.tables[0][ids].reshape(t, n, 3, h).transpose(0, 2, 3, 1)
-        x[:, :, 1] = self.tables[1][ids[::-1]].reshape(t, n, 3, h).transpose(0, 2, 3, 1)
-        x = x.reshape(t, 6 * h, n)
+        x = np.empty((t, 2, 3 * h, n), np.float32)
+        x[:, 0] = self.tables[0][ids].transpose(0, 2, 1)
+        x[:, 1] = self.tables[1][ids[::-1]].transpose(0, 2, 1)
         whole = real.all()
-        mask = np.repeat(np.stack([real, real[::-1]], axis=1).astype(np.float32), h, axis=1) if not whole else None
-        both, state, g = np.empty((t, h2, n), np.float32), np.zeros((h2, n), np.float32), np.empty((6 * h, n), np.float32)
+        mask = np.stack([real, real[::-1]], axis=1)[:, :, None].astype(np.float32) if not whole else None
+        both, state, g = np.empty((t, h2, n), np.float32), np.zeros((2, h, n), np.float32), np.empty((2, 3 * h, n), np.float32)
         for i in range(t):
             np.matmul(self.u, state, out=g)
-            zr = x[i, : 2 * h2]
-            zr += g[: 2 * h2]
+            zr = x[i, :, :h2]
+            zr += g[:, :h2]
             np.tanh(zr, out=zr)
             zr *= 0.5
             zr += 0.5
-            c = g[2 * h2 :]
-            c *= zr[h2:]
-            c += x[i, 2 * h2 :]
+            c = g[:, h2:]
+            c *= zr[:, h:]
+            c += x[i, :, h2:]
             np.tanh(c, out=c)
             state = state - c
-            state *= zr[:h2]
+            state *= zr[:, :h]
             state += c
             if not whole:
                 state *= mask[i]
-            both[i, :h] = state[:h]
-            both[t - 1 - i, h:] = state[h:]
-        p, own = self.p, self.direct[ids].transpose(0, 2, 1)
-        att = np.tanh(np.matmul(p["A"][:h2].T, both) + own[:, :ATT] + p["a"][:, None])
-        e = np.einsum("tan,a->tn", att, p["v"]) + np.einsum("thn,h->tn", both, p["k"][:h2]) + own[:, ATT]
-        e = np.where(real, e, np.float32(-1e9))
+            both[i, :h] = state[0]
+            both[t - 1 - i, h:] = state[1]
+        p = self.p
+        att = np.matmul(p["A"].T, both)
+        att += p["a"][:, None]
+        np.tanh(att, out=att)
+        e = np.where(real, np.matmul(p["v"], att), np.float32(-1e9))
         w = np.exp(e - e.max(axis=0)) * real
         w /= np.maximum(w.sum(axis=0), np.float32(1e-9))
-        return np.einsum("tn,tn->n", w, np.einsum("thn,h->tn", both, p["o"][:h2]) + own[:, ATT + 1]) + p["b"][0]
+        return (w * np.matmul(p["o"], both)).sum(axis=0) + p["b"][0]
 
     def _few(self, words: list[list[bytes]]) -> np.ndarray:
         if len(self.number) > CACHED:
@@ -338,16 +330,32 @@ def fit(docs: DataFrame, labels: DataFrame):
     """The network as a broadcast, or the share of label 1 if one class is missing."""
     spark = docs.sparkSession
     known = labels.where("doc_id is not null and toxic is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("y")).where(fold() != 0)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(F.length("text") <= SAMPLE_CHARS)
-    # At most 2 * SAMPLE ids: their size has a bound, so they may be broadcast and their texts collected.
-    ids = known.where("y = 1").orderBy(F.md5(F.col("doc_id").cast("string"))).limit(SAMPLE).unionByName(known.where("y = 0").orderBy(F.md5(F.col("doc_id").cast("string"))).limit(SAMPLE))
-    rows = texts.join(F.broadcast(ids), "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("text")).collect()
-    rows = sorted((r for r in rows if words_of(r.text)), key=lambda r: r.doc_id)
-    y = [r.y for r in rows]
-    if not y or min(y) == max(y):
-        return float(np.mean(y)) if y else 0.0
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.substring("text", 1, SAMPLE_CHARS).alias("text")).where(F.regexp_like("text", F.lit("[0-9A-Za-z\\x{80}-\\x{10FFFF}]")))
+    # At most 2 * SAMPLE ids: their size has a bound, so they may be broadcast and their texts meet in one task.
+    first = F.md5(F.col("doc_id").cast("string"))
+    ids = known.where("y = 1").orderBy(first).limit(SAMPLE).unionByName(known.where("y = 0").orderBy(first).limit(SAMPLE))
+    rows = texts.join(F.broadcast(ids), "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("text"))
     share = known.agg(F.avg("y")).first()[0]
-    return spark.sparkContext.broadcast(train([r.text for r in rows], y, share=share))
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = sorted((r["doc_id"], r["y"], r["text"]) for b in batches for r in b.to_pylist())
+        y = [r[1] for r in held]
+        if not y:
+            return
+        blob = io.BytesIO()
+        if min(y) == max(y):
+            np.savez(blob, constant=np.float64(np.mean(y)))
+        else:
+            np.savez(blob, **train((r[2] for r in held), y, share=share))
+        yield pa.RecordBatch.from_arrays([pa.array([blob.getvalue()], pa.binary())], names=["weights"])
+
+    # Of fixed size, whatever the corpus.
+    trained = rows.repartition(1).mapInArrow(learn, "weights binary").collect()
+    if not trained:
+        return 0.0
+    with np.load(io.BytesIO(trained[0].weights)) as f:
+        p = dict(f)
+    return float(p["constant"]) if "constant" in p else spark.sparkContext.broadcast(p)
 
 
 def scores_of(model, texts: list[str | None]) -> np.ndarray:

@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 
 from lumiflux.llm import toxicity as tx
@@ -35,14 +36,75 @@ def test_gradients_match_finite_differences(monkeypatch):
             assert g[i] == pytest.approx((up - down) / 2e-5, rel=1e-3, abs=1e-6)
 
 
-def test_training_gradient(monkeypatch):
-    """The first step of plain gradient descent lowers the loss: every part of the backward pass counts."""
+def test_every_gradient_matches_finite_differences(monkeypatch):
+    monkeypatch.setattr(np, "float32", np.float64)
+    rng = np.random.default_rng(1)
+    p = {k: v.astype(np.float64) for k, v in tx.fresh().items()}
+    d = tx.DIM_W + tx.DIM_C
+    x, real = rng.standard_normal((6, 5, d)), np.ones((5, 6), bool)
+    real[1, 4:] = False
+    of, goal = np.array([0, 0, 1, 2, 2]), np.array([0.9, 0.1, 0.98])
+
+    def loss():
+        z = tx.forward(p, x, real)[0]
+        total = 0.0
+        for i, t in enumerate(goal):
+            zi = z[of == i]
+            q = np.exp(2 * (zi - zi.max()))
+            s = float(q @ zi / q.sum())
+            total += np.log1p(np.exp(-abs(s))) + max(s, 0) - t * s
+        return total / len(goal)
+
+    z, held = tx.forward(p, x, real, True)
+    g, d_x = tx.backward(p, x, tx.pooled_loss(z, of, goal), held)
+    assert set(g) == set(p) - {"Ew", "Ec"}
+    for a, da in [*((p[k], g[k]) for k in g), (x, d_x)]:
+        for _ in range(5):
+            i = tuple(rng.integers(n) for n in a.shape)
+            old = a[i]
+            a[i] = old + 1e-5
+            up = loss()
+            a[i] = old - 1e-5
+            down = loss()
+            a[i] = old
+            assert da[i] == pytest.approx((up - down) / 2e-5, rel=1e-3, abs=1e-7)
+
+
+def test_rows_are_summed_by_key():
+    rng = np.random.default_rng(2)
+    rows, keys = rng.standard_normal((50, 3)).astype(np.float32), rng.integers(0, 9, 50)
+    want = np.zeros((12, 3), np.float32)
+    np.add.at(want, keys, rows)
+    assert np.allclose(tx.summed(rows, keys, 12), want, atol=1e-5)
+
+
+def test_training_learns():
     texts, labels = ["alpha beta gamma " * 12, "delta idiot epsilon " * 12] * 8, [0, 1] * 8
-    p = tx.train(texts, labels, steps=40)
+    p = tx.train(texts, labels, steps=60)
     s = tx.Scorer(p).scores(texts[:2])
     assert s[0] < 0.2 < 0.8 < s[1]
 
 
+def test_scores_come_through_the_recurrence():
+    """On rows that may be learned from: a network without its recurrent states finds nothing, one that may not read its
+    inputs neither, and the order of words counts."""
+    sf = "/root/testdata/sf0.01"
+    text = {r["doc_id"]: r["text"] or "" for r in pq.read_table(f"{sf}/documents.parquet", columns=["doc_id", "text"]).to_pylist()}
+    toxic = {r["doc_id"]: r["toxic"] for r in pq.read_table(f"{sf}/labels.parquet").to_pylist() if r["toxic"] is not None and zlib.crc32(str(r["doc_id"]).encode()) % 5}
+    ids = sorted(i for i in toxic if i in text)
+    y = np.array([toxic[i] for i in ids])
+    texts = [text[i] for i in ids]
+    p = tx.train([t[: tx.SAMPLE_CHARS] for t in texts], y.tolist(), share=y.mean())
+    found = lambda q: int(((tx.Scorer(q).scores(texts) >= 0.5) & (y == 1)).sum())
+    whole = found(p)
+    assert whole >= 0.6 * y.sum()
+    still = {k: np.zeros_like(v) if k in ("Uf", "Ub", "Wf", "Wb", "cf", "cb") else v for k, v in p.items()}
+    deaf = {k: np.zeros_like(v) if k in ("Wf", "Wb") else v for k, v in p.items()}
+    assert found(still) == found(deaf) == 0
+    turned = [" ".join(reversed(t.split())) for t in texts]
+    assert not np.array_equal(tx.Scorer(p).scores(texts), tx.Scorer(p).scores(turned))
+
+
 def test_fast_scores_equal_plain_forward():
     texts = ["good words here " * 30, "bad slur idiot", "x"] * 4
     p = tx.train(texts, [0, 1, 0] * 4, steps=5)
