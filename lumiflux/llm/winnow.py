@@ -1,9 +1,9 @@
 """Document fingerprints by winnowing, with DataFrame functions only.
 
-The rolling hash is a cyclic polynomial: a code point c counts t(c) = XXH64(c), and a run of k of them the exclusive or of
-their t, each rotated by the number of code points after it. Runs of 2n follow from those of n by one rotation,
-h(2n, i) = rotate(h(n, i), n) xor h(n, i + n), so all runs of K are found in a few passes over the array of code points;
-no run is cut out of the text. Of each WINDOW hashes in a row the smallest (as a signed number) is chosen, the rightmost
+The rolling hash: a code point c counts t(c) = XXH64(c), and a run of k of them the exclusive or of their t, each shifted
+left by the number of code points after it (in 64 bits; the next run is this one shifted by one, without what leaves and
+with what comes). Runs of 2n follow from those of n by one shift, h(2n, i) = (h(n, i) << n) xor h(n, i + n), so all runs
+of K are found in a few passes over the array of code points; no run is cut out of the text. Of each WINDOW hashes in a row the smallest (as a signed number) is chosen, the rightmost
 one of equals, and kept with its position. Two texts that share WINDOW + K - 1 code points in a row share a fingerprint,
 and each window has one. A text of fewer than K code points, but not none, has one hash, of all of it.
 
@@ -42,46 +42,32 @@ def bound(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def _joined(n: int, m: int):
-    """Hashes of runs of n to those of n + m, m <= n: beyond the end there is nothing, and null."""
-    return lambda a: F.transform(a, lambda x, i: F.shiftleft(x, m).bitwiseOR(F.shiftrightunsigned(x, 64 - m)).bitwiseXOR(F.get(a, i + n)))
+def _append(a: Column, n: int, b: Column, m: int) -> Column:
+    """Hashes of runs of n, each followed by a run of m; null beyond the end."""
+    return F.transform(a, lambda x, i: F.shiftleft(x, m).bitwiseXOR(F.get(b, i + n)))
 
 
 def _rolled(t: Column, k: int) -> Column:
     """Hashes of the runs of k, at every place; those that reach beyond the end are null."""
-    if k == 1:
-        return t
-    # Runs of k from those of the largest power of two below k and of the rest, both from one table of powers.
-    powers = {1: t}
-
-    def upto(n: int, tables: dict, then):
-        if 2 * n > k:
-            return then(tables)
-        return bound(_joined(n, n)(tables[n]), lambda a: upto(2 * n, tables | {2 * n: a}, then))
-
-    def combine(tables: dict) -> Column:
-        n = max(tables)
-        got, rest = tables[n], k - n
+
+    def double(n: int, known: dict[int, Column]) -> Column:
+        if 2 * n <= k:
+            return bound(_append(known[n], n, known[n], n), lambda a: double(2 * n, known | {2 * n: a}))
+        got, rest = known[n], k - n
         while rest:
-            m = max(p for p in tables if p <= rest)
-            got, n, rest = _append(got, n, tables[m], m), n + m, rest - m
+            m = max(p for p in known if p <= rest)
+            got, n, rest = _append(got, n, known[m], m), n + m, rest - m
         return got
 
-    return bound(t, lambda a: upto(1, powers | {1: a}, combine))
-
-
-def _append(a: Column, n: int, b: Column, m: int) -> Column:
-    """Runs of n followed by runs of m."""
-    return F.transform(a, lambda x, i: F.shiftleft(x, m).bitwiseOR(F.shiftrightunsigned(x, 64 - m)).bitwiseXOR(F.get(b, i + n)))
+    return bound(t, lambda a: double(1, {1: a}))
 
 
 def hashes(text: Column, k: int = K) -> Column:
     """The hash at every place of a text where a run of k code points begins; one, of all of it, for a shorter text."""
     n = F.length(text)
-    # t of every code point; a text of fewer than k is rolled over as many.
     t = F.transform(F.split(text, ""), lambda c: F.xxhash64(c))
     whole = F.slice(_rolled(t, k), F.lit(1), F.greatest(F.lit(0), n - (k - 1)))
-    short = F.array(F.aggregate(t, F.lit(0).cast("long"), lambda h, x: F.shiftleft(h, 1).bitwiseOR(F.shiftrightunsigned(h, 63)).bitwiseXOR(x)))
+    short = F.array(F.aggregate(t, F.lit(0).cast("long"), lambda h, x: F.shiftleft(h, 1).bitwiseXOR(x)))
     return F.when(n >= k, whole).when(n > 0, short).otherwise(F.array().cast("array<long>"))
 
 
@@ -101,8 +87,7 @@ def window_minima(h: Column, window: int = WINDOW) -> Column:
 def events(h: Column, minima: Column, window: int = WINDOW) -> Column:
     """Windows, from 0, that choose another place than the one before them: the smallest hash is a new one, or it came in
     at the right end and is the rightmost of equals."""
-    wide = F.least(F.lit(window), F.size(h))
-    return F.array_compact(F.transform(minima, lambda x, s: F.when((x == F.get(h, s + wide - 1)) | ~x.eqNullSafe(F.get(minima, s - 1)), s)))
+    return F.array_compact(F.transform(minima, lambda x, s: F.when((x == F.get(h, s + (window - 1))) | ~x.eqNullSafe(F.get(minima, s - 1)), s)))
 
 
 def places(h: Column, minima: Column, at: Column, window: int = WINDOW) -> Column:
@@ -181,32 +166,41 @@ def order() -> W:
 
 
 def report(docs: DataFrame) -> DataFrame:
-    """The contract's columns and the number of chosen hashes. The edited text keeps the first half of its windows'
-    choices, so only windows that reach into its second half are hashed anew; likeness to the next document takes that
-    document's own hashes from its row."""
-    text, n = F.col("text"), F.length("text")
+    """The contract's columns and the number of chosen hashes. The edited text is a first part of this document and a
+    first part of the next one, so its choices are this one's for the windows within the one part, the next one's for
+    those within the other, and only the windows across the seam are hashed anew."""
+    text, n, span = F.col("text"), F.length("text"), K + WINDOW - 1
     half = F.floor(n / 2).cast("int")
-    rows = following(docs).withColumn("edited", F.concat(F.substring(text, F.lit(1), n - half), F.substring(F.col("next_text"), F.lit(1), half)))
-    rows = rows.withColumn("__own", chosen(hashes(text)))
-    # Windows that end before the edit: their choices stay.
-    kept = F.when((F.length("edited") >= K + WINDOW) & (n >= K + WINDOW), F.greatest(F.lit(0), n - half - (K + WINDOW - 2))).otherwise(0)
-    rows = rows.withColumn("__kept", kept)
-    rows = rows.withColumn("__tail", chosen(hashes(F.substring(F.col("edited"), F.col("__kept") + 1, F.length("edited")))))
-    # The tail's places begin after the kept windows; its first choice may be the last of theirs.
-    stay = F.size(F.filter("__own.at", lambda s: s < F.col("__kept")))
-    rows = rows.withColumn("__stay", stay)
-    again = (F.col("__stay") > 0) & (F.get("__own.pos", F.col("__stay") - 1) == F.get("__tail.pos", F.lit(0)) + F.col("__kept"))
-    rows = rows.withColumn("__from", F.when(again, 2).otherwise(1))
-
-    def rest(field: str) -> Column:
-        return F.slice(f"__tail.{field}", F.col("__from"), F.greatest(F.lit(0), F.size(f"__tail.{field}") - F.col("__from") + 1))
-
-    pos = F.concat(F.slice("__own.pos", F.lit(1), F.col("__stay")), F.transform(rest("pos"), lambda p: p + F.col("__kept")))
-    rows = rows.withColumns({"__ep": pos, "__eh": F.concat(F.slice("__own.hash", F.lit(1), F.col("__stay")), rest("hash"))})
+    # As a generator's output it is computed once: as a plain column the optimizer would do so for each of its fields.
+    rows = following(docs).withColumn("__own", F.explode(F.array(chosen(hashes(text)))))
+    rows = rows.withColumn("__next", F.lead("__own").over(order())).where("__guest = 0")
+    rows = rows.withColumns({"__p1": n - half, "__p2": F.least(half, F.length("next_text"))})
+    p1, p2 = F.col("__p1"), F.col("__p2")
+    rows = rows.withColumn("edited", F.concat(F.substring(text, F.lit(1), p1), F.substring(F.col("next_text"), F.lit(1), p2)))
+    before = F.greatest(F.lit(0), p1 - (span - 1))
+    seam = F.substring(F.col("edited"), before + 1, F.least(p1, F.lit(span - 1)) + F.least(p2, F.lit(span - 1)))
+    # Of fewer code points than a window and its runs there is no window across, unless that is all of the text.
+    rows = rows.withColumns({"__before": before, "__seam": F.when((F.length(seam) >= span) | (p1 + p2 < span), seam).otherwise("")})
+    rows = rows.withColumn("__across", F.explode(F.array(chosen(hashes(F.col("__seam"))))))
+    # Bound first: inside a lambda the length of a text would be counted for every element.
+    within = lambda c, windows: bound(windows, lambda m: F.size(F.filter(f"{c}.at", lambda s: s < m)))
+    moved = lambda pos, by: bound(by, lambda m: F.transform(pos, lambda p: p + m))
+    rows = rows.withColumns({"__a": within("__own", F.col("__before")), "__c": within("__next", p2 - (span - 1))})
+    first = lambda c, field, k: F.slice(f"{c}.{field}", F.lit(1), F.col(k))
+    rows = _continued(rows, first("__own", "pos", "__a"), first("__own", "hash", "__a"), moved(F.col("__across.pos"), F.col("__before")), F.col("__across.hash"))
+    rows = _continued(rows, F.col("__ep"), F.col("__eh"), moved(first("__next", "pos", "__c"), p1), first("__next", "hash", "__c"))
     rows = rows.withColumn("__set", F.array_distinct("__own.hash"))
-    rows = rows.withColumn("__next", F.lead("__set").over(order())).where("__guest = 0")
     own = F.col("__set")
-    return rows.select("doc_id", n.cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), digest(F.col("__own.pos"), F.col("__own.hash")).alias("fingerprint"), digest(F.col("__ep"), F.col("__eh")).alias("edited_fingerprint"), likeness(own, F.array_distinct("__eh")).alias("near_edited"), likeness(own, F.col("__next")).alias("near_next"), F.size("__own.pos").cast("long").alias("n_chosen"))
+    return rows.select("doc_id", n.cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), digest(F.col("__own.pos"), F.col("__own.hash")).alias("fingerprint"), digest(F.col("__ep"), F.col("__eh")).alias("edited_fingerprint"), likeness(own, F.array_distinct("__eh")).alias("near_edited"), likeness(own, F.array_distinct("__next.hash")).alias("near_next"), F.size("__own.pos").cast("long").alias("n_chosen"))
+
+
+def _continued(rows: DataFrame, pos: Column, hashed: Column, more: Column, more_hashed: Column) -> DataFrame:
+    """__ep and __eh: choices of some windows and of those that follow them, whose first may be the last of the others."""
+    rows = rows.withColumns({"__p": pos, "__h": hashed, "__mp": more, "__mh": more_hashed})
+    same = (F.size("__p") > 0) & (F.get("__p", F.size("__p") - 1) == F.get("__mp", F.lit(0)))
+    at = F.when(same, 2).otherwise(1)
+    rest = lambda c: F.slice(c, at, F.greatest(F.lit(0), F.size(c) - at + 1))
+    return rows.withColumns({"__ep": F.concat("__p", rest("__mp")), "__eh": F.concat("__h", rest("__mh"))}).drop("__p", "__h", "__mp", "__mh")
 
 
 def digest(pos: Column, hashed: Column) -> Column:

@@ -20,10 +20,9 @@ def xx(text):
 
 def rolling(text):
     """The hash rolled on by one code point at a time."""
-    rot = lambda x, k: (x << k % 64 | x >> (64 - k % 64) % 64) & FULL if k % 64 else x
     h, out, k = 0, [], min(winnow.K, len(text))
     for i, c in enumerate(text):
-        h = rot(h, 1) ^ xx(c) ^ (rot(xx(text[i - k]), k) if i >= k else 0)
+        h = (h << 1 ^ xx(c) ^ (xx(text[i - k]) << k if i >= k else 0)) & FULL
         if i >= k - 1:
             out.append(signed(h))
     return out
