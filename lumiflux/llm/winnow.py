@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from lumiflux.llm.common import with_text
 
-#: WINDOW is a power of 4.
+#: WINDOW is a power of 2.
 K, WINDOW = 12, 16
 #: Documents to a range, about; few, so that long ones spread over the tasks.
 RANGE_ROWS = 512
@@ -44,7 +44,12 @@ def bound(value: Column, body) -> Column:
 
 def _append(a: Column, n: int, b: Column, m: int) -> Column:
     """Hashes of runs of n, each followed by a run of m; null beyond the end."""
-    return F.transform(a, lambda x, i: F.shiftleft(x, m).bitwiseXOR(F.get(b, i + n)))
+    return F.zip_with(a, _from(b, n), lambda x, y: F.shiftleft(x, m).bitwiseXOR(y))
+
+
+def _from(a: Column, n: int) -> Column:
+    """The elements from place n on: arrays are paired, as an index into one costs more for each element."""
+    return F.slice(a, F.lit(n + 1), F.size(a))
 
 
 def _rolled(t: Column, k: int) -> Column:
@@ -71,16 +76,16 @@ def hashes(text: Column, k: int = K) -> Column:
     return F.when(n >= k, whole).when(n > 0, short).otherwise(F.array().cast("array<long>"))
 
 
-def _fourfold(n: int):
-    return lambda a: F.transform(a, lambda x, i: F.least(x, F.get(a, i + n), F.get(a, i + 2 * n), F.get(a, i + 3 * n)))
+def _twofold(n: int):
+    return lambda a: F.zip_with(a, _from(a, n), lambda x, y: F.least(x, y))
 
 
 def window_minima(h: Column, window: int = WINDOW) -> Column:
     """The smallest hash of every window, in order; of fewer hashes than a window, the smallest of all."""
     key, span = h, 1
-    while span < window:  # minima over spans that grow fourfold; beyond the end there is nothing to compare
-        key = bound(key, _fourfold(span))
-        span *= 4
+    while span < window:  # minima over spans that double; beyond the end there is nothing to compare
+        key = bound(key, _twofold(span))
+        span *= 2
     return bound(key, lambda a: F.slice(a, F.lit(1), F.greatest(F.size(a) - (window - 1), F.lit(1))))
 
 
