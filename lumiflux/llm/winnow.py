@@ -77,7 +77,7 @@ def hashes(text: Column, k: int = K) -> Column:
 
 
 def _twofold(n: int):
-    return lambda a: F.zip_with(a, _from(a, n), lambda x, y: F.least(x, y))
+    return lambda a: F.zip_with(a, _from(a, n), lambda x, y: F.when(y < x, y).otherwise(x))
 
 
 def window_minima(h: Column, window: int = WINDOW) -> Column:
