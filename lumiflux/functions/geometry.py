@@ -52,6 +52,8 @@ def residuals(m: np.ndarray, src: np.ndarray, dst: np.ndarray) -> dict[str, floa
 def warp_table(inverse: np.ndarray, out_shape: tuple[int, int], in_shape: tuple[int, int], order: int = 1) -> list[tuple[int, int, int, int, float]]:
     """(yo, xo, y, x, weight) for each output pixel whose sources all lie in the input; inverse maps output to input.
     Order 0 takes the nearest pixel, halves away from zero; order 1 the corners at floor and ceiling."""
+    if order not in (0, 1):
+        raise ValueError(f"interpolation order {order} is not supported")
     yo, xo = (a.ravel() for a in np.mgrid[: out_shape[0], : out_shape[1]])
     x, y = apply(inverse, np.column_stack([xo, yo])).T
     inside = lambda yy, xx: (yy >= 0) & (yy < in_shape[0]) & (xx >= 0) & (xx < in_shape[1])

@@ -92,7 +92,11 @@ def assess(traces: DataFrame, signal: str = "calcium") -> DataFrame:
 
 def compare(traces: DataFrame, signals: Sequence[str]) -> DataFrame:
     """Summaries of several signals (column signal): one metrics pass for all, then each signal's criteria."""
-    table = metrics(traces, ("signal", "label"))
+    return compare_table(metrics(traces, ("signal", "label")), signals)
+
+
+def compare_table(table: DataFrame, signals: Sequence[str]) -> DataFrame:
+    """The same from a table of metrics, spectra included if it has them."""
     parts = [summary(issues(table.where(F.col("signal") == s), s), ("signal",)) for s in signals]
     out = parts[0]
     for p in parts[1:]:

@@ -38,11 +38,11 @@ def region_mean(pixels: DataFrame, mask: DataFrame, values: Sequence[str] = ("v"
 
 
 def sample(pixels: DataFrame, columns: Sequence[str], n: int = 10_000, seed: int = 0) -> DataFrame:
-    """At most n random rows with finite values; the same rows for the same seed and partitions."""
+    """At most n random rows with finite values, in the order of a seeded hash of the row: the same rows however dealt."""
     rows = pixels
     for c in columns:
         rows = rows.where(missing(c).isNotNull())
-    return rows.select(*columns).orderBy(F.rand(seed)).limit(n)
+    return rows.orderBy(F.xxhash64(F.lit(seed), *(F.col(c) for c in rows.columns)), *rows.columns).limit(n).select(*columns)
 
 
 def ordinals(atlas: DataFrame, labels: DataFrame) -> DataFrame:
@@ -72,7 +72,7 @@ def full_report(signals: dict[str, DataFrame], atlas: DataFrame, fs: float | Non
     if fs is not None:
         table = table.join(quality.spectra(rows, fs, ("signal", "label")), ["signal", "label"], "left")
     flags = {s: quality.issues(table.where(F.col("signal") == s), s) for s in signals}
-    out = {"metrics": table, "comparison": quality.compare(rows, list(signals))}
+    out = {"metrics": table, "comparison": quality.compare_table(table, list(signals))}
     for s, f in flags.items():
         out |= {f"{s}_issues": f.select("label", "issues"), f"{s}_common": quality.issue_counts(f), f"{s}_extremes": quality.extremes(f), f"{s}_snr_map": masks.paint(atlas, f, "snr")}
     return out

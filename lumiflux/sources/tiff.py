@@ -4,7 +4,7 @@
     spark.read.format("tiff").option("frames_per_partition", 256).load("/data/session.tiff")
 
 Classic and big TIFF, either byte order, 8 to 64 bit integers and 32 or 64 bit floats, strips that are stored plainly or
-deflated. The driver walks the directory of frames; each task reads only the frames of its range.
+deflated, with or without horizontal differences; tiles and other predictors are errors. The driver walks the directory of frames; each task reads only the frames of its range.
 """
 
 from __future__ import annotations
@@ -21,9 +21,10 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from lumiflux.sources.files import located
 
 # Tags and sizes of field types.
-WIDTH, HEIGHT, BITS, COMPRESSION, OFFSETS, SAMPLES, ROWS, COUNTS, FORMAT = 256, 257, 258, 259, 273, 277, 278, 279, 339
+WIDTH, HEIGHT, BITS, COMPRESSION, OFFSETS, SAMPLES, ROWS, COUNTS, PREDICTOR, TILES, FORMAT = 256, 257, 258, 259, 273, 277, 278, 279, 317, 324, 339
 SIZES = {1: ("B", 1), 2: ("s", 1), 3: ("H", 2), 4: ("I", 4), 6: ("b", 1), 8: ("h", 2), 9: ("i", 4), 11: ("f", 4), 12: ("d", 8), 16: ("Q", 8)}
 PLAIN, DEFLATED = 1, (8, 32946)
+NO_PREDICTOR, DIFFERENCES = 1, 2
 
 
 @dataclass
@@ -33,6 +34,7 @@ class Frame:
     dtype: str
     compression: int
     strips: list[tuple[int, int]]
+    predictor: int = NO_PREDICTOR
 
 
 @dataclass
@@ -74,9 +76,15 @@ def directory(f) -> list[Frame]:
             raise ValueError("only one sample a pixel is supported")
         if one(COMPRESSION, PLAIN) not in (PLAIN, *DEFLATED):
             raise ValueError(f"compression {one(COMPRESSION)} is not supported")
+        if TILES in tags:
+            raise ValueError("tiles are not supported")
         kind = {1: "u", 2: "i", 3: "f"}[one(FORMAT, 1)]
+        # The predictor says something of compressed data only.
+        predictor = NO_PREDICTOR if one(COMPRESSION, PLAIN) == PLAIN else one(PREDICTOR, NO_PREDICTOR)
+        if predictor not in (NO_PREDICTOR, DIFFERENCES) or (predictor == DIFFERENCES and kind == "f"):
+            raise ValueError(f"predictor {predictor} is not supported for format {kind}")
         counts = tags.get(COUNTS) or (size - one(OFFSETS),)
-        out.append(Frame(one(HEIGHT), one(WIDTH), f"{order}{kind}{one(BITS, 8) // 8}", one(COMPRESSION, PLAIN), list(zip(tags[OFFSETS], counts))))
+        out.append(Frame(one(HEIGHT), one(WIDTH), f"{order}{kind}{one(BITS, 8) // 8}", one(COMPRESSION, PLAIN), list(zip(tags[OFFSETS], counts)), predictor))
         at = struct.unpack(order + word, raw[n * n_entry :])[0]
     return out
 
@@ -84,7 +92,11 @@ def directory(f) -> list[Frame]:
 def pixels(f, frame: Frame) -> np.ndarray:
     parts = [f.read_at(n, at) for at, n in frame.strips]
     data = b"".join(map(zlib.decompress, parts) if frame.compression in DEFLATED else parts)
-    return np.frombuffer(data, frame.dtype, frame.height * frame.width).astype(np.float32)
+    image = np.frombuffer(data, frame.dtype, frame.height * frame.width)
+    if frame.predictor == DIFFERENCES:  # each row holds differences to the left, in the arithmetic of its type
+        native = image.astype(image.dtype.newbyteorder("="))
+        image = np.cumsum(native.reshape(frame.height, frame.width), axis=1, dtype=native.dtype).ravel()
+    return image.astype(np.float32)
 
 
 class TiffReader(DataSourceReader):

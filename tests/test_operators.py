@@ -220,6 +220,8 @@ def test_full_report(spark):
     tr = spark.createDataFrame([(l, t, float(v)) for l in (1, 2) for t, v in enumerate(5 + rng.standard_normal(80))], "label int, t long, v double")
     atlas = fr.grid(spark, 3, 3).withColumn("label", F.col("x"))
     out = views.full_report({"calcium": tr, "hbo": tr.withColumn("v", F.col("v") - 5)}, atlas, fs=10.0)
+    told = {r.signal: r.problematic_rois for r in out["comparison"].collect()}
+    assert told == {k: out[f"{k}_issues"].where("size(issues) > 0").count() for k in ("calcium", "hbo")}
     assert out["metrics"].count() == 4 and "high_freq_fraction" in out["metrics"].columns
     assert {r.signal for r in out["comparison"].collect()} == {"calcium", "hbo"}
     assert out["calcium_snr_map"].count() == 9 and out["hbo_issues"].count() == 2

@@ -111,3 +111,23 @@ def test_bad_settings():
         tables.Config("m", experiment="other")
     with pytest.raises(ValueError):
         tables.Config("m", order=("a", "b"))
+
+
+def test_tiff_horizontal_differences():
+    import zlib
+
+    from lumiflux.sources import tiff
+
+    class Bytes:
+        def __init__(self, data):
+            self.data = data
+
+        def read_at(self, n, at):
+            return self.data[at : at + n]
+
+    for order in "<>":
+        want = np.array([[0, 1, 4, 9, 16], [65535, 3, 2, 1, 0]], f"{order}u2")
+        steps = np.diff(want.astype("u2"), axis=1, prepend=np.zeros((2, 1), "u2")).astype(want.dtype)
+        data = zlib.compress(steps.tobytes())
+        frame = tiff.Frame(2, 5, f"{order}u2", 8, [(0, len(data))], tiff.DIFFERENCES)
+        assert tiff.pixels(Bytes(data), frame).tolist() == want.ravel().tolist()
