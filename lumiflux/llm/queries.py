@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lumiflux.llm import decontaminate, license, mixing, pii, secrets, simhash, substring, tokens, toxicity, winnow
+from lumiflux.llm import decontaminate, license, mixing, pii, secrets, simhash, substring, tokens, toxicity, urls, winnow
 from lumiflux.llm.common import table
 
 
@@ -51,7 +51,11 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-OPERATORS = (op1_substring_dedup, op2_toxicity, op3_token_files, op4_license_scan, op5_pii, op6_winnowing, op7_simhash_near_dedup, op8_secret_scan, op9_mix_sources, op10_decontaminate)
+def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.report(table(spark, sf_dir, "pages"))
+
+
+OPERATORS = (op1_substring_dedup, op2_toxicity, op3_token_files, op4_license_scan, op5_pii, op6_winnowing, op7_simhash_near_dedup, op8_secret_scan, op9_mix_sources, op10_decontaminate, op11_url_filter)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -59,4 +63,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_license_scan": license.SQL, "op9_mix_sources": mixing.SQL, "op10_decontaminate": decontaminate.SQL}
+    return {"op4_license_scan": license.SQL, "op9_mix_sources": mixing.SQL, "op10_decontaminate": decontaminate.SQL, "op11_url_filter": urls.SQL}
