@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lumiflux.llm import decontaminate, license, mixing, pii, search, secrets, simhash, substring, tokens, toxicity, urls, winnow
+from lumiflux.llm import decontaminate, divergence, license, mixing, pii, search, secrets, simhash, substring, tokens, toxicity, urls, winnow
 from lumiflux.llm.common import table
 
 
@@ -59,7 +59,11 @@ def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-OPERATORS = (op1_substring_dedup, op2_toxicity, op3_token_files, op4_license_scan, op5_pii, op6_winnowing, op7_simhash_near_dedup, op8_secret_scan, op9_mix_sources, op10_decontaminate, op11_url_filter, op12_ranked_search)
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+OPERATORS = (op1_substring_dedup, op2_toxicity, op3_token_files, op4_license_scan, op5_pii, op6_winnowing, op7_simhash_near_dedup, op8_secret_scan, op9_mix_sources, op10_decontaminate, op11_url_filter, op12_ranked_search, op13_source_divergence)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -67,4 +71,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_license_scan": license.SQL, "op9_mix_sources": mixing.SQL, "op10_decontaminate": decontaminate.SQL, "op11_url_filter": urls.SQL, "op12_ranked_search": search.SQL}
+    return {"op4_license_scan": license.SQL, "op9_mix_sources": mixing.SQL, "op10_decontaminate": decontaminate.SQL, "op11_url_filter": urls.SQL, "op12_ranked_search": search.SQL, "op13_source_divergence": divergence.SQL}
