@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
-from lumiflux.operators.frames import by_channel, grid, separate_channels, to_pixels
+from lumiflux.operators import masks
+from lumiflux.operators.frames import by_channel, grid, separate_channels, temporal, to_pixels
 
 SIDE = 8
 ORDER = ("green", "red", "blue")
@@ -53,9 +54,34 @@ def mask(spark: SparkSession) -> DataFrame:
     return grid(spark, SIDE, SIDE).where("x between 1 and 5")
 
 
-def traces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """events as traces: label is the user, t counts its events."""
-    from pyspark.sql import Window as W
+def mean_image(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return temporal(channel(spark, sf_dir, name), "mean")
+
+
+def regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An atlas drawn from the movie: the label of a pixel is the fifth of the mean blue image that it lies in, from 0."""
+    image = mean_image(spark, sf_dir, "blue")
+    cuts = image.agg(F.percentile("v", F.array(*map(F.lit, (0.2, 0.4, 0.6, 0.8)))).alias("cuts"))
+    label = F.size(F.filter("cuts", lambda c: F.col("v") > c))
+    return image.crossJoin(F.broadcast(cuts)).select("y", "x", label.cast("int").alias("label"))  # a single row
+
+
+def view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A mask drawn from the movie: the brighter six tenths of the mean green image."""
+    return masks.by_percentile(mean_image(spark, sf_dir, "green"), 40)
 
+
+def places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A point of the 8 x 8 view for each nation: the balances of its first and its last customer; g is its region."""
+    at = lambda f: (f("c_acctbal", "c_custkey") + 1000) / 11000 * SIDE
+    points = table(spark, sf_dir, "customer").groupBy(F.col("c_nationkey").alias("k")).agg(at(F.min_by).alias("x"), at(F.max_by).alias("y"))
+    nations = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("k"), F.col("n_regionkey").alias("g"))
+    return nations.join(points, "k")
+
+
+def traces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """events as traces: label is the user, t counts its events. Every fifth user is lowered by 60, which leaves little
+    signal; every seventh, from 3, drifts by 10 an event."""
     t = F.row_number().over(W.partitionBy("user_id").orderBy("event_id")) - 1
-    return table(spark, sf_dir, "events").select(F.col("user_id").alias("label"), t.cast("long").alias("t"), F.col("value").alias("v"))
+    rows = table(spark, sf_dir, "events").select(F.col("user_id").alias("label"), t.cast("long").alias("t"), F.col("value").alias("v"))
+    return rows.withColumn("v", F.col("v") - F.when(F.col("label") % 5 == 0, 60.0).otherwise(0.0) + F.when(F.col("label") % 7 == 3, 10.0 * F.col("t")).otherwise(0.0))

@@ -32,7 +32,15 @@ wide AS (SELECT t, y, x, max(CASE WHEN channel = 'green' THEN v END) AS green, m
 grid AS (SELECT (i // {S})::INT AS y, (i % {S})::INT AS x FROM range({S * S}) AS r(i)),
 atlas AS (SELECT y, x, (CASE WHEN y IN (0, {S - 1}) THEN 0 ELSE 1 + (x >= 4)::INT + 2 * (y >= 4)::INT END)::INT AS label FROM grid),
 mask AS (SELECT y, x FROM grid WHERE x BETWEEN 1 AND 5),
-tr AS (SELECT user_id AS label, (row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1)::BIGINT AS t, value AS v FROM events)
+tr AS (SELECT label, t, v - (CASE WHEN label % 5 = 0 THEN 60 ELSE 0 END)::DOUBLE + (CASE WHEN label % 7 = 3 THEN 10 * t ELSE 0 END)::DOUBLE AS v
+  FROM (SELECT user_id AS label, (row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1)::BIGINT AS t, value AS v FROM events)),
+blue_mean AS (SELECT y, x, avg(v) AS v FROM blue GROUP BY y, x),
+green_mean AS (SELECT y, x, avg(v) AS v FROM green GROUP BY y, x),
+fifth AS (SELECT quantile_cont(v, [0.2, 0.4, 0.6, 0.8]) AS q FROM blue_mean),
+regions AS (SELECT y, x, ((v > q[1])::INT + (v > q[2])::INT + (v > q[3])::INT + (v > q[4])::INT)::INT AS label FROM blue_mean, fifth),
+outlook AS (SELECT y, x FROM green_mean WHERE v > (SELECT quantile_cont(v, 0.4) FROM green_mean)),
+place AS (SELECT n_nationkey AS k, n_regionkey AS g, x, y FROM nation JOIN
+  (SELECT c_nationkey AS n_nationkey, (arg_min(c_acctbal, c_custkey) + 1000) / 11000 * 8 AS x, (arg_max(c_acctbal, c_custkey) + 1000) / 11000 * 8 AS y FROM customer GROUP BY 1) USING (n_nationkey))
 """
 
 
@@ -137,12 +145,12 @@ def resize_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r6(fr.resampled(fx.channel(spark, sf_dir, "green"), w, w), "v")
 
 
-@query(f"SELECT y, x, label FROM (SELECT (i // 4)::INT AS y, (i % 4)::INT AS x, (i // 4 * 2 + 1)::INT AS sy, (i % 4 * 2 + 1)::INT AS sx FROM range(16) AS r(i)) g JOIN (SELECT y AS sy, x AS sx, label FROM atlas) a USING (sy, sx)")
+@query(f"SELECT y, x, label FROM (SELECT (i // 4)::INT AS y, (i % 4)::INT AS x, (i // 4 * 2 + 1)::INT AS sy, (i % 4 * 2 + 1)::INT AS sx FROM range(16) AS r(i)) g JOIN (SELECT y AS sy, x AS sx, label FROM regions) a USING (sy, sx)")
 def resize_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nearest labels at half the size."""
     m = kernels.axis_weights(S, S // 2, 0, antialias=False)
     near = [(int(o), int(i), 1.0) for o, i in zip(*np.nonzero(m))]
-    small = fr.resampled(fx.atlas(spark).withColumnRenamed("label", "v"), near, near, ())
+    small = fr.resampled(fx.regions(spark, sf_dir).withColumnRenamed("label", "v"), near, near, ())
     return small.select("y", "x", F.col("v").cast("int").alias("label"))
 
 
@@ -262,14 +270,14 @@ def mask_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r6(masks.apply_mask(fx.channel(spark, sf_dir, "blue"), fx.mask(spark)).select("t", "y", "x", "v"), "v")
 
 
-@query("SELECT y, x FROM atlas WHERE label > 0")
+@query("SELECT y, x FROM regions WHERE label > 0")
 def footprint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return masks.footprint(fx.atlas(spark))
+    return masks.footprint(fx.regions(spark, sf_dir))
 
 
-@query("SELECT y, x, label FROM atlas SEMI JOIN mask USING (y, x)")
+@query("SELECT y, x, label FROM regions SEMI JOIN outlook USING (y, x)")
 def atlas_in_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return masks.restrict(fx.atlas(spark), fx.mask(spark))
+    return masks.restrict(fx.regions(spark, sf_dir), fx.view(spark, sf_dir))
 
 
 BRIGHT = "br AS (SELECT y, x FROM im WHERE v > (SELECT quantile_cont(v, 0.4) FROM im))"
@@ -310,33 +318,31 @@ def mask_intersection(spark: SparkSession, sf_dir: str) -> DataFrame:
     return masks.intersection(bright(spark, sf_dir), fx.mask(spark))
 
 
-@query("SELECT y, x FROM grid EXCEPT SELECT y, x FROM mask")
+@query("SELECT y, x FROM grid EXCEPT SELECT y, x FROM outlook")
 def mask_complement(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return masks.complement(fr.grid(spark, S, S), fx.mask(spark))
+    return masks.complement(fr.grid(spark, S, S), fx.view(spark, sf_dir))
 
 
-CORNERS = [(1, 0, 0.5, 0.7), (1, 1, 5.6, 1.2), (1, 2, 6.4, 6.3), (1, 3, 2.2, 4.1), (2, 0, 6.1, 0.2), (2, 1, 7.7, 0.4), (2, 2, 7.2, 3.3)]
-
-
-@query(f"WITH p AS (SELECT * FROM (VALUES {', '.join(map(str, CORNERS))}) AS v(id, k, x, y)), e AS (SELECT id, x AS x1, y AS y1, coalesce(lag(x) OVER w, last_value(x) OVER f) AS x0, coalesce(lag(y) OVER w, last_value(y) OVER f) AS y0 FROM p WINDOW w AS (PARTITION BY id ORDER BY k), f AS (PARTITION BY id ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) SELECT DISTINCT y, x FROM (SELECT g.y, g.x, id FROM grid g, e WHERE (y0 > g.y) <> (y1 > g.y) AND g.x < (x1 - x0) * (g.y - y0) / (y1 - y0) + x0 GROUP BY g.y, g.x, id HAVING count(*) % 2 = 1)")
+@query("WITH p AS (SELECT g AS id, k, x, y FROM place), e AS (SELECT id, x AS x1, y AS y1, coalesce(lag(x) OVER w, last_value(x) OVER f) AS x0, coalesce(lag(y) OVER w, last_value(y) OVER f) AS y0 FROM p WINDOW w AS (PARTITION BY id ORDER BY k), f AS (PARTITION BY id ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) SELECT DISTINCT y, x FROM (SELECT g.y, g.x, id FROM grid g, e WHERE (y0 > g.y) <> (y1 > g.y) AND g.x < (x1 - x0) * (g.y - y0) / (y1 - y0) + x0 GROUP BY g.y, g.x, id HAVING count(*) % 2 = 1)")
 def polygon_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
-    corners = spark.createDataFrame([(a, b, float(c), float(d)) for a, b, c, d in CORNERS], "polygon_id int, vertex int, x double, y double")
+    """One polygon a region, one corner a nation."""
+    corners = fx.places(spark, sf_dir).select(F.col("g").alias("polygon_id"), F.col("k").alias("vertex"), "x", "y")
     return masks.polygon(fr.grid(spark, S, S), corners)
 
 
-@query("SELECT label, count(*) AS n_pixels FROM atlas WHERE label > 0 GROUP BY label")
+@query("SELECT label, count(*) AS n_pixels FROM regions WHERE label > 0 GROUP BY label")
 def region_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return masks.region_sizes(fx.atlas(spark))
+    return masks.region_sizes(fx.regions(spark, sf_dir))
 
 
-@query("WITH a AS (SELECT y, x, CASE WHEN m.k THEN label ELSE 0 END AS label FROM atlas LEFT JOIN (SELECT y, x, true AS k FROM mask) m USING (y, x)) SELECT y, x, (CASE WHEN count(*) OVER (PARTITION BY label) < 7 THEN 0 ELSE label END)::INT AS label FROM a")
+@query("WITH a AS (SELECT y, x, CASE WHEN m.k THEN label ELSE 0 END AS label FROM regions LEFT JOIN (SELECT y, x, true AS k FROM outlook) m USING (y, x)) SELECT y, x, (CASE WHEN count(*) OVER (PARTITION BY label) < 8 THEN 0 ELSE label END)::INT AS label FROM a")
 def crop_atlas(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return masks.crop_to_view(fx.atlas(spark), fx.mask(spark), 7)
+    return masks.crop_to_view(fx.regions(spark, sf_dir), fx.view(spark, sf_dir), 8)
 
 
-@query("WITH a AS (SELECT y, x, CASE WHEN m.k THEN label ELSE 0 END AS label FROM atlas LEFT JOIN (SELECT y, x, true AS k FROM mask) m USING (y, x)) SELECT label::INT AS label FROM a WHERE label > 0 GROUP BY label HAVING count(*) >= 7")
+@query("WITH a AS (SELECT y, x, CASE WHEN m.k THEN label ELSE 0 END AS label FROM regions LEFT JOIN (SELECT y, x, true AS k FROM outlook) m USING (y, x)) SELECT label::INT AS label FROM a WHERE label > 0 GROUP BY label HAVING count(*) >= 8")
 def valid_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return masks.valid_labels(masks.crop_to_view(fx.atlas(spark), fx.mask(spark), 7))
+    return masks.valid_labels(masks.crop_to_view(fx.regions(spark, sf_dir), fx.view(spark, sf_dir), 8))
 
 
 @query("SELECT label, t, round(avg(v), 6) AS v FROM blue JOIN atlas USING (y, x) WHERE label > 0 GROUP BY label, t")
@@ -352,9 +358,9 @@ def roi_min_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
 SRC = "src AS (SELECT y AS yo, x AS xo, {a!r}::DOUBLE * x + {b!r}::DOUBLE * y + {c!r}::DOUBLE AS xs, {d!r}::DOUBLE * x + {e!r}::DOUBLE * y + {f!r}::DOUBLE AS ys FROM grid)".format(**dict(zip("abcdef", map(float, INVERSE[:2].ravel()))))
 
 
-@query(f"WITH {SRC}, n AS (SELECT yo, xo, (sign(ys) * floor(abs(ys) + 0.5))::INT AS y, (sign(xs) * floor(abs(xs) + 0.5))::INT AS x FROM src) SELECT n.yo AS y, n.xo AS x, coalesce(label, 0)::INT AS label FROM n LEFT JOIN atlas USING (y, x)")
+@query(f"WITH {SRC}, n AS (SELECT yo, xo, (sign(ys) * floor(abs(ys) + 0.5))::INT AS y, (sign(xs) * floor(abs(xs) + 0.5))::INT AS x FROM src) SELECT n.yo AS y, n.xo AS x, coalesce(label, 0)::INT AS label FROM n LEFT JOIN regions USING (y, x)")
 def warp_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return warp.warp_labels(fx.atlas(spark), INVERSE, (S, S), (S, S))
+    return warp.warp_labels(fx.regions(spark, sf_dir), INVERSE, (S, S), (S, S))
 
 
 @query(f"""WITH {SRC}, k AS (SELECT *, floor(ys)::INT AS y0, floor(xs)::INT AS x0, ceil(ys)::INT AS y1, ceil(xs)::INT AS x1 FROM src),
@@ -442,21 +448,24 @@ def view_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r6(views.region_mean(views.in_window(fx.channel(spark, sf_dir, "blue"), 5, 60), fx.mask(spark)), "v")
 
 
-@query("SELECT y, x, label, (CASE label WHEN 2 THEN 1 WHEN 4 THEN 2 ELSE 0 END)::INT AS ordinal FROM atlas")
+@query("SELECT y, x, label, (CASE label WHEN 2 THEN 1 WHEN 4 THEN 2 ELSE 0 END)::INT AS ordinal FROM regions")
 def region_ordinals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return views.ordinals(fx.atlas(spark), fx.atlas(spark).where("label in (2, 4)"))
+    atlas = fx.regions(spark, sf_dir)
+    return views.ordinals(atlas, atlas.where("label in (2, 4)"))
 
 
-@query("WITH s AS (SELECT 'calcium' AS signal, label, t, v FROM tr UNION ALL SELECT 'other', label, t, -v FROM tr WHERE t < 50), m AS (SELECT signal, label, stddev_pop(v) AS sd, abs(avg(v)) AS a, avg(v) AS mu, regr_r2(v, t::DOUBLE) AS r2, count(*) AS n FROM s GROUP BY signal, label), o AS (SELECT signal, label, avg((abs(v - mu) > 3 * sd)::INT::DOUBLE) AS f FROM s JOIN m USING (signal, label) GROUP BY signal, label), q AS (SELECT signal, CASE signal WHEN 'calcium' THEN coalesce(a / sd < 0.5, false) OR sd / a > 5 OR f > 0.1 OR r2 > 0.3 ELSE coalesce(a / sd < 0.3, false) OR sd / a > 8 OR f > 0.15 END AS bad FROM m JOIN o USING (signal, label) WHERE n >= 10) SELECT signal, count(*) AS total_rois, count(*) FILTER (WHERE NOT bad) AS good_rois, count(*) FILTER (WHERE bad) AS problematic_rois, round(count(*) FILTER (WHERE NOT bad) / count(*), 6) AS quality_fraction FROM q GROUP BY signal")
+@query("WITH s AS (SELECT 'calcium' AS signal, label, t, v FROM tr UNION ALL SELECT 'other', label, t, -v FROM tr), m AS (SELECT signal, label, stddev_pop(v) AS sd, abs(avg(v)) AS a, avg(v) AS mu, regr_r2(v, t::DOUBLE) AS r2, count(*) AS n FROM s GROUP BY signal, label), o AS (SELECT signal, label, avg((abs(v - mu) > 3 * sd)::INT::DOUBLE) AS f FROM s JOIN m USING (signal, label) GROUP BY signal, label), q AS (SELECT signal, CASE signal WHEN 'calcium' THEN coalesce(a / sd < 0.5, false) OR sd / a > 5 OR f > 0.1 OR r2 > 0.3 ELSE coalesce(a / sd < 0.3, false) OR sd / a > 8 OR f > 0.15 END AS bad FROM m JOIN o USING (signal, label) WHERE n >= 10) SELECT signal, count(*) AS total_rois, count(*) FILTER (WHERE NOT bad) AS good_rois, count(*) FILTER (WHERE bad) AS problematic_rois, round(count(*) FILTER (WHERE NOT bad) / count(*), 6) AS quality_fraction FROM q GROUP BY signal")
 def signal_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     tr = fx.traces(spark, sf_dir)
-    both = views.merge({"calcium": tr, "other": tr.where("t < 50").withColumn("v", -F.col("v"))})
+    both = views.merge({"calcium": tr, "other": tr.withColumn("v", -F.col("v"))})
     return r6(quality.compare(both, ("calcium", "other")), "quality_fraction")
 
 
-@query("SELECT DISTINCT label FROM atlas WHERE label > 0 AND label NOT IN (SELECT label FROM tr)")
+@query("SELECT DISTINCT c_custkey AS label FROM customer WHERE c_custkey NOT IN (SELECT label FROM tr)")
 def missing_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return views.missing_labels(fx.atlas(spark).where("label > 0"), fx.traces(spark, sf_dir))
+    """Customers as regions, events as traces: the customers without an event."""
+    named = fx.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("label"))
+    return views.missing_labels(named, fx.traces(spark, sf_dir))
 
 
 def sampled_points(spark: SparkSession, sf_dir: str) -> DataFrame:

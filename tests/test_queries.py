@@ -9,7 +9,7 @@ import pytest
 import __spark_entry__ as entry
 from lumiflux.plans import queries as core
 
-TABLES = "embeddings events"
+TABLES = "embeddings events customer nation supplier part orders lineitem"
 
 
 @pytest.fixture(scope="module")
