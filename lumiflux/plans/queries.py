@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from lumiflux.functions import geometry, kernels
 from lumiflux.operators import frames as fr, hemodynamics as hemo, images, masks, normalise, quality, views, warp
 from lumiflux.plans import fixtures as fx
+from lumiflux.sources import stacks, tiff
+from lumiflux.sources.files import scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -507,5 +509,35 @@ def landmark_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([(i, j, round(float(m[i, j]), 6) + 0.0, round(r["mean"], 6)) for i in range(3) for j in range(3)], "row int, col int, value double, mean_residual double")
 
 
+# --- files
+
+
+def _written(spark: SparkSession, sf_dir: str, kind: str, **options: str) -> DataFrame:
+    """The movie written as files by tasks, and read back."""
+    movie = fx.frames(spark, sf_dir).select("frame", F.lit(S).alias("h"), F.lit(S).alias("w"), "img")
+    path = scratch(spark, f"{kind}-movie")
+    stacks.write(movie, path, kind, **options)
+    return r6(fr.to_pixels(stacks.read(spark, path, kind, **({"pixel": "double"} if kind == "tiff" else {})).select("frame", "img"), S), "v")
+
+
+@query("SELECT frame, y, x, round(v, 6) AS v FROM px")
+def tiff_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _written(spark, sf_dir, "tiff", compress="true")
+
+
+@query("SELECT frame, y, x, round(v, 6) AS v FROM px")
+def mat_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _written(spark, sf_dir, "mat")
+
+
+@query("SELECT frame, y, x, trunc(v * 1000)::DOUBLE AS v FROM px")
+def tiff_integers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Written as 16 bit integers: fractions are cut off."""
+    movie = fx.frames(spark, sf_dir).select("frame", F.lit(S).alias("h"), F.lit(S).alias("w"), F.transform("img", lambda v: v * 1000.0).alias("img"))
+    path = scratch(spark, "tiff-integers")
+    stacks.write(movie, path, "tiff", dtype="int16")
+    return fr.to_pixels(tiff.read_stack(spark, path).select("frame", "img"), S)
+
+
 for _f in (sampled_points, downsample_nanmean, resize_antialiased, butter_bandpass, welch_bands, motion_shifts, vessel_mask, brain_mask, landmark_fit):
     query()(_f)

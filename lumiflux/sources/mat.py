@@ -8,7 +8,7 @@ import zlib
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 
-from lumiflux.sources.files import read_bytes, write_bytes
+from lumiflux.sources.files import located, read_bytes, write_bytes
 
 # Element types and array classes.
 TYPES = {1: "i1", 2: "u1", 3: "i2", 4: "u2", 5: "i4", 6: "u4", 7: "f4", 9: "f8", 12: "i8", 13: "u8", 16: "u1", 17: "u2"}
@@ -50,6 +50,35 @@ def decode(data: bytes) -> dict[str, np.ndarray]:
     return out
 
 
+def _name_and_shape(body: bytes, order: str) -> tuple[str, tuple[int, ...]]:
+    _, shape, name = (p for _, (_, p) in zip(range(3), _elements(body, order)))
+    return name.decode(), tuple(np.frombuffer(shape, order + "i4").tolist())
+
+
+def shape_of(path: str, key: str, head: int = 4096) -> tuple[int, ...]:
+    """The shape of one array. Where it is the first of its file, only the file's head is read and unpacked."""
+    fs, name = located(path)
+    with fs.open_input_file(name) as f:
+        data = f.read_at(128 + head, 0)
+        order = "<" if data[126:128] == b"IM" else ">"
+        kind, size = struct.unpack_from(order + "II", data, 128)
+        body = data[136:]
+        if kind == COMPRESSED:
+            body = zlib.decompressobj().decompress(body, head)
+            kind, body = struct.unpack_from(order + "I", body)[0], body[8:]
+        if kind == MATRIX:
+            found, shape = _name_and_shape(body, order)
+            if found == key:
+                return shape
+        data = f.read_at(f.size(), 0)
+    for kind, body in _elements(data[128:], order):
+        if kind == COMPRESSED:
+            kind, body = next(_elements(zlib.decompress(body), order))
+        if kind == MATRIX and _name_and_shape(body, order)[0] == key:
+            return _name_and_shape(body, order)[1]
+    raise KeyError(key)
+
+
 def _element(kind: int, data: bytes) -> bytes:
     return struct.pack("<II", kind, len(data)) + data + b"\0" * (-len(data) % 8)
 
