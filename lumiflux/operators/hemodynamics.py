@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from lumiflux.operators.frames import missing
-from lumiflux.operators.normalise import in_baseline
+from lumiflux.operators.normalise import in_baseline, with_map
 
 MIN_SAMPLES = 10
 INF = float("inf")
@@ -20,32 +20,28 @@ def _pairs(blue: str, green: str) -> tuple[Column, Column]:
 
 
 def regress(pixels: DataFrame, blue: str = "blue", green: str = "green", keys: Sequence[str] = ("y", "x"), fit_intercept: bool = True) -> DataFrame:
-    """pixels with alpha, beta, r2 of each pixel's least squares over its finite pairs, and corrected = blue - alpha green
-    - beta. Fewer than MIN_SAMPLES pairs, or a constant reference: nothing is corrected and all three are 0."""
-    b, g = _pairs(blue, green)
-    rows = pixels.withColumns({"__b": b, "__g": g})
-    w = W.partitionBy(*keys)
-    ok = (F.count("__b").over(w) >= MIN_SAMPLES) & (F.min("__g").over(w) < F.max("__g").over(w))
-    if fit_intercept:
-        alpha, beta = F.regr_slope("__b", "__g").over(w), F.regr_intercept("__b", "__g").over(w)
-        r2 = F.when(F.min("__b").over(w) < F.max("__b").over(w), F.regr_r2("__b", "__g").over(w)).otherwise(0.0)
-    else:
-        alpha, beta = F.try_divide(F.sum(F.col("__b") * F.col("__g")).over(w), F.sum(F.col("__g") * F.col("__g")).over(w)), F.lit(0.0)
-        total = F.var_pop("__b").over(w) * F.count("__b").over(w)
-        # Residuals without intercept: sum b^2 - alpha sum b g.
-        rest = F.sum(F.col("__b") * F.col("__b")).over(w) - alpha * F.sum(F.col("__b") * F.col("__g")).over(w)
-        r2 = F.when(total > 0, 1 - F.try_divide(rest, total)).otherwise(0.0)
-    fitted = rows.withColumns({"alpha": F.when(ok, alpha).otherwise(0.0), "beta": F.when(ok, beta).otherwise(0.0), "r2": F.when(ok, r2).otherwise(0.0)})
-    return fitted.withColumn("corrected", F.col(blue) - F.col("alpha") * F.col(green) - F.col("beta")).drop("__b", "__g")
+    """pixels with alpha, beta, r2 of fit_map() and corrected = blue - alpha green - beta. Rows of all trials that share
+    keys are fitted together."""
+    fitted = with_map(pixels, fit_map(pixels, blue, green, keys, fit_intercept), keys)
+    return fitted.withColumn("corrected", F.col(blue) - F.col("alpha") * F.col(green) - F.col("beta"))
 
 
-def fit_map(pixels: DataFrame, blue: str = "blue", green: str = "green", keys: Sequence[str] = ("y", "x")) -> DataFrame:
-    """The parameters alone, by one aggregate."""
+def fit_map(pixels: DataFrame, blue: str = "blue", green: str = "green", keys: Sequence[str] = ("y", "x"), fit_intercept: bool = True) -> DataFrame:
+    """alpha, beta, r2 of each pixel's least squares over its finite pairs, by one aggregate with partial sums. Fewer than
+    MIN_SAMPLES pairs, or a constant reference: nothing is corrected and all three are 0."""
     b, g = _pairs(blue, green)
     rows = pixels.select(*keys, b.alias("__b"), g.alias("__g"))
     ok = (F.count("__b") >= MIN_SAMPLES) & (F.min("__g") < F.max("__g"))
-    r2 = F.when(F.min("__b") < F.max("__b"), F.regr_r2("__b", "__g")).otherwise(0.0)
-    return rows.groupBy(*keys).agg(*(F.when(ok, c).otherwise(0.0).alias(n) for n, c in (("alpha", F.regr_slope("__b", "__g")), ("beta", F.regr_intercept("__b", "__g")), ("r2", r2))))
+    bg, gg, bb = (F.sum(F.col(x) * F.col(y)) for x, y in (("__b", "__g"), ("__g", "__g"), ("__b", "__b")))
+    if fit_intercept:
+        alpha, beta = F.regr_slope("__b", "__g"), F.regr_intercept("__b", "__g")
+        r2 = F.when(F.min("__b") < F.max("__b"), F.regr_r2("__b", "__g")).otherwise(0.0)
+    else:
+        alpha, beta = F.try_divide(bg, gg), F.lit(0.0)
+        total = F.var_pop("__b") * F.count("__b")
+        # Residuals without intercept: sum b^2 - alpha sum b g.
+        r2 = F.when(total > 0, 1 - F.try_divide(bb - alpha * bg, total)).otherwise(0.0)
+    return rows.groupBy(*keys).agg(*(F.when(ok, c).otherwise(0.0).alias(n) for n, c in (("alpha", alpha), ("beta", beta), ("r2", r2))))
 
 
 def regress_global(pixels: DataFrame, blue: str = "blue", green: str = "green") -> DataFrame:
@@ -78,8 +74,7 @@ def correct(pixels: DataFrame, method: str = "regression", fit_intercept: bool =
 
 def hbt_single(pixels: DataFrame, baseline=(0, 100), keys: Sequence[str] = ("y", "x")) -> DataFrame:
     """Total haemoglobin by one wavelength: -100 (v - b) / b; a baseline not above 0 counts as 1e-6."""
-    b = F.avg(F.when(in_baseline(baseline), F.col("v"))).over(W.partitionBy(*keys))
-    rows = pixels.withColumn("b", b)
+    rows = with_map(pixels, pixels.groupBy(*keys).agg(F.avg(F.when(in_baseline(baseline), F.col("v"))).alias("b")), keys)
     safe = F.when(F.col("b") <= 0, 1e-6).otherwise(F.col("b"))
     return rows.withColumn("hbt", -100 * (F.col("v") - safe) / safe).drop("b")
 
@@ -99,12 +94,9 @@ def unmixing(extinction: dict[str, tuple[float, float]], path_green: float = 0.0
 
 
 def hb_dual(pixels: DataFrame, inverse: tuple[float, float, float, float], baseline=(0, 100), keys: Sequence[str] = ("y", "x"), clip_ratio: bool = False) -> DataFrame:
-    """hbr, hbo, hbt in micromoles a litre from raw red and green; one window for both baselines, then projections."""
-    w = W.partitionBy(*keys)
-    rows = pixels
-    for c in ("green", "red"):
-        base = F.avg(F.when(in_baseline(baseline), F.col(c))).over(w)
-        rows = rows.withColumn(f"__{c}", base)
+    """hbr, hbo, hbt in micromoles a litre from raw red and green; one aggregate for both baselines, then projections."""
+    base = pixels.groupBy(*keys).agg(*(F.avg(F.when(in_baseline(baseline), F.col(c))).alias(f"__{c}") for c in ("green", "red")))
+    rows = with_map(pixels, base, keys)
     od = {}
     for c in ("green", "red"):
         ratio = F.try_divide(F.col(c), F.col(f"__{c}"))
@@ -118,8 +110,8 @@ def hb_dual(pixels: DataFrame, inverse: tuple[float, float, float, float], basel
 
 def clipped_share(pixels: DataFrame, baseline=(0, 100), keys: Sequence[str] = ("y", "x"), channel: str = "v", low: float = 0.1, high: float = 10.0) -> DataFrame:
     """How many ratios to the baseline clipping would change, and their percentage."""
-    ratio = F.try_divide(F.col(channel), F.avg(F.when(in_baseline(baseline), F.col(channel))).over(W.partitionBy(*keys)))
-    out = pixels.select(ratio.alias("r"))
+    base = pixels.groupBy(*keys).agg(F.avg(F.when(in_baseline(baseline), F.col(channel))).alias("__base"))
+    out = with_map(pixels, base, keys).select(F.try_divide(F.col(channel), F.col("__base")).alias("r"))
     n = F.count_if((F.col("r") < low) | (F.col("r") > high))
     return out.agg(n.alias("n_clipped"), F.when(F.count("*") > 0, 100.0 * n / F.count("*")).alias("pct_clipped"))
 

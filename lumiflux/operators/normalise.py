@@ -9,6 +9,12 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 METHODS = ("mean", "divide", "roll_mean")
 
 
+def with_map(pixels: DataFrame, image: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Each pixel with the row of a map. Keyed by y and x a map is one image, whose size does not grow with the movie, and
+    is broadcast; with more keys, as trials, it is left to Spark. The movie is never sorted for it."""
+    return pixels.join(F.broadcast(image) if set(keys) <= {"y", "x"} else image, list(keys))
+
+
 def in_baseline(baseline: tuple[int | None, int | None] | None, length: int | None = None, t: str = "t") -> Column:
     """Half-open frame range; None means all; negative bounds need the length."""
     if baseline is None:
@@ -45,8 +51,7 @@ def dff(pixels: DataFrame, baseline=None, method: str = "mean", roll_window: int
         w = W.partitionBy(*own).orderBy("t").rowsBetween(1 - roll_window, 0)
         rolled = patched(pixels.withColumn("f0", F.avg("v").over(w)), [*image, "t"])
         return rolled.withColumn("dff", (F.col("v") - F.col("f0")) / F.col("f0"))
-    # A map of one image: its size is bounded by the frame, not by the movie.
-    joined = pixels.join(baseline_f0(pixels, baseline, keys, image), own)
+    joined = with_map(pixels, baseline_f0(pixels, baseline, keys, image), own)
     change = F.col("v") if method == "divide" else F.col("v") - F.col("f0")
     return joined.withColumn("dff", change / F.col("f0"))
 
@@ -59,9 +64,8 @@ def detrend_quadratic(traces: DataFrame, length: int, keys: Sequence[str] = ("y"
     inverse = np.linalg.inv(np.vander(t, 3, increasing=True).T @ np.vander(t, 3, increasing=True))
     u = (F.lit(-1.0) + F.lit(2.0) * F.col("t") / F.lit(float(length - 1))) if length > 1 else F.lit(-1.0)
     rows = traces.withColumn("__u", u)
-    w = W.partitionBy(*keys)
-    sums = [F.sum(F.col("v")).over(w), F.sum(F.col("__u") * F.col("v")).over(w), F.sum(F.col("__u") * F.col("__u") * F.col("v")).over(w)]
-    rows = rows.select("*", *(s.alias(f"__s{i}") for i, s in enumerate(sums)))
-    beta = [sum((F.lit(float(inverse[i, j])) * F.col(f"__s{j}") for j in range(1, 3)), F.lit(float(inverse[i, 0])) * F.col("__s0")) for i in range(3)]
-    fit = beta[0] + beta[1] * F.col("__u") + beta[2] * F.col("__u") * F.col("__u")
-    return rows.withColumn("detrended", F.col("v") - fit).drop("__u", "__s0", "__s1", "__s2")
+    sums = [F.sum("v"), F.sum(F.col("__u") * F.col("v")), F.sum(F.col("__u") * F.col("__u") * F.col("v"))]
+    beta = [sum((F.lit(float(inverse[i, j])) * sums[j] for j in range(1, 3)), F.lit(float(inverse[i, 0])) * sums[0]) for i in range(3)]
+    fitted = with_map(rows, rows.groupBy(*keys).agg(*(b.alias(f"__b{i}") for i, b in enumerate(beta))), keys)
+    fit = F.col("__b0") + F.col("__b1") * F.col("__u") + F.col("__b2") * F.col("__u") * F.col("__u")
+    return fitted.withColumn("detrended", F.col("v") - fit).drop("__u", "__b0", "__b1", "__b2")
