@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
-from lumiflux.operators import masks
+from lumiflux.operators import masks, trials
 from lumiflux.operators.frames import by_channel, grid, separate_channels, temporal, to_pixels
 
 SIDE = 8
@@ -30,6 +30,12 @@ def channels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return separate_channels(to_pixels(frames(spark, sf_dir), SIDE), n_frames(spark, sf_dir), ORDER).select("channel", "t", "y", "x", "v")
 
 
+def trial_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """trial, channel, t, y, x, v: even and odd vectors as two trials."""
+    rows = frames(spark, sf_dir).select((F.col("frame") % 2).cast("int").alias("trial"), F.floor(F.col("frame") / 2).cast("long").alias("frame"), "img")
+    return to_pixels(trials.separate(rows, ORDER), SIDE).select("trial", "channel", "t", "y", "x", "v")
+
+
 def channel(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One channel. The filter on the frame number reaches the scan."""
     k, whole = ORDER.index(name), 3 * (n_frames(spark, sf_dir) // 3)

@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lumiflux.functions import geometry, kernels
-from lumiflux.operators import frames as fr, hemodynamics as hemo, images, masks, normalise, quality, views, warp
+from lumiflux.operators import frames as fr, hemodynamics as hemo, images, masks, normalise, quality, trials, views, warp
 from lumiflux.plans import fixtures as fx
 from lumiflux.sources import stacks, tiff
 from lumiflux.sources.files import scratch
@@ -34,6 +34,9 @@ wide AS (SELECT t, y, x, max(CASE WHEN channel = 'green' THEN v END) AS green, m
 grid AS (SELECT (i // {S})::INT AS y, (i % {S})::INT AS x FROM range({S * S}) AS r(i)),
 atlas AS (SELECT y, x, (CASE WHEN y IN (0, {S - 1}) THEN 0 ELSE 1 + (x >= 4)::INT + 2 * (y >= 4)::INT END)::INT AS label FROM grid),
 mask AS (SELECT y, x FROM grid WHERE x BETWEEN 1 AND 5),
+tpx AS (SELECT (frame % 2)::INT AS trial, (frame // 2)::BIGINT AS frame, y, x, v FROM px),
+tch AS (SELECT trial, CASE frame % 3 WHEN 0 THEN 'green' WHEN 1 THEN 'red' ELSE 'blue' END AS channel, (frame // 3)::BIGINT AS t, y, x, v
+  FROM tpx JOIN (SELECT trial, 3 * ((max(frame) + 1) // 3) AS whole FROM tpx GROUP BY trial) USING (trial) WHERE frame < whole),
 tr AS (SELECT label, t, v - (CASE WHEN label % 5 = 0 THEN 60 ELSE 0 END)::DOUBLE + (CASE WHEN label % 7 = 3 THEN 10 * t ELSE 0 END)::DOUBLE AS v
   FROM (SELECT user_id AS label, (row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1)::BIGINT AS t, value AS v FROM events)),
 blue_mean AS (SELECT y, x, avg(v) AS v FROM blue GROUP BY y, x),
@@ -509,6 +512,61 @@ def landmark_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([(i, j, round(float(m[i, j]), 6) + 0.0, round(r["mean"], 6)) for i in range(3) for j in range(3)], "row int, col int, value double, mean_residual double")
 
 
+# --- trials
+
+TF0 = f"""tf AS (SELECT trial, channel, y, x, avg(CASE WHEN t >= {BASE[0]} AND t < {BASE[1]} THEN v END) AS f0 FROM tch GROUP BY ALL),
+tdd AS (SELECT trial, t, y, x, max(CASE WHEN channel = 'blue' THEN v / f0 END) AS blue, max(CASE WHEN channel = 'green' THEN v / f0 END) AS green FROM tch JOIN tf USING (trial, channel, y, x) WHERE channel <> 'red' GROUP BY trial, t, y, x)"""
+
+
+@query("SELECT trial, channel, t, y, x, round(v, 6) AS v FROM tch")
+def trial_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole cycles counted trial by trial."""
+    return r6(fx.trial_channels(spark, sf_dir), "v")
+
+
+@query("SELECT channel, y, x, round(median(v), 6) AS v FROM tch WHERE trial = 0 GROUP BY channel, y, x")
+def trial_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The image that all trials are aligned to."""
+    return r6(fr.temporal(trials.first_trial(fx.trial_channels(spark, sf_dir)), "median", ("channel", "y", "x")), "v")
+
+
+@query(f"WITH {TF0} SELECT trial, channel, t, y, x, round(f0, 6) AS f0, round((v - f0) / f0, 6) AS dff FROM tch JOIN tf USING (trial, channel, y, x)")
+def trial_dff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A baseline for each trial."""
+    rows = normalise.dff(fx.trial_channels(spark, sf_dir), BASE, "mean", image=("trial", "channel"))
+    return r6(rows.select("trial", "channel", "t", "y", "x", "f0", "dff"), "f0", "dff")
+
+
+def trial_change(spark: SparkSession, sf_dir: str) -> DataFrame:
+    change = normalise.dff(fx.trial_channels(spark, sf_dir).where("channel <> 'red'"), BASE, "divide", image=("trial", "channel"))
+    return fr.by_channel(change.select("trial", "channel", "t", "y", "x", F.col("dff").alias("v")), ("blue", "green"), ("trial", "t", "y", "x"))
+
+
+@query(f"WITH {TF0}, fit AS (SELECT y, x, regr_slope(blue, green) AS a, regr_intercept(blue, green) AS b FROM tdd GROUP BY y, x) SELECT trial, t, y, x, round(a, 6) AS alpha, round(blue - a * green - b, 6) AS v FROM tdd JOIN fit USING (y, x)")
+def trial_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One fit of a pixel over all trials."""
+    fixed = hemo.correct(trial_change(spark, sf_dir))
+    return r6(fixed.select("trial", "t", "y", "x", "alpha", F.col("corrected").alias("v")), "alpha", "v")
+
+
+@query(f"WITH {TF0}, fit AS (SELECT y, x, regr_slope(blue, green) AS a, regr_intercept(blue, green) AS b FROM tdd GROUP BY y, x) SELECT label, trial, t, round(avg(blue - a * green - b), 6) AS v FROM tdd JOIN fit USING (y, x) JOIN regions USING (y, x) WHERE label > 0 GROUP BY label, trial, t")
+def trial_timecourses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fixed = hemo.correct(trial_change(spark, sf_dir)).select("trial", "t", "y", "x", F.col("corrected").alias("v"))
+    return r6(masks.timecourses(fixed, fx.regions(spark, sf_dir), min_overlap=1, keys=("trial", "t")), "v")
+
+
+@query(f"WITH b AS (SELECT trial, y, x, avg(CASE WHEN t < 100 THEN v END) AS b FROM tch WHERE channel = 'green' GROUP BY ALL) SELECT trial, t, y, x, round(-100 * (v - b) / b, 6) AS hbt FROM tch JOIN b USING (trial, y, x) WHERE channel = 'green'")
+def trial_hbt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    green = fx.trial_channels(spark, sf_dir).where("channel = 'green'")
+    return r6(hemo.hbt_single(green, keys=("trial", "y", "x")).select("trial", "t", "y", "x", "hbt"), "hbt")
+
+
+def trial_shifts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frames of all trials against the first one's median image."""
+    frames = fr.to_frames(fx.trial_channels(spark, sf_dir).where("channel = 'blue'"), ("trial", "t"))
+    return r6(trials.motion_correct(frames, S, S).select("trial", "t", "dy", "dx"), "dy", "dx")
+
+
 # --- files
 
 
@@ -539,5 +597,5 @@ def tiff_integers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fr.to_pixels(tiff.read_stack(spark, path).select("frame", "img"), S)
 
 
-for _f in (sampled_points, downsample_nanmean, resize_antialiased, butter_bandpass, welch_bands, motion_shifts, vessel_mask, brain_mask, landmark_fit):
+for _f in (trial_shifts, sampled_points, downsample_nanmean, resize_antialiased, butter_bandpass, welch_bands, motion_shifts, vessel_mask, brain_mask, landmark_fit):
     query()(_f)

@@ -50,6 +50,7 @@ class Config:
     """A session's settings, by the names of the configuration file's sections."""
 
     movie: str
+    trials: bool = False
     experiment: str = "task"
     factor: float = 0.5
     per_cycle: int = 3
@@ -97,6 +98,7 @@ def read_config(path: str) -> Config:
     n, h, a, out = c["normalization"], c.get("hemodynamic_extraction", {}), c["atlas"], c["output"]
     known = {
         "movie": c["data"]["filepath"],
+        "trials": bool(c["data"].get("trials", False)),
         "experiment": c["experiment"]["type"],
         "factor": c["downsampling"]["factor"],
         "per_cycle": c["channel_separation"]["frames_per_cycle"],

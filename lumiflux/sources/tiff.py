@@ -6,7 +6,7 @@
 Classic and big TIFF, either byte order, 8 to 64 bit integers and 16 to 64 bit floats, strips or tiles, plain, LZW,
 PackBits or deflated, with differences of either kind. Stacks with one directory for all frames (a description that
 counts them, pixels in one row) are read by computed offsets. A folder is read as its files in the order of their names,
-frames numbered on. Everything else is an error by name.
+frames numbered on; with option trials, each file is a trial (column trial, from 0) with frames of its own. Everything else is an error by name.
 
 The driver walks the directories of frames; each task reads only the frames of its range. Option pixel: float (as given
 by default) or double, which keeps 32 bit integers and doubles exact.
@@ -56,6 +56,7 @@ class Frames(InputPartition):
     path: str
     first: int
     frames: list[Frame]
+    trial: int | None = None
 
 
 def _tags(f, order: str, big: bool, at: int) -> tuple[dict[int, tuple], int]:
@@ -158,25 +159,28 @@ class TiffReader(DataSourceReader):
         self.path = options["path"]
         self.step = int(options.get("frames_per_partition", 256))
         self.pixel = options.get("pixel", "float")
+        self.trials = options.get("trials", "false").lower() == "true"
 
     def partitions(self) -> list[Frames]:
         out, n = [], 0
-        for path in listed(self.path, (".tif", ".tiff")):
+        for k, path in enumerate(listed(self.path, (".tif", ".tiff"))):
             fs, name = located(path)
             with fs.open_input_file(name) as f:
                 every = directory(f)
-            out += [Frames(path, n + i, every[i : i + self.step]) for i in range(0, len(every), self.step)]
-            n += len(every)
+            out += [Frames(path, n + i, every[i : i + self.step], k if self.trials else None) for i in range(0, len(every), self.step)]
+            n += 0 if self.trials else len(every)
         return out
 
     def read(self, partition: Frames) -> Iterator[pa.RecordBatch]:
         fs, name = located(partition.path)
         numbers = pa.float32() if self.pixel == "float" else pa.float64()
         kind = pa.schema([("frame", pa.int64()), ("h", pa.int32()), ("w", pa.int32()), ("img", pa.list_(numbers))])
+        kind = kind.insert(0, pa.field("trial", pa.int32())) if self.trials else kind
         with fs.open_input_file(name) as f:
             for i, frame in enumerate(partition.frames):
                 image = image_of(f, frame).ravel().astype(PIXEL[self.pixel])
-                yield pa.RecordBatch.from_pydict({"frame": [partition.first + i], "h": [frame.height], "w": [frame.width], "img": [image]}, schema=kind)
+                row = {"frame": [partition.first + i], "h": [frame.height], "w": [frame.width], "img": [image]}
+                yield pa.RecordBatch.from_pydict({"trial": [partition.trial], **row} if self.trials else row, schema=kind)
 
 
 class TiffDataSource(DataSource):
@@ -188,7 +192,8 @@ class TiffDataSource(DataSource):
         pixel = self.options.get("pixel", "float")
         if pixel not in PIXEL:
             raise ValueError(f"unknown pixel type {pixel!r}")
-        return f"frame bigint, h int, w int, img array<{pixel}>"
+        trial = "trial int, " if self.options.get("trials", "false").lower() == "true" else ""
+        return f"{trial}frame bigint, h int, w int, img array<{pixel}>"
 
     def reader(self, schema) -> TiffReader:
         return TiffReader(self.options)
@@ -206,11 +211,11 @@ def pixel_type(path: str) -> str:
         return directory(f)[0].dtype[1:]
 
 
-def read_stack(spark, path: str, frames_per_partition: int = 256, pixel: str = "float") -> DataFrame:
+def read_stack(spark, path: str, frames_per_partition: int = 256, pixel: str = "float", trials: bool = False) -> DataFrame:
     """A stack whose column img says, in its metadata, what its pixels were in the file (stored)."""
     spark.dataSource.register(TiffDataSource)
-    df = spark.read.format("tiff").option("frames_per_partition", frames_per_partition).option("pixel", pixel).load(path)
-    return df.select("frame", "h", "w", F.col("img").alias("img", metadata={"stored": pixel_type(path)}))
+    df = spark.read.format("tiff").options(frames_per_partition=frames_per_partition, pixel=pixel, trials=trials).load(path)
+    return df.select(*(c for c in df.columns if c != "img"), F.col("img").alias("img", metadata={"stored": pixel_type(path)}))
 
 
 def encode(stack: np.ndarray, deflate: bool = False, big_endian: bool = False) -> bytes:

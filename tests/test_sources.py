@@ -41,7 +41,7 @@ def test_labels_and_metadata(spark, tmp_path):
 
 
 CONFIG = """
-data: {{filepath: "{d}/m.tif"}}
+data: {{filepath: "{d}/{movie}", trials: {trials}}}
 experiment: {{type: "{kind}"}}
 downsampling: {{factor: 0.5}}
 channel_separation: {{frames_per_cycle: 3, order: ["green", "red", "blue"], fs: 10}}
@@ -73,8 +73,8 @@ def session(tmp_path):
     (tmp_path / "out").mkdir()
     points = np.array([[0, 0], [7, 0], [7, 11], [0, 11]], float)
 
-    def at(direction, kind="task"):
-        (tmp_path / "c.yaml").write_text(CONFIG.format(d=tmp_path, direction=direction, kind=kind))
+    def at(direction, kind="task", movie="m.tif", trials="false"):
+        (tmp_path / "c.yaml").write_text(CONFIG.format(d=tmp_path, direction=direction, kind=kind, movie=movie, trials=trials))
         return str(tmp_path / "c.yaml"), points, points + 1.0, stack
 
     return at
@@ -91,8 +91,8 @@ def test_whole_session(spark, session, tmp_path, direction, kind, hemodynamics):
         r = spark.read.parquet(f"{tmp_path}/out/hemo_ts").where("t = 20").first()
         assert r.hbt == pytest.approx(r.hbr + r.hbo)
     if direction == "atlas_to_mouse" and kind == "task":
-        # The pixel path by numpy: shrink, align, divide by the baseline, rotate, regress.
-        small = [np.stack([kernels.resize(f.astype(float), 8, 12) for f in stack[c:93:3]]) for c in (0, 2)]
+        # The pixel path by numpy: shrink (integers stay integers, fractions cut off), align, divide by the baseline, rotate, regress.
+        small = [np.stack([kernels.resize(f, 8, 12) for f in stack[c:93:3]]).astype(float) for c in (0, 2)]
         flat = []
         for s in small:
             ref = np.median(s, axis=0)
@@ -106,6 +106,48 @@ def test_whole_session(spark, session, tmp_path, direction, kind, hemodynamics):
             assert r.v == pytest.approx(want[r.t, r.y, r.x], abs=1e-9)
 
 
+@pytest.mark.parametrize("kind", ["task", "rest"])
+def test_a_session_of_trials(spark, session, tmp_path, kind):
+    """Baselines per trial, one reference from the first trial, a fit over both, whole cycles counted in each."""
+    path, mouse, atlas, stack = session("atlas_to_mouse", kind, "trials", "true")
+    (tmp_path / "trials").mkdir()
+    rng = np.random.default_rng(8)
+    other = (np.roll(stack[:71], 1, axis=1) * rng.uniform(0.8, 1.2, (71, 1, 1))).astype("uint16")
+    for name, s in (("1.tif", stack), ("2.tif", other)):
+        (tmp_path / "trials" / name).write_bytes(tiff.encode(s))
+    out = pipeline.run_config(spark, path, mouse, atlas, kind == "task")
+    shifts = {(r.channel, r.trial, r.t): (r.dy, r.dx) for r in out["shifts"].collect()}
+    flat, reference = {}, {}
+    for c, name in ((0, "green"), (2, "blue")):
+        small = [np.stack([kernels.resize(f, 8, 12) for f in s[c : len(s) // 3 * 3 : 3]]).astype(float) for s in (stack, other)]
+        ref = np.median(small[0], axis=0)
+        both = []
+        for trial, s in enumerate(small):
+            moves = [kernels.register(ref, f, 10) for f in s]
+            assert np.allclose([shifts[name, trial, t] for t in range(len(s))], moves)
+            s = np.stack([kernels.fourier_shift(f, *m) for f, m in zip(s, moves)])
+            both.append(s)
+            flat.setdefault(trial, {})[name] = np.rot90(s / s[2:12].mean(axis=0), 1, (1, 2))
+        reference[name] = np.rot90(np.median(np.concatenate(both), axis=0))
+    got = {(r.y, r.x): r.v for r in out["green_ref"].collect()}
+    assert all(v == pytest.approx(reference["green"][k]) for k, v in got.items())
+    green, blue = (np.concatenate([flat[k][n] for k in (0, 1)]) for n in ("green", "blue"))
+    g, b = green - green.mean(axis=0), blue - blue.mean(axis=0)
+    alpha = (g * b).sum(axis=0) / (g * g).sum(axis=0)
+    want = blue - alpha * green - (blue.mean(axis=0) - alpha * green.mean(axis=0))
+    want = {0: want[:31], 1: want[31:]}
+    assert {k: len(v) for k, v in want.items()} == {0: 31, 1: 23}
+    if kind == "rest":
+        ba = kernels.butterworth(3, 0.5, 2.0, 10.0)
+        want = {k: kernels.zero_phase(v.reshape(len(v), -1), *ba).reshape(v.shape) for k, v in want.items()}
+    rows = spark.read.parquet(f"{tmp_path}/out/pixel_ts").where("t in (0, 17)").collect()
+    assert {(r.trial, r.t) for r in rows} == {(0, 0), (0, 17), (1, 0), (1, 17)}
+    for r in rows:
+        assert r.v == pytest.approx(want[r.trial][r.t, r.y, r.x], abs=1e-9)
+    roi = spark.read.parquet(f"{tmp_path}/out/roi_ts")
+    assert roi.count() == 2 * (31 + 23) and set(roi.columns) == {"label", "trial", "t", "v"}
+
+
 def test_bad_settings():
     with pytest.raises(ValueError):
         tables.Config("m", experiment="other")
