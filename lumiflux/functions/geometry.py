@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import numpy as np
 
+from lumiflux.functions import kernels
+
 MIN_POINTS = 4
 
 
@@ -49,23 +51,59 @@ def residuals(m: np.ndarray, src: np.ndarray, dst: np.ndarray) -> dict[str, floa
     return {"mean": float(r.mean()), "max": float(r.max()), "std": float(r.std())}
 
 
-def warp_table(inverse: np.ndarray, out_shape: tuple[int, int], in_shape: tuple[int, int], order: int = 1) -> list[tuple[int, int, int, int, float]]:
-    """(yo, xo, y, x, weight) for each output pixel whose sources all lie in the input; inverse maps output to input.
-    Order 0 takes the nearest pixel, halves away from zero; order 1 the corners at floor and ceiling."""
-    if order not in (0, 1):
-        raise ValueError(f"interpolation order {order} is not supported")
+def sources(inverse: np.ndarray, out_shape: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Where each output pixel, row by row, comes from: y and x in the input."""
     yo, xo = (a.ravel() for a in np.mgrid[: out_shape[0], : out_shape[1]])
     x, y = apply(inverse, np.column_stack([xo, yo])).T
-    inside = lambda yy, xx: (yy >= 0) & (yy < in_shape[0]) & (xx >= 0) & (xx < in_shape[1])
-    if order == 0:
-        ys, xs = (np.copysign(np.floor(np.abs(c) + 0.5), c).astype(int) for c in (y, x))
-        ok = inside(ys, xs)
-        return list(zip(yo[ok].tolist(), xo[ok].tolist(), ys[ok].tolist(), xs[ok].tolist(), [1.0] * int(ok.sum())))
-    y0, x0, y1, x1 = (f(c).astype(int) for f in (np.floor, np.ceil) for c in (y, x))
-    ok = inside(y0, x0) & inside(y1, x1)
-    fy, fx = y - y0, x - x0
-    rows = []
-    for ys, wy in ((y0, 1 - fy), (y1, fy)):
-        for xs, wx in ((x0, 1 - fx), (x1, fx)):
-            rows += zip(yo[ok].tolist(), xo[ok].tolist(), ys[ok].tolist(), xs[ok].tolist(), (wy * wx)[ok].tolist())
-    return rows
+    return y, x
+
+
+def cubic_weights(f: np.ndarray) -> list[np.ndarray]:
+    """Weights of the four pixels around a place, at its fraction f beyond the second: a cubic through the middle two with
+    the slopes between their neighbours."""
+    return [(-f + 2 * f**2 - f**3) / 2, 1 + (-5 * f**2 + 3 * f**3) / 2, (f + 4 * f**2 - 3 * f**3) / 2, (-(f**2) + f**3) / 2]
+
+
+def warp_axes(inverse: np.ndarray, out_shape: tuple[int, int], in_shape: tuple[int, int], order: int) -> tuple[np.ndarray, ...]:
+    """Flat output pixels that have sources, the rows and the columns of these and the weights of both, (pixels, sources
+    along an axis) each: every row goes with every column.
+
+    Order 0 takes the nearest pixel, halves away from zero; order 1 the corners at floor and ceiling; order 3 four by four
+    pixels; an output pixel with one of these beyond the image has no sources. Orders 2, 4 and 5 take coefficients of
+    splines (kernels.spline_filter along both axes), mirrored at the edges; places beyond the image have no sources."""
+    if order not in kernels.ORDERS:
+        raise ValueError(f"interpolation order {order} is not supported")
+    (h, w), (y, x) = in_shape, sources(inverse, out_shape)
+    if order in (2, 4, 5):
+        at = np.flatnonzero((y >= 0) & (y <= h - 1) & (x >= 0) & (x <= w - 1))
+        (ky, wy), (kx, wx) = (kernels.spline_stencil(c[at], order) for c in (y, x))
+        ky, kx = kernels.mirrored(ky, h), kernels.mirrored(kx, w)
+    else:
+        if order == 0:
+            ky, kx = (np.copysign(np.floor(np.abs(c) + 0.5), c).astype(int)[:, None] for c in (y, x))
+            wy = wx = np.ones_like(ky, float)
+        elif order == 1:
+            ky, kx = (np.stack([np.floor(c), np.ceil(c)], 1).astype(int) for c in (y, x))
+            wy, wx = (np.stack([1 - (c - k[:, 0]), c - k[:, 0]], 1) for c, k in ((y, ky), (x, kx)))
+        else:
+            ky, kx = (np.floor(c).astype(int)[:, None] + np.arange(-1, 3) for c in (y, x))
+            wy, wx = (np.stack(cubic_weights(c - k[:, 1]), 1) for c, k in ((y, ky), (x, kx)))
+        inside = ((ky >= 0) & (ky < h)).all(axis=1) & ((kx >= 0) & (kx < w)).all(axis=1)
+        at = np.flatnonzero(inside)
+        ky, kx, wy, wx = ky[at], kx[at], wy[at], wx[at]
+    return at, ky, kx, wy, wx
+
+
+def warp_stencil(inverse: np.ndarray, out_shape: tuple[int, int], in_shape: tuple[int, int], order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Flat output pixels that have sources, their flat input pixels and the weights of these, (pixels, sources) each."""
+    at, ky, kx, wy, wx = warp_axes(inverse, out_shape, in_shape, order)
+    place = ky[:, :, None] * in_shape[1] + kx[:, None, :]
+    return at, place.reshape(len(at), -1), (wy[:, :, None] * wx[:, None, :]).reshape(len(at), -1)
+
+
+def warp_table(inverse: np.ndarray, out_shape: tuple[int, int], in_shape: tuple[int, int], order: int = 1) -> list[tuple[int, int, int, int, float]]:
+    """(yo, xo, y, x, weight) for each output pixel whose sources all lie in the input; inverse maps output to input."""
+    at, place, w = warp_stencil(inverse, out_shape, in_shape, order)
+    yo, xo = np.divmod(np.repeat(at, place.shape[1]), out_shape[1])
+    y, x = np.divmod(place.ravel(), in_shape[1])
+    return list(zip(yo.tolist(), xo.tolist(), y.tolist(), x.tolist(), w.ravel().tolist()))

@@ -114,17 +114,65 @@ def fourier_shift(image: np.ndarray, dy: float, dx: float) -> np.ndarray:
 # --- resampling
 
 
+ORDERS = range(6)
+
+
+def bspline(order: int, x: np.ndarray) -> np.ndarray:
+    """The B-spline of an order, centred at 0, by the recursion over orders."""
+    if order == 0:
+        return ((x >= -0.5) & (x < 0.5)).astype(float)
+    half = (order + 1) / 2
+    return ((half + x) * bspline(order - 1, x + 0.5) + (half - x) * bspline(order - 1, x - 0.5)) / order
+
+
+def spline_poles(order: int) -> np.ndarray:
+    """The poles within the unit circle of the filter that turns samples into coefficients: roots of the B-spline's samples."""
+    reach = order // 2
+    roots = np.roots(bspline(order, np.arange(-reach, reach + 1.0)))
+    return np.sort(np.real(roots[np.abs(roots) < 1]))
+
+
+def spline_filter(samples: np.ndarray, order: int) -> np.ndarray:
+    """Coefficients along axis 0 of the spline through samples that are mirrored at their ends: a recursive filter forth
+    and back for each pole, begun with the exact sum over the mirrored samples."""
+    c = np.array(samples, float)
+    n = len(c)
+    if order < 2 or n == 1:
+        return c
+    for z in spline_poles(order):
+        c *= (1 - z) * (1 - 1 / z)
+        w = z ** np.arange(n)
+        w[1:-1] += z ** (2 * n - 2 - np.arange(1, n - 1))
+        c[0] = np.tensordot(w, c, 1) / (1 - z ** (2 * n - 2))
+        for i in range(1, n):
+            c[i] += z * c[i - 1]
+        c[-1] = z / (z * z - 1) * (c[-1] + z * c[-2])
+        for i in range(n - 2, -1, -1):
+            c[i] = z * (c[i + 1] - c[i])
+    return c
+
+
+def spline_stencil(place: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
+    """The order + 1 coefficients around each place, and their weights: (places, order + 1) each."""
+    first = np.floor(place - (order - 1) / 2).astype(int)
+    k = first[:, None] + np.arange(order + 1)
+    return k, bspline(order, place[:, None] - k)
+
+
 def axis_weights(n_in: int, n_out: int, order: int = 1, antialias: bool = True) -> np.ndarray:
-    """n_out x n_in matrix of resizing along one axis: Gaussian smoothing when shrinking, then centre-aligned sampling."""
+    """n_out x n_in matrix of resizing along one axis: Gaussian smoothing when shrinking, then centre-aligned sampling of
+    the nearest pixel (order 0), between two (1), or of the spline through all (2 to 5), whose filter is part of it."""
+    if order not in ORDERS:
+        raise ValueError(f"interpolation order {order} is not supported")
     factor = n_in / n_out
     sample = np.zeros((n_out, n_in))
     place = (np.arange(n_out) + 0.5) * factor - 0.5
     if order == 0:
         sample[np.arange(n_out), np.clip(np.floor(place + 0.5).astype(int), 0, n_in - 1)] = 1
         return sample
-    low = np.floor(place).astype(int)
-    for k, w in ((low, low + 1 - place), (low + 1, place - low)):
-        np.add.at(sample, (np.arange(n_out), _mirror(k, n_in)), w)
+    k, w = spline_stencil(place, order)
+    np.add.at(sample, (np.arange(n_out)[:, None], mirrored(k, n_in)), w)
+    sample = sample @ spline_filter(np.eye(n_in), order) if order > 1 else sample
     sigma = max(0.0, (factor - 1) / 2)
     if not antialias or sigma == 0:
         return sample
@@ -132,11 +180,11 @@ def axis_weights(n_in: int, n_out: int, order: int = 1, antialias: bool = True)
     g = np.exp(-0.5 * (np.arange(-reach, reach + 1) / sigma) ** 2)
     blur = np.zeros((n_in, n_in))
     for d, w in zip(range(-reach, reach + 1), g / g.sum()):
-        np.add.at(blur, (np.arange(n_in), _mirror(np.arange(n_in) + d, n_in)), w)
+        np.add.at(blur, (np.arange(n_in), mirrored(np.arange(n_in) + d, n_in)), w)
     return sample @ blur
 
 
-def _mirror(i: np.ndarray, n: int) -> np.ndarray:
+def mirrored(i: np.ndarray, n: int) -> np.ndarray:
     """Indices reflected at the edge pixels' centres."""
     if n == 1:
         return np.zeros_like(i)

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
@@ -25,18 +26,30 @@ def downsample(frames: DataFrame, height: int, width: int, scale: float | None =
     h, w = target or (kernels.out_size(height, scale), kernels.out_size(width, scale))
     rows, cols = (kernels.axis_weights(a, b, order, order > 0) for a, b in ((height, h), (width, w)))
 
-    def put(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out = []
-            for image in _as_images(pdf[FRAME], height, width):
-                small = np.clip(rows @ image @ cols.T, image.min(), image.max())
-                out.append((np.trunc(small) if integer else small).ravel())
-            yield pdf.assign(**{FRAME: out})
+    def small(flat: np.ndarray) -> np.ndarray:
+        image = flat.reshape(height, width)
+        out = np.clip(rows @ image @ cols.T, image.min(), image.max())
+        return (np.trunc(out) if integer else out).ravel()
+
+    return each_image(frames, small)
+
+
+def each_image(frames: DataFrame, f: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
+    """f, from one flat image to another, on every frame, in Arrow batches; missing pixels go in and come out as NaN."""
+
+    def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.schema.get_field_index(FRAME)
+            out = [f(v.values.to_numpy(zero_copy_only=False).astype(float)) for v in batch.column(at)]
+            ends = np.concatenate([[0], np.cumsum([len(o) for o in out])]).astype(np.int32)
+            # Pixels as numpy has them: through pandas NaN would become null.
+            values = pa.array(np.concatenate(out) if out else np.zeros(0), pa.float64())
+            yield batch.set_column(at, FRAME, pa.ListArray.from_arrays(pa.array(ends), values))
 
-    return frames.mapInPandas(put, _doubles(frames))
+    return frames.mapInArrow(put, with_doubles(frames))
 
 
-def _doubles(frames: DataFrame, *more: StructField) -> StructType:
+def with_doubles(frames: DataFrame, *more: StructField) -> StructType:
     return StructType([StructField(f.name, ArrayType(DoubleType())) if f.name == FRAME else f for f in frames.schema.fields] + list(more))
 
 
@@ -49,7 +62,7 @@ def motion_correct(frames: DataFrame, height: int, width: int, reference: np.nda
             images = [kernels.fourier_shift(i, *s).ravel() for i, s in zip(_as_images(pdf[FRAME], height, width), shifts)]
             yield pdf.assign(**{FRAME: images, "dy": [s[0] for s in shifts], "dx": [s[1] for s in shifts]})
 
-    return frames.mapInPandas(put, _doubles(frames, StructField("dy", DoubleType()), StructField("dx", DoubleType())))
+    return frames.mapInPandas(put, with_doubles(frames, StructField("dy", DoubleType()), StructField("dx", DoubleType())))
 
 
 def to_image(pixels: DataFrame, height: int, width: int, v: str = "v", missing: float = float("nan")) -> np.ndarray:

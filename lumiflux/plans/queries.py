@@ -159,9 +159,37 @@ def resize_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return small.select("y", "x", F.col("v").cast("int").alias("label"))
 
 
-def resize_antialiased(spark: SparkSession, sf_dir: str) -> DataFrame:
+def axis_cte(name: str, n_in: int, n_out: int, order: int) -> str:
+    """The weights of one axis as rows (o, i, w). tests/test_kernels.py holds them against splines solved the plain way."""
+    m = kernels.axis_weights(n_in, n_out, order)
+    return f"{name}(o, i, w) AS (VALUES {', '.join(f'({o}, {i}, {float(m[o, i])!r}::DOUBLE)' for o in range(n_out) for i in range(n_in))})"
+
+
+def resized_sql(order: int) -> str:
+    return f"""WITH {axis_cte("wt", S, S // 2, order)}, ends AS (SELECT t, min(v) AS lo, max(v) AS hi FROM blue GROUP BY t),
+z AS (SELECT t, a.o AS y, b.o AS x, sum(a.w * b.w * v) AS v FROM blue JOIN wt a ON a.i = blue.y JOIN wt b ON b.i = blue.x GROUP BY ALL)
+SELECT t, y::INT AS y, x::INT AS x, round(greatest(lo, least(hi, v)), 6) AS v FROM z JOIN ends USING (t)"""
+
+
+def resized(spark: SparkSession, sf_dir: str, order: int) -> DataFrame:
     whole = fr.to_frames(fx.channel(spark, sf_dir, "blue"), ("t",))
-    return r6(fr.to_pixels(images.downsample(whole, S, S, scale=0.5), S // 2), "v")
+    return r6(fr.to_pixels(images.downsample(whole, S, S, scale=0.5, order=order), S // 2), "v")
+
+
+@query(resized_sql(1))
+def resize_antialiased(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resized(spark, sf_dir, 1)
+
+
+@query(resized_sql(3))
+def resize_cubic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cubic splines."""
+    return resized(spark, sf_dir, 3)
+
+
+@query(resized_sql(5))
+def resize_quintic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resized(spark, sf_dir, 5)
 
 
 # --- normalisation
@@ -376,6 +404,36 @@ def warp_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r6(warp.warp(fx.channel(spark, sf_dir, "blue"), INVERSE, (S, S), (S, S)), "v")
 
 
+CUBIC = "CASE d WHEN -1 THEN (-f + 2 * f * f - f * f * f) / 2 WHEN 0 THEN 1 + (-5 * f * f + 3 * f * f * f) / 2 WHEN 1 THEN (f + 4 * f * f - 3 * f * f * f) / 2 ELSE (-f * f + f * f * f) / 2 END"
+
+
+@query(f"""WITH {SRC}, k AS (SELECT yo, xo, floor(ys)::INT AS y0, floor(xs)::INT AS x0, ys - floor(ys) AS fy, xs - floor(xs) AS fx FROM src),
+ok AS (SELECT * FROM k WHERE y0 >= 1 AND x0 >= 1 AND y0 + 2 < {S} AND x0 + 2 < {S}), d AS (SELECT unnest([-1, 0, 1, 2]) AS d),
+wy AS (SELECT yo, xo, y0 + d AS y, {CUBIC.replace('f', 'fy')} AS wy FROM ok, d), wx AS (SELECT yo, xo, x0 + d AS x, {CUBIC.replace('f', 'fx')} AS wx FROM ok, d),
+z AS (SELECT t, yo, xo, sum(wy * wx * v) AS v FROM wy JOIN wx USING (yo, xo) JOIN blue USING (y, x) GROUP BY t, yo, xo), ends AS (SELECT t, min(v) AS lo, max(v) AS hi FROM blue GROUP BY t)
+SELECT t, yo AS y, xo AS x, round(greatest(lo, least(hi, v)), 6) AS v FROM z JOIN ends USING (t)""")
+def warp_cubic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return r6(warp.warp(fx.channel(spark, sf_dir, "blue"), INVERSE, (S, S), (S, S), 3), "v")
+
+
+#: Coefficients of mirrored quadratic splines, solved the plain way: samples 1/8, 6/8 and 1/8 of the B-spline.
+QUADRATIC = np.linalg.inv(sum(np.eye(S)[:, abs(S - 1 - abs(S - 1 - np.arange(S) - d))].T * c for d, c in ((-1, 1 / 8), (0, 6 / 8), (1, 1 / 8))))
+
+
+@query(f"""WITH {SRC}, q(o, i, w) AS (VALUES {", ".join(f"({o}, {i}, {float(QUADRATIC[o, i])!r}::DOUBLE)" for o in range(S) for i in range(S))}),
+c AS (SELECT t, a.o AS y, b.o AS x, sum(a.w * b.w * v) AS v FROM blue JOIN q a ON a.i = blue.y JOIN q b ON b.i = blue.x GROUP BY ALL),
+ok AS (SELECT * FROM src WHERE ys >= 0 AND xs >= 0 AND ys <= {S - 1} AND xs <= {S - 1}), d AS (SELECT unnest([-1, 0, 1]) AS d),
+st AS (SELECT yo, xo, floor(ys + 0.5)::INT + a.d AS ky, floor(xs + 0.5)::INT + b.d AS kx, ys, xs FROM ok, d a, d b),
+w AS (SELECT yo, xo, {S - 1} - abs({S - 1} - abs(ky)) AS y, {S - 1} - abs({S - 1} - abs(kx)) AS x,
+  (CASE WHEN abs(ys - ky) <= 0.5 THEN 0.75 - (ys - ky) * (ys - ky) ELSE 0.5 * pow(1.5 - abs(ys - ky), 2) END) * (CASE WHEN abs(xs - kx) <= 0.5 THEN 0.75 - (xs - kx) * (xs - kx) ELSE 0.5 * pow(1.5 - abs(xs - kx), 2) END) AS w FROM st),
+z AS (SELECT t, yo, xo, sum(w * v) AS v FROM w JOIN c USING (y, x) GROUP BY t, yo, xo), ends AS (SELECT t, min(v) AS lo, max(v) AS hi FROM blue GROUP BY t)
+SELECT t, yo AS y, xo AS x, round(greatest(lo, least(hi, v)), 6) AS v FROM z JOIN ends USING (t)""")
+def warp_splines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole frames by quadratic splines; pixels beyond the view are left out."""
+    whole = fr.to_frames(fx.channel(spark, sf_dir, "blue"), ("t",))
+    return r6(fr.to_pixels(warp.warp_frames(whole, INVERSE, (S, S), (S, S), 2), S).where(~F.isnan("v")), "v")
+
+
 # --- quality
 
 METRICS_SQL = """st AS (SELECT label, t, v, avg(v) OVER w AS m, stddev_pop(v) OVER w AS s, abs(v - lag(v) OVER (PARTITION BY label ORDER BY t)) AS j FROM tr WINDOW w AS (PARTITION BY label)),
@@ -597,5 +655,5 @@ def tiff_integers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fr.to_pixels(tiff.read_stack(spark, path).select("frame", "img"), S)
 
 
-for _f in (trial_shifts, sampled_points, downsample_nanmean, resize_antialiased, butter_bandpass, welch_bands, motion_shifts, vessel_mask, brain_mask, landmark_fit):
+for _f in (trial_shifts, sampled_points, downsample_nanmean, butter_bandpass, welch_bands, motion_shifts, vessel_mask, brain_mask, landmark_fit):
     query()(_f)

@@ -65,6 +65,41 @@ def test_resize():
     assert set(np.unique(k.resize(np.eye(8, dtype=int), 4, 4, order=0))) <= {0, 1}
 
 
+@pytest.mark.parametrize("order", [2, 3, 4, 5])
+def test_splines_go_through_samples_and_keep_polynomials(order):
+    assert np.allclose(k.axis_weights(9, 9, order), np.eye(9))
+    # A B-spline's samples add up to 1, and the filter undoes them: coefficients solved the plain way.
+    n, reach = 12, order // 2
+    b = np.zeros((n, n))
+    for i in range(n):
+        for d in range(-reach, reach + 1):
+            b[i, int(k.mirrored(np.array(i + d), n))] += float(k.bspline(order, np.array(float(d))))
+    assert np.allclose(b.sum(axis=1), 1) and np.allclose(k.spline_filter(np.eye(n), order), np.linalg.inv(b))
+    x = np.linspace(-1, 1, 120)
+    f = np.poly1d(np.arange(1.0, order + 2))
+    w = k.axis_weights(120, 90, order, antialias=False)
+    place = ((np.arange(90) + 0.5) * 120 / 90 - 0.5) * 2 / 119 - 1
+    assert np.allclose((w @ f(x))[35:55], f(place)[35:55], atol=1e-9)
+    # Mirrored samples: the cosine's spline is mirrored too.
+    assert np.allclose(k.spline_filter(np.cos(np.pi * np.arange(11) / 10), order), -k.spline_filter(np.cos(np.pi * np.arange(11) / 10), order)[::-1])
+    assert np.allclose(k.axis_weights(1, 1, order), 1)
+    with pytest.raises(ValueError):
+        k.axis_weights(8, 4, 6)
+
+
+def test_known_poles_and_b_splines():
+    assert k.spline_poles(3) == pytest.approx([np.sqrt(3) - 2]) and k.spline_poles(2) == pytest.approx([np.sqrt(8) - 3])
+    assert k.bspline(3, np.array([-1.0, 0, 1, 2])) == pytest.approx([1 / 6, 4 / 6, 1 / 6, 0])
+    assert k.bspline(5, np.array([0.0, 1, 2])) == pytest.approx([66 / 120, 26 / 120, 1 / 120])
+
+
+def test_integers_that_shrink_by_splines_keep_range_and_type():
+    image = np.zeros((12, 12), np.uint16)
+    image[:, 6:] = 1000
+    out = k.resize(image, 6, 6, order=3, antialias=False)
+    assert out.dtype == np.uint16 and out.min() == 0 and out.max() == 1000
+
+
 def test_cubic_is_exact_for_cubics():
     x = np.array([500.0, 512, 520, 541, 560, 600, 650])
     f = lambda v: 1e-5 * v**3 - 2e-2 * v**2 + v - 3
@@ -123,6 +158,35 @@ def test_landmark_fits():
             geometry.fit(*bad)
 
 
+def warped(image, inverse, out_shape, order):
+    at, place, w = geometry.warp_stencil(inverse, out_shape, image.shape, order)
+    flat = k.spline_filter(k.spline_filter(image, order).T, order).T.ravel() if order in (2, 4, 5) else image.ravel()
+    out = np.full(out_shape, np.nan).ravel()
+    out[at] = (w * flat[place]).sum(axis=1)
+    return out.reshape(out_shape)
+
+
+@pytest.mark.parametrize("order, degree", [(1, 1), (2, 2), (3, 2), (4, 4), (5, 5)])
+def test_warps_keep_polynomials(order, degree):
+    m = np.array([[0.9, -0.1, 14.3], [0.1, 0.9, 9.2], [0, 0, 1]])
+    y, x = np.mgrid[:90, :100] / 50
+    f = lambda y, x: (x - 0.7 * y) ** degree + y - 2 * x
+    out = warped(f(y, x), m, (60, 70), order)
+    ys, xs = (c.reshape(60, 70) / 50 for c in geometry.sources(m, (60, 70)))
+    inner = (slice(20, 50), slice(20, 50))
+    assert np.allclose(out[inner], f(ys, xs)[inner], atol=1e-7)
+    assert np.allclose(warped(f(y, x), np.eye(3), (90, 100), order)[2:-3, 2:-3], f(y, x)[2:-3, 2:-3])
+
+
+def test_where_warps_end():
+    shift = np.array([[1, 0, 0.25], [0, 1, 0.25], [0, 0, 1.0]])
+    image = np.arange(56.0).reshape(7, 8)
+    seen = {order: np.isfinite(warped(image, shift, (7, 8), order)).sum() for order in range(6)}
+    assert seen == {0: 56, 1: 6 * 7, 2: 6 * 7, 3: 4 * 5, 4: 6 * 7, 5: 6 * 7}
+    with pytest.raises(ValueError):
+        geometry.warp_stencil(shift, (2, 2), (2, 2), 6)
+
+
 def test_warp_table():
     same = geometry.warp_table(np.eye(3), (3, 4), (3, 4), 1)
     assert len({r[:2] for r in same}) == 12 and all(r[:2] == r[2:4] for r in same if r[4])

@@ -225,3 +225,32 @@ def test_full_report(spark):
     assert out["metrics"].count() == 4 and "high_freq_fraction" in out["metrics"].columns
     assert {r.signal for r in out["comparison"].collect()} == {"calcium", "hbo"}
     assert out["calcium_snr_map"].count() == 9 and out["hbo_issues"].count() == 2
+
+
+@pytest.mark.parametrize("order", range(6))
+def test_frames_and_pixels_warp_alike(spark, order):
+    import numpy as np
+
+    from lumiflux.functions import geometry, kernels
+    from lumiflux.operators import warp
+
+    rng = np.random.default_rng(order)
+    frames = rng.normal(size=(4, 9, 11))
+    frames[2, 4, 5] = np.nan
+    m = np.array([[0.95, -0.1, 0.8], [0.1, 0.95, -0.3], [0, 0, 1.0]])
+    df = spark.createDataFrame([(i, [float(v) for v in f.ravel()]) for i, f in enumerate(frames)], "t long, img array<double>")
+    at, place, w = geometry.warp_stencil(m, (8, 10), (9, 11), order)
+    got = {r.t: np.array(r.img, float) for r in warp.warp_frames(df, m, (8, 10), (9, 11), order).collect()}
+    for t, image in enumerate(frames):
+        flat = kernels.spline_filter(kernels.spline_filter(image, order).T, order).T.ravel() if order in (2, 4, 5) else image.ravel()
+        want = np.full(80, np.nan)
+        want[at] = (w * flat[place]).sum(axis=1)
+        want = np.clip(want, np.nanmin(image), np.nanmax(image)) if order > 1 else want
+        assert np.allclose(got[t], want, equal_nan=True)
+    if order in (0, 1, 3):
+        pixels = fr.to_pixels(df, 11)
+        rows = {(r.t, r.y, r.x): r.v for r in warp.fill(warp.warp(pixels, m, (8, 10), (9, 11), order), (8, 10)).collect()}
+        assert all(np.isclose(rows[t, i // 10, i % 10], v, equal_nan=True) for t, image in got.items() for i, v in enumerate(image))
+    else:
+        with pytest.raises(ValueError):
+            warp.warp(fr.to_pixels(df, 11), m, (8, 10), (9, 11), order)
