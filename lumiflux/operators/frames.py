@@ -87,7 +87,8 @@ def nan_weighted_resample(pixels: DataFrame, rows, cols, near_rows, near_cols, k
 
 
 def temporal(pixels: DataFrame, how: str, keys: Sequence[str] = ("y", "x")) -> DataFrame:
-    """Mean, median or standard deviation of each pixel over time; any NaN makes it NaN."""
+    """Mean, median or standard deviation of each pixel over time; any NaN makes it NaN. For the median each pixel's values
+    are held by the task that has the pixel; selection.medians() gives the same for movies too long for that."""
     f = {"mean": F.avg, "median": F.median, "std": F.stddev_pop}[how]
     v = f("v")
     return pixels.groupBy(*keys).agg((v if how != "median" else F.when(F.max(F.isnan("v")), F.lit(NAN)).otherwise(v)).alias("v"))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from lumiflux.operators.frames import missing
 from lumiflux.operators.normalise import in_baseline, with_map
+from lumiflux.operators.selection import quantiles
 
 MIN_SAMPLES = 10
 INF = float("inf")
@@ -117,12 +118,13 @@ def clipped_share(pixels: DataFrame, baseline=(0, 100), keys: Sequence[str] = ("
 
 
 def value_range(pixels: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """1st and 99th percentile of the finite values of each signal."""
+    """1st and 99th percentile of the finite values of each signal, exact however many there are (selection.py)."""
     parts = [pixels.select(F.lit(c).alias("signal"), missing(c).alias("v")) for c in columns]
     rows = parts[0]
     for p in parts[1:]:
         rows = rows.unionByName(p)
-    return rows.groupBy("signal").agg(F.percentile("v", 0.01).alias("p01"), F.percentile("v", 0.99).alias("p99"))
+    found = quantiles(rows, "v", (0.01, 0.99), ("signal",))
+    return rows.select("signal").distinct().join(F.broadcast(found), "signal", "left").select("signal", F.col("quantiles")[0].alias("p01"), F.col("quantiles")[1].alias("p99"))
 
 
 def cmro2(pixels: DataFrame, baseline_hbt: float = 100e-6, baseline_so2: float = 0.6, grubb: float = 0.38, weights: tuple[float, float] = (1.0, 1.0), scale: float = 1e-6) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from lumiflux.functions import geometry, kernels
 from lumiflux.operators import frames as fr, hemodynamics as hemo, images, masks, normalise, trials, warp
 from lumiflux.sources import mat, tables, tiff
-from lumiflux.sources.files import scratch
+from lumiflux.sources.files import stored
 
 SIGNALS = ("hbr", "hbo", "hbt", "cbf", "cmro2")
 
@@ -46,7 +46,7 @@ def aligned(s: Session, c: tables.Config, hemodynamics: bool) -> tuple[DataFrame
     frames = s.movie if trials.TRIAL in keys else s.movie.withColumn(trials.TRIAL, F.lit(0))
     small = images.downsample(frames.select(trials.TRIAL, "frame", "img"), *s.shape, target=(h, w), integer=_stored_as_integers(s.movie))
     small = trials.separate(small, c.order, c.per_cycle, trials.lengths(frames.select(trials.TRIAL, "frame")))
-    small = _stored(small if hemodynamics else small.where("channel <> 'red'"), "small-frames", "channel")
+    small = stored(small if hemodynamics else small.where("channel <> 'red'"), "small-frames", "channel")
     parts = []
     for name in c.order:
         if name == "red" and not hemodynamics:
@@ -56,19 +56,12 @@ def aligned(s: Session, c: tables.Config, hemodynamics: bool) -> tuple[DataFrame
     moved = parts[0]
     for p in parts[1:]:
         moved = moved.unionByName(p)
-    moved = _stored(moved, "aligned-frames", "channel")
+    moved = stored(moved, "aligned-frames", "channel")
     pixels = fr.to_pixels(moved.select("channel", *keys, "img"), w)
     references = {n: fr.temporal(pixels.where(F.col("channel") == n), "median") for n in c.order if n != "red" or hemodynamics}
     return pixels, references, moved.select("channel", *keys, "dy", "dx"), (h, w)
 
 
-def _stored(df: DataFrame, label: str, by: str) -> DataFrame:
-    """The table written to the shared folder, in folders by a column, and read back: a lost executor costs no frames twice."""
-    path = scratch(df.sparkSession, label)
-    df.write.partitionBy(by).parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def _stored_as_integers(movie: DataFrame) -> bool:
     return (movie.schema["img"].metadata or {}).get("stored", "f")[0] in "ui"
 

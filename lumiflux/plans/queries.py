@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lumiflux.functions import geometry, kernels
-from lumiflux.operators import frames as fr, hemodynamics as hemo, images, masks, normalise, quality, trials, views, warp
+from lumiflux.operators import frames as fr, hemodynamics as hemo, images, masks, normalise, quality, selection, trials, views, warp
 from lumiflux.plans import fixtures as fx
 from lumiflux.sources import stacks, tiff
 from lumiflux.sources.files import scratch
@@ -116,6 +116,12 @@ def median_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r6(fr.temporal(fx.channels(spark, sf_dir), "median", ("channel", "y", "x")), "v")
 
 
+@query("SELECT channel, y, x, round(median(v), 6) AS v FROM ch GROUP BY channel, y, x")
+def median_by_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same without holding a pixel's values."""
+    return r6(selection.medians(fx.channels(spark, sf_dir), "v", ("channel", "y", "x")), "v")
+
+
 @query("SELECT channel, y, x, round(stddev_pop(v), 6) AS v FROM ch GROUP BY channel, y, x")
 def std_image(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r6(fr.temporal(fx.channels(spark, sf_dir), "std", ("channel", "y", "x")), "v")
