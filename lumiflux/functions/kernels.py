@@ -203,12 +203,15 @@ def out_size(n: int, scale: float) -> int:
     return round(n * scale)
 
 
-def cubic(x: np.ndarray, y: np.ndarray, at: float) -> float:
-    """Not-a-knot cubic spline through the points (sorted by x), extended by its end polynomials."""
+def cubic_pieces(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """The not-a-knot cubic spline through the points (sorted by x): (start, c0, c1, c2, c3) of each piece, whose value is
+    c0 + c1 u + c2 u^2 + c3 u^3 at u beyond its start. The first and the last piece go on beyond the points."""
     x, y = np.asarray(x, float), np.asarray(y, float)
     n, h = len(x), np.diff(x)
     if n < 4:
         raise ValueError("a cubic spline needs four points")
+    if not (h > 0).all():
+        raise ValueError("the points of a spline must be different and in order")
     slope = np.diff(y) / h
     m, r = np.zeros((n, n)), np.zeros(n)  # second derivatives
     for i in range(1, n - 1):
@@ -217,9 +220,14 @@ def cubic(x: np.ndarray, y: np.ndarray, at: float) -> float:
     m[0, :3] = h[1], -(h[0] + h[1]), h[0]
     m[-1, -3:] = h[-1], -(h[-2] + h[-1]), h[-2]
     s = np.linalg.solve(m, r)
-    i = int(np.clip(np.searchsorted(x, at) - 1, 0, n - 2))
-    u, w = at - x[i], x[i + 1] - at
-    return float(s[i] * w**3 / (6 * h[i]) + s[i + 1] * u**3 / (6 * h[i]) + (y[i] / h[i] - s[i] * h[i] / 6) * w + (y[i + 1] / h[i] - s[i + 1] * h[i] / 6) * u)
+    return np.column_stack([x[:-1], y[:-1], slope - h * (2 * s[:-1] + s[1:]) / 6, s[:-1] / 2, np.diff(s) / (6 * h)])
+
+
+def cubic(x: np.ndarray, y: np.ndarray, at: float) -> float:
+    """One value of that spline."""
+    pieces = cubic_pieces(x, y)
+    start, *c = pieces[int(np.clip(np.searchsorted(pieces[:, 0], at, "right") - 1, 0, len(pieces) - 1))]
+    return float(np.polynomial.polynomial.polyval(at - start, c))
 
 
 # --- morphology and smoothing of one image

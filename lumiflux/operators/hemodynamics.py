@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from lumiflux.operators.frames import missing
 from lumiflux.operators.normalise import in_baseline, with_map
@@ -94,10 +95,30 @@ def unmixing(extinction: dict[str, tuple[float, float]], path_green: float = 0.0
     return d / det, -b / det, -c / det, a / det
 
 
-def hb_dual(pixels: DataFrame, inverse: tuple[float, float, float, float], baseline=(0, 100), keys: Sequence[str] = ("y", "x"), clip_ratio: bool = False) -> DataFrame:
-    """hbr, hbo, hbt in micromoles a litre from raw red and green; one aggregate for both baselines, then projections."""
+#: A condition number of the two wavelengths' system beyond which concentrations say little.
+WORST_CONDITION = 100.0
+
+
+def condition(inverse: tuple[float, float, float, float]) -> float:
+    """The condition number of an unmixing: that of the system it solves."""
+    a, b, c, d = inverse
+    squares, det = a * a + b * b + c * c + d * d, abs(a * d - b * c)
+    # Largest and smallest singular value of a 2 x 2 matrix, from its squares and its determinant.
+    root = max(squares * squares - 4 * det * det, 0.0) ** 0.5
+    return float("inf") if det == 0 else (squares + root) / (2 * det)
+
+
+def hb_dual(pixels: DataFrame, inverse: tuple[float, float, float, float], baseline=(0, 100), keys: Sequence[str] = ("y", "x"), clip_ratio: bool = False, seen: Observation | None = None) -> DataFrame:
+    """hbr, hbo, hbt in micromoles a litre from raw red and green; one aggregate for both baselines, then projections.
+    A system of a condition number over WORST_CONDITION is warned of. seen, an Observation, gets n and n_clipped (ratios of
+    either channel that clipping changes, or would) once an action has run: no job of its own."""
+    if condition(inverse) > WORST_CONDITION:
+        warnings.warn(f"the two wavelengths hardly tell the species apart: condition number {condition(inverse):.0f}", stacklevel=2)
     base = pixels.groupBy(*keys).agg(*(F.avg(F.when(in_baseline(baseline), F.col(c))).alias(f"__{c}") for c in ("green", "red")))
     rows = with_map(pixels, base, keys)
+    if seen is not None:
+        out = lambda c: F.count_if(~F.try_divide(F.col(c), F.col(f"__{c}")).between(0.1, 10.0))
+        rows = rows.observe(seen, F.count("*").alias("n"), (out("green") + out("red")).alias("n_clipped"))
     od = {}
     for c in ("green", "red"):
         ratio = F.try_divide(F.col(c), F.col(f"__{c}"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from lumiflux.operators.frames import missing
 
@@ -61,16 +61,45 @@ def across(table: DataFrame, keys: Sequence[str] = ("label",), names: Sequence[s
     return rows.groupBy("metric").agg(F.median("value").alias("median"), F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max"))
 
 
+CRITERIA_COLUMNS = "class string, place int, metric string, threshold double, direction string"
+
+
+def criteria_table(spark: SparkSession, given: dict[str, dict[str, tuple[float, str]]] = CRITERIA) -> DataFrame:
+    """Criteria as rows: class, place (their order within it), metric, threshold and direction (min or max)."""
+    rows = [(kind, i, m, float(t), d) for kind, own in given.items() for i, (m, (t, d)) in enumerate(own.items())]
+    return spark.createDataFrame(rows, CRITERIA_COLUMNS)
+
+
+def class_of(signal: Column) -> Column:
+    """The class of criteria of a signal, in any case; other for those unknown."""
+    named = F.create_map(*(F.lit(x) for pair in CLASSES.items() for x in pair))
+    return F.coalesce(F.try_element_at(named, F.lower(signal)), F.lit("other"))
+
+
+def with_issues(table: DataFrame, keys: Sequence[str] = ("label",), signal: str | Column = "signal", given: DataFrame | None = None) -> DataFrame:
+    """Metrics of traces of MIN_POINTS or more with their issues, in the order of the criteria of each one's signal: the
+    metrics as rows meet the criteria of their class, and those beyond a threshold are kept. NaN is never an issue; a
+    metric without a column, or without a criterion, is not judged. One plan for all classes."""
+    rows = table.where(F.col("n") >= MIN_POINTS)
+    given = criteria_table(table.sparkSession) if given is None else given
+    names = [c for c in table.columns if c not in (*keys, "n", "signal", "issues") and table.schema[c].dataType.simpleString() == "double"]
+    kind = class_of(F.col(signal) if isinstance(signal, str) else signal)
+    tall_rows = rows.select(*keys, kind.alias("class"), *names).unpivot([*keys, "class"], names, "metric", "value")
+    met = tall_rows.join(F.broadcast(given), ["class", "metric"])  # the criteria: a few rows a class
+    beyond = F.when(F.col("direction") == "max", F.col("value") > F.col("threshold")).otherwise(F.col("value") < F.col("threshold"))
+    text = F.format_string("%s=%.3f %s %s", F.col("metric"), F.col("value"), F.when(F.col("direction") == "max", ">").otherwise("<"), F.col("threshold").cast("string"))
+    # One entry a criterion of the class at most.
+    found = met.where(~F.isnan("value") & beyond).groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("place", text.alias("text")))).alias("__found"))
+    listed = F.coalesce(F.transform("__found", lambda x: x.text), F.array().cast("array<string>"))
+    found = found.withColumnsRenamed({k: f"__{k}" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
+    return rows.join(found, same, "left").withColumn("issues", listed).drop("__found", *(f"__{k}" for k in keys))
+
+
 def issues(table: DataFrame, signal: str = "calcium") -> DataFrame:
-    """The issues of each trace of MIN_POINTS or more, in the order of the criteria; NaN is never an issue."""
-    found = []
-    for name, (threshold, direction) in criteria(signal).items():
-        if name in table.columns:
-            v = F.col(name)
-            bad = v > threshold if direction == "max" else v < threshold
-            sign = ">" if direction == "max" else "<"
-            found.append(F.when(~F.isnan(v) & bad, F.format_string(f"{name}=%.3f {sign} {threshold}", v)))
-    return table.where(F.col("n") >= MIN_POINTS).withColumn("issues", F.array_compact(F.array(*found)))
+    """The issues of each trace of MIN_POINTS or more of one signal."""
+    keys = ("signal", "label") if "signal" in table.columns else ("label",)
+    return with_issues(table, keys, F.lit(signal))
 
 
 def summary(flagged: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -97,11 +126,7 @@ def compare(traces: DataFrame, signals: Sequence[str]) -> DataFrame:
 
 def compare_table(table: DataFrame, signals: Sequence[str]) -> DataFrame:
     """The same from a table of metrics, spectra included if it has them."""
-    parts = [summary(issues(table.where(F.col("signal") == s), s), ("signal",)) for s in signals]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return summary(with_issues(table.where(F.col("signal").isin(*signals)), ("signal", "label")), ("signal",))
 
 
 def extremes(flagged: DataFrame, n_good: int = 3, n_bad: int = 3) -> DataFrame:

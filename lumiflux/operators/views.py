@@ -65,6 +65,15 @@ def missing_labels(labels: DataFrame, traces: DataFrame) -> DataFrame:
     return labels.select("label").distinct().join(traces.select("label"), "label", "left_anti")
 
 
+def required(labels: DataFrame, traces: DataFrame) -> DataFrame:
+    """The traces of the labels. A label without a trace stops the query that runs this plan, wherever it is used; no job
+    of its own looks for it."""
+    has = traces.withColumn("__has", F.lit(True))
+    met = labels.select("label").distinct().join(has, "label", "left")
+    absent = F.raise_error(F.format_string("region %s has no time course", F.col("label").cast("string"))).cast(labels.schema["label"].dataType)
+    return met.withColumn("label", F.when(F.col("__has"), F.col("label")).otherwise(absent)).drop("__has")
+
+
 def full_report(signals: dict[str, DataFrame], atlas: DataFrame, fs: float | None = None) -> dict[str, DataFrame]:
     """Metrics of all signals in one pass, flags and summaries by each signal's criteria, and signal-to-noise maps."""
     rows = merge(signals)

@@ -7,10 +7,10 @@ from collections.abc import Callable
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lumiflux.functions import geometry, kernels
-from lumiflux.operators import frames as fr, hemodynamics as hemo, images, masks, normalise, quality, selection, trials, views, warp
+from lumiflux.functions import kernels
+from lumiflux.operators import frames as fr, hemodynamics as hemo, images, landmarks, masks, normalise, quality, selection, trials, views, warp
 from lumiflux.plans import fixtures as fx
-from lumiflux.sources import stacks, tiff
+from lumiflux.sources import stacks, tables, tiff
 from lumiflux.sources.files import scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -567,13 +567,69 @@ def brain_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
     return images.masked_by(image, S, S, lambda i: kernels.brain_mask(i, top_hat=3, close=1, open_=1, least=4))
 
 
+# --- registration, spectra, strict lookups
+
+#: Landmarks: a nation's place in one image, and where INVERSE and some noise, its mean balance, put it in the other.
+MARKS = "mk AS (SELECT g, k, x AS sx, y AS sy, {a!r}::DOUBLE * x + {b!r}::DOUBLE * y + {c!r}::DOUBLE + noise AS dx, {d!r}::DOUBLE * x + {e!r}::DOUBLE * y + {f!r}::DOUBLE - noise AS dy FROM place JOIN (SELECT c_nationkey AS k, (avg(c_acctbal) - 4500) / 5000 AS noise FROM customer GROUP BY 1) USING (k))".format(**dict(zip("abcdef", map(float, INVERSE[:2].ravel()))))
+MOMENTS = "mo AS (SELECT g, count(*) AS n, avg(sx) AS sx, avg(sy) AS sy, avg(dx) AS dx, avg(dy) AS dy, covar_pop(sx, sx) AS xx, covar_pop(sy, sy) AS yy, covar_pop(sx, sy) AS xy, covar_pop(sx, dx) AS xa, covar_pop(sx, dy) AS xb, covar_pop(sy, dx) AS ya, covar_pop(sy, dy) AS yb FROM mk GROUP BY g)"
+RESIDUALS = "m AS (SELECT g, n, m00, m01, dx - m00 * sx - m01 * sy AS m02, m10, m11, dy - m10 * sx - m11 * sy AS m12 FROM li), re AS (SELECT g, avg(r) AS mean_residual, max(r) AS max_residual, stddev_pop(r) AS std_residual FROM (SELECT g, sqrt(pow(m00 * sx + m01 * sy + m02 - dx, 2) + pow(m10 * sx + m11 * sy + m12 - dy, 2)) AS r FROM mk JOIN m USING (g)) GROUP BY g)"
+FITTED = ("m00", "m01", "m02", "m10", "m11", "m12", "mean_residual", "max_residual", "std_residual")
+FIT_SELECT = f"SELECT g, n, {', '.join(f'round({c}, 6) AS {c}' for c in FITTED)} FROM m JOIN re USING (g)"
+
+
+def marks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    noise = fx.table(spark, sf_dir, "customer").groupBy(F.col("c_nationkey").alias("k")).agg(((F.avg("c_acctbal") - 4500) / 5000).alias("noise"))
+    (a, b, c), (d, e, f) = INVERSE[:2].tolist()
+    x, y = F.col("x"), F.col("y")
+    placed = fx.places(spark, sf_dir).join(noise, "k")
+    return placed.select("g", F.col("k").alias("idx"), x.alias("mouse_x"), y.alias("mouse_y"), (a * x + b * y + c + F.col("noise")).alias("atlas_x"), (d * x + e * y + f - F.col("noise")).alias("atlas_y"))
+
+
+@query(f"WITH {MARKS}, {MOMENTS}, li AS (SELECT *, (xa + yb) / (xx + yy) AS m00, -(xb - ya) / (xx + yy) AS m01, (xb - ya) / (xx + yy) AS m10, (xa + yb) / (xx + yy) AS m11 FROM mo), {RESIDUALS} {FIT_SELECT}")
 def landmark_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The similarity through the corners of the view and their images, and its residuals."""
-    src = np.array([[0, 0], [7, 0], [7, 7], [0, 7], [3, 4]], float)
-    dst = geometry.apply(INVERSE, src)
-    m = geometry.fit(dst, src)
-    r = geometry.residuals(m, src, dst)
-    return spark.createDataFrame([(i, j, round(float(m[i, j]), 6) + 0.0, round(r["mean"], 6)) for i in range(3) for j in range(3)], "row int, col int, value double, mean_residual double")
+    """The similarity of the landmarks of each region, and its residuals."""
+    return r6(landmarks.fitted(marks(spark, sf_dir), direction="mouse_to_atlas", keys=("g",)), *FITTED)
+
+
+@query(f"WITH {MARKS}, {MOMENTS}, li AS (SELECT *, (xa * yy - ya * xy) / (xx * yy - xy * xy) AS m00, (ya * xx - xa * xy) / (xx * yy - xy * xy) AS m01, (xb * yy - yb * xy) / (xx * yy - xy * xy) AS m10, (yb * xx - xb * xy) / (xx * yy - xy * xy) AS m11 FROM mo), {RESIDUALS} {FIT_SELECT}")
+def landmark_affine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return r6(landmarks.fitted(marks(spark, sf_dir), "affine", "mouse_to_atlas", ("g",)), *FITTED)
+
+
+#: A spectrum that is a cubic, which a cubic spline must give back, at wavelengths within its points and beyond.
+SPECTRUM = [450.0, 470.0, 485.0, 500.0, 530.0, 541.0, 560.0, 600.0, 625.0, 650.0]
+
+
+@query("WITH w AS (SELECT p_partkey, 430 + p_size * 5.0::DOUBLE AS wavelength FROM part) SELECT p_partkey, wavelength, species, round(CASE species WHEN 'hbo' THEN 3e4 - 60 * u + 0.2 * u * u - 0.003 * u * u * u ELSE 2e4 + 15 * u - 0.1 * u * u + 0.001 * u * u * u END, 4) AS extinction FROM (SELECT *, wavelength - 530 AS u FROM w), (VALUES ('hbo'), ('hbr')) AS s(species)")
+def extinction_at(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Extinction of both species at a wavelength for each part."""
+    u = np.array(SPECTRUM) - 530
+    curves = {"hbo": 3e4 - 60 * u + 0.2 * u**2 - 0.003 * u**3, "hbr": 2e4 + 15 * u - 0.1 * u**2 + 0.001 * u**3}
+    pieces = tables.spline_pieces(spark, {k: (SPECTRUM, v) for k, v in curves.items()})
+    parts = fx.table(spark, sf_dir, "part").select("p_partkey", (430 + F.col("p_size") * 5.0).alias("wavelength"))
+    return tables.at_wavelengths(parts, pieces).withColumn("extinction", F.round("extinction", 4))
+
+
+@query("WITH l AS (SELECT DISTINCT user_id AS label FROM events WHERE event_type = 'click') SELECT label, t, round(v, 6) AS v FROM tr SEMI JOIN l USING (label)")
+def required_traces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Traces of the users who click; one without a trace would stop the query."""
+    wanted = fx.table(spark, sf_dir, "events").where("event_type = 'click'").select(F.col("user_id").alias("label"))
+    return r6(views.required(wanted, fx.traces(spark, sf_dir)), "v")
+
+
+FOUR = ("calcium", "hbo", "cmro2", "other")
+
+
+@query("WITH " + METRICS_SQL.replace("FROM st GROUP BY label)", "FROM st GROUP BY label)", 1) + """, cr(class, place, metric, threshold, direction) AS (VALUES """ + ", ".join(f"('{k}', {i}, '{m}', {t!r}::DOUBLE, '{d}')" for k, own in quality.CRITERIA.items() for i, (m, (t, d)) in enumerate(own.items())) + """),
+si(signal, class) AS (VALUES ('calcium', 'calcium'), ('hbo', 'haemoglobin'), ('cmro2', 'metabolism'), ('other', 'other')),
+lo AS (SELECT label, metric, value FROM (""" + " UNION ALL ".join(f"SELECT label, '{m}' AS metric, {m} AS value FROM me WHERE n >= 10" for m in ("snr", "cv", "outlier_fraction", "drift_r2")) + """)),
+ba AS (SELECT signal, label, string_agg(metric, ',' ORDER BY place) AS issues FROM lo JOIN cr USING (metric) JOIN si USING (class) WHERE CASE direction WHEN 'max' THEN value > threshold ELSE value < threshold END GROUP BY ALL)
+SELECT signal, label, coalesce(issues, '') AS issues FROM (SELECT signal, label FROM si, me WHERE n >= 10) LEFT JOIN ba USING (signal, label)""")
+def flags_by_class(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same traces judged as signals of all four classes, in one plan."""
+    tr = fx.traces(spark, sf_dir)
+    flagged = quality.with_issues(quality.metrics(views.merge({s: tr for s in FOUR}), ("signal", "label")), ("signal", "label"))
+    return flagged.select("signal", "label", F.array_join(F.transform("issues", lambda i: F.split(i, "=")[0]), ",").alias("issues"))
 
 
 # --- trials
@@ -661,5 +717,5 @@ def tiff_integers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fr.to_pixels(tiff.read_stack(spark, path).select("frame", "img"), S)
 
 
-for _f in (trial_shifts, sampled_points, downsample_nanmean, butter_bandpass, welch_bands, motion_shifts, vessel_mask, brain_mask, landmark_fit):
+for _f in (trial_shifts, sampled_points, downsample_nanmean, butter_bandpass, welch_bands, motion_shifts, vessel_mask, brain_mask):
     query()(_f)

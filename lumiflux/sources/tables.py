@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 from pathlib import Path
 
 import yaml
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lumiflux.functions.kernels import cubic
+from lumiflux.functions.kernels import cubic, cubic_pieces
 from lumiflux.sources import mat
 from lumiflux.sources.files import read_bytes
 
@@ -45,6 +46,37 @@ def extinction_at(path: str, wavelength: float, species: str = "hbo") -> float:
     return cubic(a["lambda"].ravel(), a[keys[species.lower()]].ravel(), wavelength)
 
 
+PIECES = "species string, low double, high double, start double, c0 double, c1 double, c2 double, c3 double"
+
+
+def spline_pieces(spark: SparkSession, curves: dict[str, tuple[Sequence[float], Sequence[float]]]) -> DataFrame:
+    """Not-a-knot cubics through the points (x, y) of each curve as rows, one a piece with its range low <= x < high; the
+    outer ones are open, which extends the curve. A curve is a measured spectrum: some hundred points."""
+    rows = []
+    for name, (x, y) in curves.items():
+        pieces = cubic_pieces(x, y).tolist()
+        ends = [float("-inf"), *(p[0] for p in pieces[1:]), float("inf")]
+        rows += [(name, low, high, *piece) for low, high, piece in zip(ends, ends[1:], pieces)]
+    return spark.createDataFrame(rows, PIECES)
+
+
+def extinction_pieces(spark: SparkSession, path: str) -> DataFrame:
+    """The spectra of a file, hbo and hbr, as spline pieces."""
+    a = {k: v.ravel().astype(float) for k, v in mat.load(path).items() if v.dtype.kind in "fiu"}
+    return spline_pieces(spark, {"hbo": (a["lambda"], a["eHbO2"]), "hbr": (a["lambda"], a["eHb"])})
+
+
+def at_wavelengths(rows: DataFrame, pieces: DataFrame, wavelength: str = "wavelength") -> DataFrame:
+    """rows, once for each curve, with species and extinction at their wavelength: an interval join with the pieces, which
+    are few and broadcast. Null and NaN wavelengths meet no piece."""
+    own = pieces.select(F.col("species").alias("__species"), *(F.col(c).alias(f"__{c}") for c in ("low", "high", "start", "c0", "c1", "c2", "c3")))
+    w = F.col(wavelength).cast("double")
+    met = rows.join(F.broadcast(own), (w >= F.col("__low")) & (w < F.col("__high")) & ~F.isnan(w))
+    u = w - F.col("__start")
+    value = F.col("__c0") + u * (F.col("__c1") + u * (F.col("__c2") + u * F.col("__c3")))
+    return met.select(*(F.col(c) for c in rows.columns), F.col("__species").alias("species"), value.alias("extinction"))
+
+
 @dataclass
 class Config:
     """A session's settings, by the names of the configuration file's sections."""
