@@ -6,6 +6,9 @@ import numpy as np
 from lumiflux.llm import substring
 
 
+SPACES = " \t\n\v\f\r"
+
+
 def prose(rng, n):
     return " ".join("".join(rng.choice("abcdefghijklmnoprstuvé") for _ in range(rng.randint(2, 8))) for _ in range(n))
 
@@ -56,6 +59,21 @@ def test_no_passage_of_51_words_is_missed(spark):
     assert got == set(range(len(texts)))
 
 
+def share_found(spark, rng, passages, around):
+    """Share of documents found, of pairs that share a passage."""
+    texts = [f"{around(rng.randint(10, 60))}{p}{around(rng.randint(10, 60))}" for p in passages for _ in range(2)]
+    return substring.report(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).count() / len(texts)
+
+
+def test_passages_of_short_words_and_without_spaces(spark):
+    rng = random.Random(12)
+    short = ["".join(rng.choice("abcdefghijklmnoprstu") for _ in range(rng.randint(1, 4))) for _ in range(3000)]
+    text = lambda n: " " + " ".join(rng.choices(short, k=n)) + " "
+    assert share_found(spark, rng, [text(51) for _ in range(1500)], text) >= 0.94
+    runes = lambda n: "".join(chr(rng.randint(0x4E00, 0x9FA5)) for _ in range(n))
+    assert share_found(spark, rng, [runes(90) for _ in range(500)], runes) >= 0.99
+
+
 def plain_chunks(text):
     """Chunks by the rolling hash, byte by byte."""
     raw, out, h, at = text.encode(), [], 0, 0
@@ -83,7 +101,10 @@ def plain_runs(rows):
             if c is not None and len(seen[c[2]]) > 1:
                 run.append(c)
                 continue
-            if run and run[-1][1] - run[0][0] >= substring.RUN:
+            whole = rows[k][1][run[0][0] : run[-1][1]] if run else ""
+            before = rows[k][1][run[0][0] - 1] if run and run[0][0] else " "
+            begun = sum(c not in SPACES and b in SPACES for b, c in zip(before + whole, whole))
+            if run and (len(whole.encode()) >= substring.RUN or begun >= substring.WORDS):
                 gone = [(a, b) for a, b, x in run if min(seen[x])[1:] != (k, a)]
                 cut = []
                 for a, b in gone:
