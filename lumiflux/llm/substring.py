@@ -34,6 +34,8 @@ from pyspark.sql.types import LongType, StructField, StructType
 from lumiflux.llm.common import with_text
 
 MIN, MASK, MAX, RUN, WORDS, SEED = 16, 4, 1024, 100, 16, 11
+#: First bytes of characters from U+3000 on, which count as words.
+WIDE = 0xE3
 #: Bytes between words.
 SPACES = np.isin(np.arange(256), list(b" \t\n\v\f\r"))
 GEAR = np.random.default_rng(SEED).integers(0, 1 << 32, 256, dtype=np.uint32)
@@ -65,25 +67,26 @@ def cuts(data: np.ndarray) -> list[int]:
     return out
 
 
-def chunks_of(text: str) -> tuple[list[int], list[int], list[bytes], list[int], list[int]]:
-    """Starts and ends in code points, digests, bytes and beginnings of words of a text's chunks."""
+def chunks_of(text: str) -> tuple[list[int], list[int], list[bytes], list[int]]:
+    """Starts and ends in code points, digests and beginnings of words of a text's chunks."""
     raw = text.encode()
     if not raw:
-        return [], [], [], [], []
+        return [], [], [], []
     data = np.frombuffer(raw, np.uint8)
     ends = cuts(data)
     starts = [0, *ends[:-1]]
     digests = [xxhash.xxh3_128_digest(raw[a:b]) for a, b in zip(starts, ends)]
     gap = SPACES[data]
-    begun = np.concatenate([[0], np.cumsum(~gap & np.concatenate([[True], gap[:-1]]))])
-    sizes, words = np.diff([0, *ends]).tolist(), np.diff(begun[[0, *ends]]).tolist()
+    begun = np.concatenate([[0], np.cumsum(~gap & np.concatenate([[True], gap[:-1]]) | (data >= WIDE))])
+    words = np.diff(begun[[0, *ends]]).tolist()
     if len(text) != len(raw):
         places = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
         starts, ends = places[starts].tolist(), places[ends].tolist()
-    return starts, ends, digests, sizes, words
+    return starts, ends, digests, words
 
 
-CHUNKS = "rid long, doc_id long, start int, end int, size int, words int, h1 long, h2 long"
+#: reach: length in characters and words of a chunk in one number; both are below 2^BITS.
+CHUNKS, BITS = "rid long, doc_id long, start int, reach int, h1 long, h2 long", 11
 
 
 def chunks(docs: DataFrame) -> DataFrame:
@@ -92,38 +95,37 @@ def chunks(docs: DataFrame) -> DataFrame:
         for whole in batches:
             for i in range(0, whole.num_rows, 256):
                 batch = whole.slice(i, 256)
-                n, starts, ends, digests, sizes, words = [], [], [], [], [], []
+                n, starts, reach, digests = [], [], [], []
                 for t in batch.column("text"):
-                    a, b, d, size, begun = chunks_of(t.as_py())
+                    a, b, d, w = chunks_of(t.as_py())
                     n.append(len(a))
                     starts += a
-                    ends += b
+                    reach += [(y - x) << BITS | z for x, y, z in zip(a, b, w)]
                     digests += d
-                    sizes += size
-                    words += begun
                 h = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
                 rows = np.repeat(np.arange(len(n)), n)
                 ids = batch.column("doc_id").take(pa.array(rows))
-                yield pa.RecordBatch.from_arrays([pa.array(rid + rows), ids, pa.array(starts, pa.int32()), pa.array(ends, pa.int32()), pa.array(sizes, pa.int32()), pa.array(words, pa.int32()), pa.array(h[:, 0]), pa.array(h[:, 1])], names=["rid", "doc_id", "start", "end", "size", "words", "h1", "h2"])
+                yield pa.RecordBatch.from_arrays([pa.array(rid + rows), ids, pa.array(starts, pa.int32()), pa.array(reach, pa.int32()), pa.array(h[:, 0]), pa.array(h[:, 1])], names=["rid", "doc_id", "start", "reach", "h1", "h2"])
                 rid += batch.num_rows
 
     return with_text(docs).mapInArrow(put, CHUNKS)
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
-    """Every occurrence of a repeated chunk: rid, doc_id, start, end, size, words, h1, h2, copies, first (the keeper's doc_id and row in
+    """Every occurrence of a repeated chunk: rid, doc_id, start, end, words, h1, h2, copies, first (the keeper's doc_id and row in
     one number) and keep, whether it stands in the keeper's row."""
     order = F.coalesce("doc_id", F.lit(LAST)).cast("decimal(19,0)") * F.lit(1 << ROW).cast("decimal(18,0)")
     order = order.cast("decimal(38,0)") + F.col("rid").cast("decimal(18,0)")
     repeated = chunks(docs).groupBy("h1", "h2").agg(F.count("*").alias("copies"), F.min(order).alias("first")).where("copies > 1")
-    return chunks(docs).join(repeated, ["h1", "h2"]).withColumn("keep", F.col("first") == order)
+    end, words = F.col("start") + F.shiftright("reach", BITS), F.col("reach").bitwiseAND(F.lit((1 << BITS) - 1))
+    return chunks(docs).join(repeated, ["h1", "h2"]).withColumns({"end": end, "words": words, "keep": F.col("first") == order}).drop("reach")
 
 
 def runs(docs: DataFrame) -> DataFrame:
     """A row a run: rid, doc_id, start, end, copies (the most of a chunk), keepers (first documents), cut (ranges to remove)."""
     found = occurrences(docs)
     # A document's own chunks: as many as its length allows.
-    kind = F.struct("start", "end", "size", "words", "copies", "first", "keep", "h1", "h2")
+    kind = F.struct("start", "end", "words", "copies", "first", "keep", "h1", "h2")
     per = found.groupBy("rid", "doc_id").agg(F.array_sort(F.collect_list(kind)).alias("c"))
 
     def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,7 +135,7 @@ def runs(docs: DataFrame) -> DataFrame:
                 seen, run = set(), []
                 for c in [*r["c"], None]:
                     if run and (c is None or c["start"] != run[-1]["end"]):
-                        if sum(x["size"] for x in run) >= RUN or sum(x["words"] for x in run) >= WORDS:
+                        if run[-1]["end"] - run[0]["start"] >= RUN or sum(x["words"] for x in run) >= WORDS:
                             firsts = {int(x) >> ROW for x in {x["first"] for x in run}}
                             rows.append({"rid": r["rid"], "doc_id": r["doc_id"], "start": run[0]["start"], "end": run[-1]["end"], "copies": max(x["copies"] for x in run), "keepers": sorted(k for k in firsts if k != LAST), "cut": ranges([x for x in run if not x["keep"]])})
                         run = []

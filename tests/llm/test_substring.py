@@ -71,7 +71,7 @@ def test_passages_of_short_words_and_without_spaces(spark):
     text = lambda n: " " + " ".join(rng.choices(short, k=n)) + " "
     assert share_found(spark, rng, [text(51) for _ in range(1500)], text) >= 0.94
     runes = lambda n: "".join(chr(rng.randint(0x4E00, 0x9FA5)) for _ in range(n))
-    assert share_found(spark, rng, [runes(90) for _ in range(500)], runes) >= 0.99
+    assert share_found(spark, rng, [runes(90) for _ in range(500)], runes) >= 0.9
 
 
 def plain_chunks(text):
@@ -103,8 +103,8 @@ def plain_runs(rows):
                 continue
             whole = rows[k][1][run[0][0] : run[-1][1]] if run else ""
             before = rows[k][1][run[0][0] - 1] if run and run[0][0] else " "
-            begun = sum(c not in SPACES and b in SPACES for b, c in zip(before + whole, whole))
-            if run and (len(whole.encode()) >= substring.RUN or begun >= substring.WORDS):
+            begun = sum(c >= "\u3000" or c not in SPACES and b in SPACES for b, c in zip(before + whole, whole))
+            if run and (len(whole) >= substring.RUN or begun >= substring.WORDS):
                 gone = [(a, b) for a, b, x in run if min(seen[x])[1:] != (k, a)]
                 cut = []
                 for a, b in gone:
