@@ -25,7 +25,8 @@ def relative(pixels: DataFrame, f0: DataFrame, divide: bool = True) -> DataFrame
 
 def rolling(pixels: DataFrame, window: int = 100) -> DataFrame:
     """f0, the mean of a pixel's last window frames, and dff. State: the last window - 1 values of each pixel. Frames of
-    a pixel are taken in the order of t within a micro-batch; a frame older than one already seen is dropped."""
+    a pixel are taken in the order of t within a micro-batch. A frame not newer than one already seen comes too late for its
+    window: its row has late set, and no f0 and dff, so that none is lost unseen and a count of late is a filter away."""
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         last, held = state.get if state.exists else (-1, [])
@@ -34,12 +35,13 @@ def rolling(pixels: DataFrame, window: int = 100) -> DataFrame:
         out = []
         for t, v in zip(rows["t"], rows["v"]):
             if t <= last:
+                out.append((key[0], key[1], int(t), float(v), None, None, True))
                 continue
             held = (held + [float(v)])[-window:]
             f0 = sum(held) / len(held)
-            out.append((key[0], key[1], int(t), float(v), f0, (v - f0) / (f0 or 1.0)))
+            out.append((key[0], key[1], int(t), float(v), f0, (v - f0) / (f0 or 1.0), False))
             last = int(t)
         state.update((last, held[-(window - 1) :] if window > 1 else []))
-        yield pd.DataFrame(out, columns=["y", "x", "t", "v", "f0", "dff"])
+        yield pd.DataFrame(out, columns=["y", "x", "t", "v", "f0", "dff", "late"])
 
-    return pixels.groupBy("y", "x").applyInPandasWithState(step, "y int, x int, t long, v double, f0 double, dff double", "last long, held array<double>", "append", GroupStateTimeout.NoTimeout)
+    return pixels.groupBy("y", "x").applyInPandasWithState(step, "y int, x int, t long, v double, f0 double, dff double, late boolean", "last long, held array<double>", "append", GroupStateTimeout.NoTimeout)

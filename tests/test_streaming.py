@@ -25,3 +25,14 @@ def test_relative(spark, tmp_path):
     q = live.relative(stream, f0).writeStream.format("memory").queryName("relative").option("checkpointLocation", f"{tmp_path}/cp").trigger(availableNow=True).start()
     q.awaitTermination()
     assert spark.table("relative").select(F.sum("dff")).first()[0] == 3
+
+
+def test_late_frames_are_handed_on_and_marked(spark, tmp_path):
+    for rows in ([(0, 0, 5, 1.0), (0, 0, 6, 3.0)], [(0, 0, 6, 9.0), (0, 0, 2, 9.0), (0, 0, 7, 5.0)]):
+        spark.createDataFrame(rows, "y int, x int, t long, v double").coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema("y int, x int, t long, v double").option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+    q = live.rolling(stream, 2).writeStream.format("memory").queryName("late").option("checkpointLocation", f"{tmp_path}/cp").trigger(availableNow=True).start()
+    q.awaitTermination()
+    rows = spark.table("late").collect()
+    assert sorted((r.t, r.v) for r in rows if r.late) == [(2, 9.0), (6, 9.0)] and all(r.f0 is None and r.dff is None for r in rows if r.late)
+    assert sorted((r.t, r.f0) for r in rows if not r.late) == [(5, 1.0), (6, 2.0), (7, 4.0)]
