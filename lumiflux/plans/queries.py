@@ -542,6 +542,10 @@ def sampled_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r6(views.sample(corrected_dff(spark, sf_dir), ("green", "blue")), "green", "blue")
 
 
+@query(f"""WITH {axis_cte("wt", S, 3, 1)}, {axis_cte("nr", S, 3, 0)}, f AS (SELECT t, y, x, CASE WHEN m.k THEN v END AS v FROM blue LEFT JOIN (SELECT y, x, true AS k FROM mask) m USING (y, x)),
+z AS (SELECT t, a.o AS y, b.o AS x, sum(a.w * b.w * coalesce(v, 0)) AS num FROM f JOIN wt a ON a.i = f.y JOIN wt b ON b.i = f.x GROUP BY ALL),
+n AS (SELECT t, a.o AS y, b.o AS x, sum(a.w * b.w * (v IS NOT NULL)::INT) AS w FROM f JOIN nr a ON a.i = f.y JOIN nr b ON b.i = f.x GROUP BY ALL)
+SELECT t, y::INT AS y, x::INT AS x, round(CASE WHEN w <> 0 THEN num / w END, 6) AS v FROM z JOIN n USING (t, y, x)""")
 def downsample_nanmean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """8 x 8 with a masked border to 3 x 3: no whole factor, so weights."""
     holes = masks.apply_mask(fx.channel(spark, sf_dir, "blue"), fx.mask(spark))
@@ -717,5 +721,5 @@ def tiff_integers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fr.to_pixels(tiff.read_stack(spark, path).select("frame", "img"), S)
 
 
-for _f in (trial_shifts, sampled_points, downsample_nanmean, butter_bandpass, welch_bands, motion_shifts, vessel_mask, brain_mask):
+for _f in (trial_shifts, sampled_points, butter_bandpass, welch_bands, motion_shifts, vessel_mask, brain_mask):
     query()(_f)
