@@ -24,6 +24,7 @@ from collections.abc import Iterable, Iterator
 from itertools import chain
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
@@ -319,6 +320,35 @@ class Scorer:
         return np.round(out, 6)
 
 
+PARTS = ("recurrence", "memory", "attention", "words", "characters")
+
+
+def without(p: dict[str, np.ndarray], part: str) -> dict[str, np.ndarray]:
+    """The network with one of PARTS put out: no weights from state to state; no memory at all (a state is that of its
+    word alone, so order cannot count); attention alike for all words; no word or no character embeddings."""
+    q, h = dict(p), HIDDEN
+    if part in ("recurrence", "memory"):
+        q |= {k: np.zeros_like(p[k]) for k in ("Uf", "Ub")}
+    if part == "memory":
+        for w, c in (("Wf", "cf"), ("Wb", "cb")):
+            q[w], q[c] = p[w].copy(), p[c].copy()
+            q[w][:, :h], q[c][:h] = 0, -30
+    for k in {"attention": ("v",), "words": ("Ew",), "characters": ("Ec",)}.get(part, ()):
+        q[k] = np.zeros_like(p[k])
+    return q
+
+
+def measures(y: np.ndarray, s: np.ndarray) -> dict[str, float]:
+    """Documents of label 1 and 0, those of each scored 0.5 or more, and the share of pairs in right order (ties half)."""
+    order = np.unique(s, return_inverse=True)[1]
+    n = np.bincount(order)
+    rank = (np.cumsum(n) - (n - 1) / 2)[order]
+    ones = int(y.sum())
+    zeros = len(y) - ones
+    auc = (rank[y == 1].sum() - ones * (ones + 1) / 2) / (ones * zeros) if ones and zeros else np.nan
+    return {"toxic": ones, "found": int((s[y == 1] >= 0.5).sum()), "clean": zeros, "false_alarms": int((s[y == 0] >= 0.5).sum()), "auc": float(auc)}
+
+
 _held: list[tuple[object, Scorer]] = []
 
 
@@ -326,15 +356,42 @@ def fold(column: str = "doc_id"):
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % FOLDS
 
 
-def fit(docs: DataFrame, labels: DataFrame):
-    """The network as a broadcast, or the share of label 1 if one class is missing."""
-    spark = docs.sparkSession
+def sample(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The labels that may be learned from (doc_id, y), and the rows that are (doc_id, y, text)."""
     known = labels.where("doc_id is not null and toxic is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("y")).where(fold() != 0)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.substring("text", 1, SAMPLE_CHARS).alias("text")).where(F.regexp_like("text", F.lit("[0-9A-Za-z\\x{80}-\\x{10FFFF}]")))
     # At most 2 * SAMPLE ids: their size has a bound, so they may be broadcast and their texts meet in one task.
     first = F.md5(F.col("doc_id").cast("string"))
     ids = known.where("y = 1").orderBy(first).limit(SAMPLE).unionByName(known.where("y = 0").orderBy(first).limit(SAMPLE))
-    rows = texts.join(F.broadcast(ids), "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("text"))
+    return known, texts.join(F.broadcast(ids), "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("text"))
+
+
+def cross_validate(docs: DataFrame, labels: DataFrame, steps: int = STEPS) -> DataFrame:
+    """How well networks fitted to all but one fold of the sample find that fold, whole and without each of PARTS: fold,
+    network, and measures(). Folds are crc32(doc_id) mod FOLDS, the one that is never learned from left out; each is a
+    task that holds the sample, whose size has a bound. Labels of the fold are weighed as they stand in the sample. A fold
+    without rows, or the others without both labels, gives no row."""
+    rows = sample(docs, labels)[1].withColumn("fold", fold()).withColumn("validated", F.explode(F.sequence(F.lit(1), F.lit(FOLDS - 1))))
+
+    def one(key: tuple, held: pd.DataFrame) -> pd.DataFrame:
+        held = held.sort_values("doc_id")
+        mine = held["fold"] == key[0]
+        rest, got = held[~mine], []
+        if mine.any() and rest["y"].nunique() == 2:
+            p = train(rest["text"].tolist(), rest["y"].tolist(), steps, float(rest["y"].mean()))
+            for name in ("whole", *PARTS):
+                s = Scorer(p if name == "whole" else without(p, name)).scores(held.loc[mine, "text"].tolist())
+                got.append({"fold": key[0], "network": name, **measures(held.loc[mine, "y"].to_numpy(), s)})
+        return pd.DataFrame(got, columns=["fold", "network", "toxic", "found", "clean", "false_alarms", "auc"])
+
+    # Hashes put several of four folds in one partition; ranges do not.
+    return rows.repartitionByRange(FOLDS - 1, "validated").groupBy("validated").applyInPandas(one, "fold long, network string, toxic long, found long, clean long, false_alarms long, auc double")
+
+
+def fit(docs: DataFrame, labels: DataFrame):
+    """The network as a broadcast, or the share of label 1 if one class is missing."""
+    spark = docs.sparkSession
+    known, rows = sample(docs, labels)
     share = known.agg(F.avg("y")).first()[0]
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,7 +1,7 @@
+import random
 import zlib
 
 import numpy as np
-import pyarrow.parquet as pq
 import pytest
 
 from lumiflux.llm import toxicity as tx
@@ -85,24 +85,50 @@ def test_training_learns():
     assert s[0] < 0.2 < 0.8 < s[1]
 
 
-def test_scores_come_through_the_recurrence():
-    """On rows that may be learned from: a network without its recurrent states finds nothing, one that may not read its
-    inputs neither, and the order of words counts."""
-    sf = "/root/testdata/sf0.01"
-    text = {r["doc_id"]: r["text"] or "" for r in pq.read_table(f"{sf}/documents.parquet", columns=["doc_id", "text"]).to_pylist()}
-    toxic = {r["doc_id"]: r["toxic"] for r in pq.read_table(f"{sf}/labels.parquet").to_pylist() if r["toxic"] is not None and zlib.crc32(str(r["doc_id"]).encode()) % 5}
-    ids = sorted(i for i in toxic if i in text)
-    y = np.array([toxic[i] for i in ids])
-    texts = [text[i] for i in ids]
-    p = tx.train([t[: tx.SAMPLE_CHARS] for t in texts], y.tolist(), share=y.mean())
-    found = lambda q: int(((tx.Scorer(q).scores(texts) >= 0.5) & (y == 1)).sum())
-    whole = found(p)
-    assert whole >= 0.6 * y.sum()
-    still = {k: np.zeros_like(v) if k in ("Uf", "Ub", "Wf", "Wb", "cf", "cb") else v for k, v in p.items()}
-    deaf = {k: np.zeros_like(v) if k in ("Wf", "Wb") else v for k, v in p.items()}
-    assert found(still) == found(deaf) == 0
-    turned = [" ".join(reversed(t.split())) for t in texts]
-    assert not np.array_equal(tx.Scorer(p).scores(texts), tx.Scorer(p).scores(turned))
+def ordered(rng, n):
+    """Texts of one window and their labels: the same two words, among others, in either order. Order alone tells."""
+    texts, y = [], []
+    for i in range(n):
+        words = ["".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(rng.randint(4, 16))]
+        k = rng.randint(0, len(words))
+        texts.append(" ".join([*words[:k], *(("never", "vile") if i % 2 else ("vile", "never")), *words[k:]]))
+        y.append(1 - i % 2)
+    return texts, np.array(y)
+
+
+def test_order_alone_is_learned_by_the_recurrence():
+    """A network without memory sees both orders alike and cannot pass; the trained one finds new texts."""
+    rng = random.Random(11)
+    p = tx.train(*(lambda t, y: (t, y.tolist()))(*ordered(rng, 600)))
+    texts, y = ordered(rng, 300)
+    right = lambda q: float(np.mean((tx.Scorer(q).scores(texts) >= 0.5) == y))
+    assert right(p) >= 0.95
+    assert right(tx.without(p, "memory")) <= 0.6
+    swapped = [" ".join({"never": "vile", "vile": "never"}.get(w, w) for w in t.split()) for t in texts]
+    scores = lambda t: tx.Scorer(tx.without(p, "memory")).scores(t)
+    assert np.allclose(scores(texts), scores(swapped), atol=1e-4)
+
+
+def test_cross_validation_measures_every_part(spark):
+    """Folds that may be learned from, each found by a network fitted to the others, on given documents. Memory between
+    words is what keeps clean documents clean; without attention or either input hardly anything is found."""
+    sf = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    got = tx.cross_validate(docs, labels).collect()
+    assert {(r.fold, r.network) for r in got} == {(f, n) for f in range(1, tx.FOLDS) for n in ("whole", *tx.PARTS)}
+    total = lambda column, network: sum(r[column] for r in got if r.network == network)
+    found, alarms, toxic, clean = (total(c, "whole") for c in ("found", "false_alarms", "toxic", "clean"))
+    assert found >= 0.8 * toxic and alarms <= 0.05 * clean
+    assert total("false_alarms", "memory") >= 4 * alarms
+    assert all(total("found", part) <= 0.5 * found for part in ("attention", "words", "characters"))
+    ids = {r.doc_id for r in tx.sample(docs, labels)[1].collect()}
+    assert not any(zlib.crc32(str(i).encode()) % tx.FOLDS == 0 for i in ids) and toxic + clean == len(ids)
+
+
+def test_measures_by_hand():
+    m = tx.measures(np.array([1, 1, 0, 0, 0]), np.array([0.9, 0.4, 0.4, 0.6, 0.1]))
+    assert (m["toxic"], m["found"], m["clean"], m["false_alarms"]) == (2, 1, 3, 1)
+    assert m["auc"] == pytest.approx((3 + 1 + 0.5) / 6)
 
 
 def test_fast_scores_equal_plain_forward():
@@ -141,3 +167,4 @@ def test_edges(spark, docs, rows, empty):
     assert len(got) == len(rows) and {r.score for r in got} <= {0.0, 1.0}
     assert tx.keep(docs, none).columns == docs.columns and tx.keep(docs, none).count() == len(rows)
     assert tx.score(empty, one).count() == 0
+    assert tx.cross_validate(docs, none).count() == tx.cross_validate(empty, one).count() == 0
