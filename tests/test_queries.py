@@ -38,6 +38,19 @@ def test_query_and_sql_agree(spark, con, sf, name):
         assert x == pytest.approx(y, abs=2e-5) if all(isinstance(v, (int, float)) for v in x) else key(x) == key(y)
 
 
+def test_frames_are_printed_as_sql_prints_them(spark, tmp_path):
+    """Ties, missing and endless pixels, digits beyond those of a double, a frame of nulls."""
+    odd = [1 / 32, 3 / 32, 5 / 32, -1 / 32, -2 - 1 / 32, -2 - 2.0**-20, None, float("nan"), float("inf"), float("-inf"), 3.4e38, -2.0]
+    rows = [(i, [odd[(i + j) % len(odd)] for j in range(64)], 0) for i in range(6)] + [(6, [None] * 64, 0), (7, [5 / 32] * 64, 0), (8, None, 0)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").coalesce(1).write.parquet(f"{tmp_path}/embeddings.parquet")
+    c = duckdb.connect()
+    for t in TABLES.split():
+        c.sql(f"CREATE VIEW {t} AS SELECT * FROM '{tmp_path}/embeddings.parquet/*.parquet'")
+    want = c.sql(f"SELECT channel, t, img FROM ({core.SQL['pixels_to_frames']})").fetchall()
+    got = [tuple(r) for r in core.QUERIES["pixels_to_frames"](spark, str(tmp_path)).select("channel", "t", "img").collect()]
+    assert len(want) == 8 and sorted(got, key=str) == sorted(want, key=str)
+
+
 @pytest.mark.parametrize("name", sorted(set(core.QUERIES) - set(core.SQL)))
 def test_query_without_sql_runs(spark, sf, name):
     assert core.QUERIES[name](spark, sf).count() > 0
