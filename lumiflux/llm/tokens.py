@@ -1,11 +1,12 @@
 """Token ids in Arrow files of fixed-size-list batches.
 
-Each range of doc_id becomes one shard of two files in a shared folder. `part-N-T.arrow`, an Arrow IPC file, holds
-sequences of LENGTH tokens: input_ids (fixed_size_list of uint16, or uint32 for a vocabulary over 65,536) and mask
-(fixed_size_list of uint8: 1, and 0 in the padding that ends a shard). All batches but the last hold BATCH sequences, so
-sequence i lies in batch i // BATCH at row i % BATCH; from a memory map both are read as views, without a copy
+Each range of doc_id becomes one shard of three Arrow IPC files in a shared folder. `part-N-T.arrow` holds sequences of
+LENGTH tokens: input_ids (fixed_size_list of uint16, or uint32 for a vocabulary over 65,536). All batches but the last
+hold BATCH sequences, so sequence i lies in batch i // BATCH at row i % BATCH. `part-N-T.masks.arrow` holds their masks
+(fixed_size_list of uint8: 1, and 0 in the padding that ends a shard), equal batches once: its first batch is that of
+every whole batch, its last one that of the last. From a memory map ids and masks are read as views, without a copy
 (TokenFile). `part-N-T.docs.arrow` says where in the shard each document starts. T is the attempt of the task that wrote
-the pair. Nothing is moved or overwritten, on any file system: the table of shards names the attempts that count, and
+the three. Nothing is moved or overwritten, on any file system: the table of shards names the attempts that count, and
 files of others (tasks that were lost and repeated) are deleted once it is written. Equal inputs make equal bytes.
 
 A document's ids depend on nothing around it. Where the tokenizer is byte-level BPE with its usual split, a single
@@ -163,22 +164,33 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
-def _sequences(ids: np.ndarray, length: int) -> pa.RecordBatch:
-    n = -(-len(ids) // length)
-    flat, mask = np.zeros(n * length, ids.dtype), np.zeros(n * length, np.uint8)
-    flat[: len(ids)] = ids
-    mask[: len(ids)] = 1
-    lists = [pa.FixedSizeListArray.from_arrays(pa.array(x), length) for x in (flat, mask)]
-    return pa.RecordBatch.from_arrays(lists, names=["input_ids", "mask"])
+def _lists(flat: np.ndarray, length: int, name: str) -> pa.RecordBatch:
+    """Sequences of a fixed length, the last one filled up with 0."""
+    full = np.zeros(-(-len(flat) // length) * length, flat.dtype)
+    full[: len(flat)] = flat
+    return pa.RecordBatch.from_arrays([pa.FixedSizeListArray.from_arrays(pa.array(full), length)], names=[name])
 
 
-class TokenFile:
-    """Random access to the sequences of a shard; from a memory map, ids and masks are views of the file."""
+class Batches:
+    """A shard's batches of ids and masks, put together from its files without a copy."""
 
     def __init__(self, path: str, fs: pa.fs.FileSystem | None = None):
         local = fs is None or isinstance(fs, pyarrow.fs.LocalFileSystem)
-        self.reader = pa.ipc.open_file(pa.memory_map(path) if local else fs.open_input_file(path))
-        self.length = self.reader.schema.field("input_ids").type.list_size
+        self.ids, masks = (pa.ipc.open_file(pa.memory_map(p) if local else fs.open_input_file(p)) for p in (path, f"{path.removesuffix('.arrow')}.masks.arrow"))
+        self.masks = [masks.get_batch(k).column(0) for k in range(masks.num_record_batches)]  # two at most
+        self.num_record_batches = self.ids.num_record_batches
+
+    def get_batch(self, k: int) -> pa.RecordBatch:
+        mask = self.masks[0 if k < self.num_record_batches - 1 else -1]
+        return pa.RecordBatch.from_arrays([self.ids.get_batch(k).column(0), mask], names=["input_ids", "mask"])
+
+
+class TokenFile:
+    """Random access to the sequences of a shard; from a memory map, ids and masks are views of the files."""
+
+    def __init__(self, path: str, fs: pa.fs.FileSystem | None = None):
+        self.reader = Batches(path, fs)
+        self.length = self.reader.ids.schema.field("input_ids").type.list_size
         self.held: tuple[int, pa.RecordBatch] | None = None
         self.rows = self._batch(0).num_rows if self.reader.num_record_batches else 0
 
@@ -217,16 +229,18 @@ def write(docs: DataFrame, tokenizer: str, folder: str | None = None, end: int =
         name = f"{base}/part-{shard:06d}-{task.taskAttemptId()}"
         wide, dtype = BATCH * length, enc.dtype
         stop = np.array([end], dtype).tobytes()
-        sink = writer = index = index_sink = None
+        files: list[pa.NativeFile] = []
+        writer = masks = index = None
         held, n_held, at, n_docs = [], 0, 0, 0
-        seq = pa.schema([("input_ids", pa.list_(pa.from_numpy_dtype(dtype), length)), ("mask", pa.list_(pa.uint8(), length))])
+        seq = pa.schema([("input_ids", pa.list_(pa.from_numpy_dtype(dtype), length))])
+        msk = pa.schema([("mask", pa.list_(pa.uint8(), length))])
         idx = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())])
         for batch in batches:
             for i in range(0, batch.num_rows, 512):
                 part = batch.slice(i, 512)
                 if writer is None:
-                    sink, index_sink = fs.open_output_stream(f"{name}.arrow"), fs.open_output_stream(f"{name}.docs.arrow")
-                    writer, index = pa.ipc.new_file(sink, seq), pa.ipc.new_file(index_sink, idx)
+                    files = [fs.open_output_stream(f"{name}.{kind}") for kind in ("arrow", "masks.arrow", "docs.arrow")]
+                    writer, masks, index = (pa.ipc.new_file(f, schema) for f, schema in zip(files, (seq, msk, idx)))
                 ids = [x + stop for x in enc.encode(part.column("text").to_pylist())]
                 counts = np.array([len(x) for x in ids], np.int64) // dtype.itemsize
                 index.write_batch(pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(at + np.cumsum(counts) - counts), pa.array(counts)], schema=idx))
@@ -236,14 +250,17 @@ def write(docs: DataFrame, tokenizer: str, folder: str | None = None, end: int =
                 if n_held >= wide:
                     flat = np.frombuffer(b"".join(held), dtype)
                     whole = n_held // wide * wide
+                    if n_held == at:  # nothing written yet
+                        masks.write_batch(_lists(np.ones(wide, np.uint8), length, "mask"))
                     for a in range(0, whole, wide):
-                        writer.write_batch(_sequences(flat[a : a + wide], length))
+                        writer.write_batch(_lists(flat[a : a + wide], length, "input_ids"))
                     held, n_held = [flat[whole:].tobytes()], n_held - whole
         if writer is None:
             return
         if n_held:
-            writer.write_batch(_sequences(np.frombuffer(b"".join(held), dtype), length))
-        for x in (writer, sink, index, index_sink):
+            writer.write_batch(_lists(np.frombuffer(b"".join(held), dtype), length, "input_ids"))
+            masks.write_batch(_lists(np.ones(n_held, np.uint8), length, "mask"))
+        for x in (writer, masks, index, *files):
             x.close()
         yield pa.RecordBatch.from_pydict({"shard": [shard], "path": [name], "n_docs": [n_docs], "n_tokens": [at]}, schema=pa.schema([("shard", pa.int64()), ("path", pa.string()), ("n_docs", pa.int64()), ("n_tokens", pa.int64())]))
 

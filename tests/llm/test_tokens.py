@@ -75,3 +75,19 @@ def test_files_of_lost_attempts_go(spark, docs, tmp_path):
     names = {s.path.rsplit("/", 1)[-1] for s in shards.collect()}
     assert {f.name.split(".")[0] for f in (tmp_path / "t").iterdir() if not f.name.startswith(".")} == names
     assert tokens.read(shards).count() == docs.count()
+
+
+@pytest.mark.parametrize("n", [1, 255, 256, 257, 511, 512, 513, 40_000])
+def test_equal_masks_are_kept_once(spark, n):
+    """Shards of n tokens, 256 a batch: every sequence has its mask, and whole batches add none to the files."""
+    text = " a" * (n - 1)
+    assert len(plain(text)) == n - 1
+    (s,) = tokens.write(spark.createDataFrame([(1, text)], "doc_id long, text string"), PATH, length=256 // tokens.BATCH).collect()
+    f = tokens.TokenFile(f"{s.path}.arrow")
+    rows = -(-n // f.length)
+    ids, mask = (np.concatenate([f[i][k] for i in range(rows)]) for k in (0, 1))
+    assert s.n_tokens == n and ids[:n].tolist() == [*plain(text), 2] and not ids[n:].any() and mask[:n].all() and not mask[n:].any()
+    batches = [f.reader.get_batch(k) for k in range(f.reader.num_record_batches)]
+    assert sum(b.num_rows for b in batches) == rows and all(b.num_rows == tokens.BATCH for b in batches[:-1])
+    held = {b.column(1).flatten().buffers()[1].address for b in batches}
+    assert len(held) <= 2 and not any(x.flags.owndata for i in (0, rows - 1) for x in f[i])
